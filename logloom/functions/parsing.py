@@ -131,8 +131,10 @@ def parse_lines(
         "is_anomaly": F.lit(None).cast("int"),
     }
     kept = [c for c in df.columns if c != line]
-    out = [F.col(c) for c in kept] + [fields[c].alias(c) for c in LOG_COLUMNS]
     if extras:
         names = dict.fromkeys(n for p in patterns for n in p.extras)
-        out += [extra(n).alias(n) for n in names]
-    return df.withColumn("parse_method", method).select(*out)
+        fields |= {n: extra(n) for n in names}
+    # One generated struct per line: a later filter on a parsed field stays above
+    # it, instead of being pushed down as a second copy of the pattern matching.
+    record = F.struct(*[c.alias(n) for n, c in fields.items()])
+    return df.withColumn("parse_method", method).select(*kept, F.inline(F.array(record)))

@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logloom.functions.text import col, strip
+from logloom.functions.text import col, collapse_space, strip
 
 # The accepted shapes.  A shape test picks the branch, so only
 # text that fits a format is handed to its parser.
-_ISO = r"^\d{4}-\d{1,2}-\d{1,2}( +\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?|T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?Z?)$"
-_ACCESS = r"^\d{1,2}/[A-Za-z]{3}/\d{4}:\d{1,2}:\d{1,2}:\d{1,2} +[+-]\d{4}$"
-_SYSLOG = r"^[A-Za-z]{3} +\d{1,2} +\d{1,2}:\d{1,2}:\d{1,2}$"
-_US = r"^\d{1,2}/\d{1,2}/\d{4} +\d{1,2}:\d{1,2}:\d{1,2}$"
+_PLAIN = (
+    r"^\d{4}-\d{1,2}-\d{1,2}"
+    r"(?: \d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,6})?|T\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,6})?Z?)$"
+)
+_ACCESS = r"^\d{1,2}/[A-Za-z]{3}/\d{4}:\d{1,2}:\d{1,2}:\d{1,2} [+-]\d{4}$"
+_SYSLOG = r"^[A-Za-z]{3} \d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+_US = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def parse_timestamp(
@@ -29,31 +32,26 @@ def parse_timestamp(
     offset; syslog time, which has no year and gets ``default_year``;
     ``month/day/year``.  ``formats`` replaces them by Spark datetime patterns,
     tried in order.
+
+    Text that needs no trimming takes one pattern test and one cast; only the
+    rest is squeezed and matched again.
     """
-    text = strip(c)
+    raw = col(c)
     if formats is not None:
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
-    squeezed = F.regexp_replace(text, " +", " ")
-    titled = F.initcap(squeezed)
-    return (
-        F.when(text.rlike(_ISO), squeezed.try_cast("timestamp"))
-        .when(
-            text.rlike(_ACCESS),
-            F.try_to_timestamp(_title_month(squeezed), F.lit("d/MMM/yyyy:H:m:s xx")),
-        )
+        return F.coalesce(*[F.try_to_timestamp(strip(raw), F.lit(f)) for f in formats])
+    text = collapse_space(raw)
+    other = (
+        F.when(text.rlike(_PLAIN), text.try_cast("timestamp"))
         .when(
             text.rlike(_SYSLOG),
             F.try_to_timestamp(
-                F.concat(F.lit(f"{default_year:04d} "), titled), F.lit("yyyy MMM d H:m:s")
+                F.concat(F.lit(f"{default_year:04d} "), text), F.lit("yyyy MMM d H:m:s")
             ),
         )
-        .when(text.rlike(_US), F.try_to_timestamp(squeezed, F.lit("M/d/yyyy H:m:s")))
+        .when(text.rlike(_ACCESS), F.try_to_timestamp(text, F.lit("d/MMM/yyyy:H:m:s xx")))
+        .when(text.rlike(_US), F.try_to_timestamp(text, F.lit("M/d/yyyy H:m:s")))
     )
-
-
-def _title_month(c: Column) -> Column:
-    parts = F.split(c, "/", 3)
-    return F.concat_ws("/", parts[0], F.initcap(parts[1]), parts[2])
+    return F.when(raw.rlike(_PLAIN), raw.try_cast("timestamp")).otherwise(other)
 
 
 def to_timestamp_any(c: Column | str, dtype: str, **kwargs) -> Column:

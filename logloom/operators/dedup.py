@@ -34,6 +34,10 @@ def _row_id_of(packed: Column) -> Column:
     return (F.pmod(packed, F.lit(_RADIX).cast("decimal(38,0)")) - F.lit(_SHIFT)).cast("bigint")
 
 
+def _micros_of(packed: Column) -> Column:
+    return F.floor(packed / F.lit(_RADIX)).cast("bigint")
+
+
 def first_row_ids(
     df: DataFrame, keys: Sequence[str | Column], ts: str = "timestamp", row_id: str = ROW_ID
 ) -> DataFrame:
@@ -42,10 +46,18 @@ def first_row_ids(
     return first.select(_row_id_of(F.col("_first")).alias(row_id))
 
 
-def message_key(service: str = "service", message: str = "message") -> Column:
-    """A 32-byte key of (service, message), NULL kept apart from ''."""
+def message_key(service: str = "service", message: str = "message") -> list[Column]:
+    """(service, message) as two integers cut from one SHA-256, NULL kept apart from ''.
+
+    120 bits name the pair, however long the message, and integers stay inside
+    a hash aggregate.
+    """
     part = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-")) for c in (service, message)]
-    return F.unhex(F.sha2(F.concat_ws("\x00", *part), 256))
+    digest = F.sha2(F.concat_ws("\x00", *part), 256)
+    return [
+        F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint").alias(name)
+        for at, name in ((1, "_key1"), (17, "_key2"))
+    ]
 
 
 def keep_first(
@@ -56,7 +68,11 @@ def keep_first(
 
 
 def window_survivors(
-    narrow: DataFrame, minutes: int, key: str = "_key", ts: str = "timestamp", row_id: str = ROW_ID
+    narrow: DataFrame,
+    minutes: int,
+    keys: Sequence[str] = ("_key1", "_key2"),
+    ts: str = "timestamp",
+    row_id: str = ROW_ID,
 ) -> DataFrame:
     """Row ids left when a row repeats its key within ``minutes`` of the row before.
 
@@ -71,16 +87,16 @@ def window_survivors(
     timed = narrow.where(F.col(ts).isNotNull()).withColumn(
         "_bucket", F.floor(micros / F.lit(width)).cast("bigint")
     )
-    spans = timed.groupBy(key, "_bucket").agg(
+    spans = timed.groupBy(*keys, "_bucket").agg(
         F.min(_packed(ts, row_id)).alias("_first"),
         F.min(micros).alias("_start"),
         F.max(micros).alias("_end"),
     )
     before = spans.select(
-        F.col(key), (F.col("_bucket") + 1).alias("_bucket"), F.col("_end").alias("_prev_end")
+        *keys, (F.col("_bucket") + 1).alias("_bucket"), F.col("_end").alias("_prev_end")
     )
     kept = (
-        spans.join(before, [key, "_bucket"], "left")
+        spans.join(before, [*keys, "_bucket"], "left")
         .where(F.col("_prev_end").isNull() | (F.col("_start") - F.col("_prev_end") >= width))
         .select(_row_id_of(F.col("_first")).alias(row_id))
     )
@@ -98,18 +114,30 @@ def deduplicate(
     """First row per hash, then first row per (service, message).
 
     With ``window_minutes`` the second phase drops a repeat only when it
-    follows its predecessor within that time.  Both phases work on narrow key
-    rows; the wide rows are joined once.
+    follows its predecessor within that time.  The first phase hands each
+    winner's key on to the second, so the keys are computed in one narrow pass,
+    and the wide rows are joined once.
     """
-    narrow = df.select(
-        row_id, ts, message_key().alias("_key"), *([hash_col] if hash_col in df.columns else [])
-    )
+    keys = ["_key1", "_key2"]
+    narrow = df.select(row_id, ts, *message_key(), *([hash_col] if hash_col in df.columns else []))
     if hash_col in df.columns:
-        narrow = keep_first(narrow, [hash_col], ts, row_id)
+        packed = _packed(ts, row_id)
+        first = narrow.groupBy(hash_col).agg(
+            F.min(packed).alias("_first"), *[F.min_by(k, packed).alias(k) for k in keys]
+        )
+    else:
+        first = narrow.select(_packed(ts, row_id).alias("_first"), *keys)
     if window_minutes is None:
-        kept = first_row_ids(narrow, ["_key"], ts, row_id)
+        kept = first.groupBy(*keys).agg(F.min("_first").alias("_first"))
+        kept = kept.select(_row_id_of(F.col("_first")).alias(row_id))
     else:
-        kept = window_survivors(narrow, window_minutes, "_key", ts, row_id)
+        micros = _micros_of(F.col("_first"))
+        rows = first.select(
+            *keys,
+            _row_id_of(F.col("_first")).alias(row_id),
+            F.when(micros < _NO_TIME, F.timestamp_micros(micros)).alias(ts),
+        )
+        kept = window_survivors(rows, window_minutes, keys, ts, row_id)
     return df.join(kept, row_id, "left_semi")
 
 

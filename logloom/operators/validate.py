@@ -50,38 +50,51 @@ def _flags(df: DataFrame, max_length: int, min_year: int) -> dict[str, Column]:
     return flags
 
 
-def check_rows(
-    df: DataFrame,
-    max_length: int = MAX_MESSAGE_LENGTH,
-    min_year: int = MIN_TIMESTAMP_YEAR,
+def _repair_level(flags: dict[str, Column]) -> Column:
+    return F.when(flags["log_level"], F.col("level")).otherwise(F.lit("INFO"))
+
+
+def _is_valid(flags: dict[str, Column]) -> Column:
+    ok = F.lit(True)
+    for name, flag in flags.items():
+        if name not in _REPAIRED:
+            ok = ok & flag
+    return ok
+
+
+def valid_rows(
+    df: DataFrame, max_length: int = MAX_MESSAGE_LENGTH, min_year: int = MIN_TIMESTAMP_YEAR
 ) -> DataFrame:
-    """Add ``reasons``, the failed checks of each row, and repair the level."""
+    """Rows that pass every check, the level repaired: a filter and one column."""
     flags = _flags(df, max_length, min_year)
-    failed = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in flags.items()]))
-    checked = df.withColumn("reasons", failed)
-    if "level" in df.columns:
-        checked = checked.withColumn(
-            "level",
-            F.when(F.array_contains("reasons", "log_level"), F.lit("INFO")).otherwise(
-                F.col("level")
-            ),
-        )
-    return checked
+    good = df.where(_is_valid(flags))
+    return good.withColumn("level", _repair_level(flags)) if "log_level" in flags else good
 
 
-def _is_quarantined() -> Column:
-    return F.size(F.array_except("reasons", F.array(*[F.lit(c) for c in _REPAIRED]))) > 0
+def quarantined_rows(
+    df: DataFrame, max_length: int = MAX_MESSAGE_LENGTH, min_year: int = MIN_TIMESTAMP_YEAR
+) -> DataFrame:
+    """Rows that fail a check, with ``reasons`` naming all their failed checks."""
+    flags = _flags(df, max_length, min_year)
+    reasons = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in flags.items()]))
+    bad = df.where(~_is_valid(flags)).withColumn("reasons", reasons)
+    return bad.withColumn("level", _repair_level(flags)) if "log_level" in flags else bad
 
 
-def quality_report(checked: DataFrame, names: list[str] | None = None) -> DataFrame:
+def quality_report(
+    df: DataFrame, max_length: int = MAX_MESSAGE_LENGTH, min_year: int = MIN_TIMESTAMP_YEAR
+) -> DataFrame:
     """Rows ``(check, passed, failed, pass_rate)`` plus an ``overall`` row.
 
-    One pass: every count is a conditional sum of the same aggregate.
+    One pass: each row is reduced to its flags, and every count is a
+    conditional sum of the same aggregate.
     """
-    names = CHECKS if names is None else names
-    fails = [F.count_if(F.array_contains("reasons", n)).alias(n) for n in names]
-    bad = F.count_if(_is_quarantined()).alias("overall")
-    totals = checked.agg(F.count("*").alias("total"), *fails, bad)
+    flags = _flags(df, max_length, min_year)
+    names = [n for n in CHECKS if n in flags]
+    marked = df.select(*[flags[n].alias(n) for n in names])
+    fails = [F.count_if(~F.col(n)).alias(n) for n in names]
+    bad = F.count_if(~_is_valid({n: F.col(n) for n in names})).alias("overall")
+    totals = marked.agg(F.count("*").alias("total"), *fails, bad)
     cells = [F.struct(F.lit(n).alias("check"), F.col(n).alias("failed")) for n in [*names, "overall"]]
     rows = totals.select("total", F.explode(F.array(*cells)).alias("cell"))
     passed = F.col("total") - F.col("cell.failed")
@@ -98,13 +111,11 @@ def validate(
     max_length: int = MAX_MESSAGE_LENGTH,
     min_year: int = MIN_TIMESTAMP_YEAR,
 ) -> Validated:
-    checked = check_rows(df, max_length, min_year)
-    bad = _is_quarantined()
-    names = [n for n in CHECKS if n in _flags(df, max_length, min_year)]
+    """Split a log table; each part is its own lazy plan over the input."""
     return Validated(
-        valid=checked.where(~bad).drop("reasons"),
-        quarantined=checked.where(bad),
-        report=quality_report(checked, names),
+        valid=valid_rows(df, max_length, min_year),
+        quarantined=quarantined_rows(df, max_length, min_year),
+        report=quality_report(df, max_length, min_year),
     )
 
 

@@ -19,7 +19,7 @@ from logloom.functions.text import strip
 from logloom.functions.timestamps import to_timestamp_any
 from logloom.operators.clean import clean_messages, derive, impute, normalize_timestamps
 from logloom.operators.evaluate import ks_drift
-from logloom.operators.validate import check_rows
+from logloom.operators.validate import quarantined_rows, valid_rows
 from logloom.schema import ROW_ID
 
 # Micro-batch settings and the alert threshold.
@@ -61,10 +61,8 @@ def parse_stream(lines: DataFrame, patterns: list[LinePattern] | None = None) ->
 
 def clean_stream(logs: DataFrame, default_year: int = 1900) -> tuple[DataFrame, DataFrame]:
     """(clean rows, quarantined rows); stateless."""
-    checked = check_rows(logs)
-    bad = F.size(F.array_except("reasons", F.array(F.lit("log_level")))) > 0
-    good = normalize_timestamps(checked.where(~bad).drop("reasons"), default_year)
-    return derive(impute(clean_messages(good))), checked.where(bad)
+    good = normalize_timestamps(valid_rows(logs), default_year)
+    return derive(impute(clean_messages(good))), quarantined_rows(logs)
 
 
 def with_event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
