@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from logloom.functions.timestamps import window_start
 from logloom.operators import features as ft
-from logloom.operators.lookup import lookup
+from logloom.operators.lookup import MAX_BROADCAST_ROWS, lookup
 from logloom.operators.ordered import previous_time_gap
 from logloom.operators.tfidf import fit_vocabulary, sparse_rows, tfidf_weights
 from logloom.schema import ROW_ID
-from logloom.session import scratch_dir
+from logloom.session import run_together, scratch_dir
 
 _TABLES = ["vocabulary", "templates", "template_counts", "windows", "service_levels", "ips"]
 
@@ -34,7 +34,8 @@ class FeatureModel:
     path: str
     sizes: list[int]
     names: list[str]
-    options: dict = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     @classmethod
     def fit(
@@ -49,16 +50,27 @@ class FeatureModel:
         path = path or scratch_dir(spark, "features")
         sizes = sizes or list(ft.WINDOW_MINUTES)
         counts_path = f"{path}/template_counts"
-        ft.template_counts(df).write.mode("overwrite").parquet(counts_path)
-        tables = {
-            "vocabulary": fit_vocabulary(df, max_features=max_features),
-            "templates": ft.template_vocabulary(spark.read.parquet(counts_path), max_templates),
-            "windows": ft.window_counts(df, sizes),
-            "service_levels": ft.service_level_counts(df),
-            "ips": ft.ip_counts(df),
-        }
-        for name, table in tables.items():
-            table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+        def templates() -> None:
+            ft.template_counts(df).write.mode("overwrite").parquet(counts_path)
+            counts = spark.read.parquet(counts_path)
+            ft.template_vocabulary(counts, max_templates).write.mode("overwrite").parquet(
+                f"{path}/templates"
+            )
+
+        def write(name: str, table: DataFrame):
+            return lambda: table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+        run_together(
+            spark,
+            [
+                write("vocabulary", fit_vocabulary(df, max_features=max_features)),
+                templates,
+                write("windows", ft.window_counts(df, sizes)),
+                write("service_levels", ft.service_level_counts(df)),
+                write("ips", ft.ip_counts(df)),
+            ],
+        )
         terms = [
             r["term"]
             for r in spark.read.parquet(f"{path}/vocabulary")
@@ -74,19 +86,27 @@ class FeatureModel:
             *ft.time_feature_names(sizes),
             *ft.FREQUENCY,
         ]
-        body = json.dumps({"sizes": sizes, "names": names})
+        rows = dict(
+            zip(
+                _TABLES,
+                run_together(spark, [spark.read.parquet(f"{path}/{t}").count for t in _TABLES]),
+            )
+        )
+        body = json.dumps({"sizes": sizes, "names": names, "rows": rows})
         spark.createDataFrame([(body,)], "body string").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{path}/meta")
-        return cls(spark, path, sizes, names)
+        return cls(spark, path, sizes, names, rows)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FeatureModel":
         meta = json.loads(spark.read.parquet(f"{path}/meta").first()["body"])
-        return cls(spark, path, meta["sizes"], meta["names"])
+        return cls(spark, path, meta["sizes"], meta["names"], meta["rows"])
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._read[name]
 
     @property
     def n_terms(self) -> int:
@@ -134,33 +154,41 @@ class FeatureModel:
             "service",
             "level",
             F.col("n").alias("pair_n"),
-            "service_n",
         )
         service_table = pairs.groupBy("service").agg(F.sum("n").alias("service_n"))
         total_i = ips.agg(F.sum("n").alias("t"))
         ip_table = ips.select("source_ip", F.col("n").alias("ip_n"))
         counts = [f"log_count_{m}min" for m in self.sizes]
 
-        out = lookup(
+        def attach(rows, source, table, keys, values, weight, check):
+            # A fitted table has a known size; a batch table is counted where a
+            # broadcast is likely to pay, and joined by the skew-safe way otherwise.
+            small = self.rows[source] <= MAX_BROADCAST_ROWS if fitted else (None if check else False)
+            return lookup(rows, table, keys, values, weight=weight, small=small)
+
+        out = attach(
             keys,
+            "template_counts",
             template_table,
             ["template"],
             {"template_id": -1, "template_n": 1},
-            weight="template_n",
-            small=False,
+            "template_n",
+            False,
+        )
+        out = attach(out, "windows", windows, ["minute"], dict.fromkeys(counts, 0), "n", True)
+        out = attach(
+            out, "service_levels", service_table, ["service"], {"service_n": 0}, "service_n", True
         )
-        out = lookup(out, windows, ["minute"], dict.fromkeys(counts, 0))
-        out = lookup(out, service_table, ["service"], {"service_n": 0}, weight="service_n")
-        out = lookup(
+        out = attach(
             out,
-            pair_table.drop("service_n"),
+            "service_levels",
+            pair_table,
             ["service", "level"],
             {"pair_n": 0},
-            weight="pair_n",
-        )
-        out = lookup(
-            out, ip_table, ["source_ip"], {"ip_n": 0}, weight="ip_n", small=False
+            "pair_n",
+            True,
         )
+        out = attach(out, "ips", ip_table, ["source_ip"], {"ip_n": 0}, "ip_n", False)
         seen = (F.col("pair_n") > 0) & (F.col("service_n") > 0)
         frequency = F.col("service_n") / total_p.scalar()
         figures = out.select(

@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.session import use_utc
+from logloom.sources.readers import spread
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+# Tables whose rows cost far more to process than to move.
+HEAVY_TABLES = {"documents", "pages", "embeddings"}
+
+
+def table(spark: SparkSession, sf: str, name: str, heavy: bool | None = None) -> DataFrame:
+    """A given table; a heavy one is spread over the cores if it is a single piece."""
     use_utc(spark)
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df) if heavy or (heavy is None and name in HEAVY_TABLES) else df
 
 
 def logs_of(events: DataFrame) -> DataFrame:
@@ -53,8 +60,8 @@ def logs_of(events: DataFrame) -> DataFrame:
     )
 
 
-def logs(spark: SparkSession, sf: str) -> DataFrame:
-    return logs_of(table(spark, sf, "events"))
+def logs(spark: SparkSession, sf: str, heavy: bool = False) -> DataFrame:
+    return logs_of(table(spark, sf, "events", heavy))
 
 
 LOGS = """
@@ -110,7 +117,7 @@ def raw_lines_of(logs_: DataFrame) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_lines_of(logs(spark, sf))
+    return raw_lines_of(logs(spark, sf, heavy=True))
 
 
 RAW_LINES = LOGS + """,
@@ -133,7 +140,7 @@ def dirty_logs(spark: SparkSession, sf: str) -> DataFrame:
     fault = F.col("row_id") % 50
     t = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
     none = F.lit(None).cast("string")
-    return logs(spark, sf).select(
+    return logs(spark, sf, heavy=True).select(
         "row_id",
         F.when(fault == 0, none)
         .when(fault == 1, "")

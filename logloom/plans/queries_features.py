@@ -61,7 +61,7 @@ def documents(spark, sf):
     CAST((SELECT count(*) FROM terms t WHERE t.row_id = w.row_id) AS INTEGER) AS n_terms FROM words w"""
 )
 def ngram_terms(spark, sf):
-    words = src.logs(spark, sf).select("row_id", tokens("message").alias("w"))
+    words = src.logs(spark, sf, heavy=True).select("row_id", tokens("message").alias("w"))
     return words.select(
         "row_id", F.array_join("w", " ").alias("tokens"), F.size(ngrams(F.col("w"))).alias("n_terms")
     )
@@ -112,7 +112,7 @@ def template_vocabulary(spark, sf):
     FROM t JOIN counts c USING (template) LEFT JOIN vocabulary v USING (template)"""
 )
 def template_features(spark, sf):
-    rows = ft.template_features(src.logs(spark, sf))
+    rows = ft.template_features(src.logs(spark, sf, heavy=True))
     return rows.withColumn("template_rarity", F.round("template_rarity", 6))
 
 
@@ -123,7 +123,7 @@ def template_features(spark, sf):
 def statistical_block(spark, sf):
     from logloom.operators.clean import derive
 
-    rows = ft.statistical_features(derive(src.logs(spark, sf)))
+    rows = ft.statistical_features(derive(src.logs(spark, sf, heavy=True)))
     return rows.withColumns(
         {c: F.round(c, 6) for c in ("special_char_ratio", "uppercase_ratio")}
     )
@@ -137,7 +137,7 @@ WINDOWS = ", ".join(
 
 @query(f"WITH {src.LOGS} SELECT row_id, {WINDOWS} FROM logs")
 def window_counts(spark, sf):
-    rows = ft.time_features(src.logs(spark, sf))
+    rows = ft.time_features(src.logs(spark, sf, heavy=True))
     return rows.drop("inter_arrival_seconds")
 
 
@@ -179,7 +179,7 @@ def window_stats(spark, sf):
     SELECT row_id, round(f, 6) AS service_frequency, round(1 - f, 6) AS service_rarity FROM f"""
 )
 def service_frequency(spark, sf):
-    rows = ft.service_frequency(src.logs(spark, sf))
+    rows = ft.service_frequency(src.logs(spark, sf, heavy=True))
     return rows.withColumns({c: F.round(c, 6) for c in ("service_frequency", "service_rarity")})
 
 
@@ -188,7 +188,7 @@ def service_frequency(spark, sf):
       / count(*) OVER (PARTITION BY service), 6) AS level_rarity_in_service FROM logs"""
 )
 def level_rarity(spark, sf):
-    rows = ft.level_rarity(src.logs(spark, sf))
+    rows = ft.level_rarity(src.logs(spark, sf, heavy=True))
     return rows.withColumn("level_rarity_in_service", F.round("level_rarity_in_service", 6))
 
 
@@ -205,7 +205,7 @@ def service_level_totals(spark, sf):
       / (SELECT count(*) FROM logs), 6) AS ip_frequency FROM logs"""
 )
 def ip_frequency(spark, sf):
-    rows = ft.ip_frequency(src.logs(spark, sf))
+    rows = ft.ip_frequency(src.logs(spark, sf, heavy=True))
     return rows.withColumn("ip_frequency", F.round("ip_frequency", 6))
 
 
@@ -231,7 +231,7 @@ ALL_FEATURES = f"""WITH {src.LOGS}, {TEMPLATES},
 @query(ALL_FEATURES)
 def feature_columns(spark, sf):
     """All numeric features side by side."""
-    rows = src.logs(spark, sf)
+    rows = src.logs(spark, sf, heavy=True)
     model = FeatureModel.fit(rows, max_features=500)
     dense = model.dense(rows)
     return dense.select("row_id", *[F.round(c, 6).alias(c) for c in model.dense_names])
@@ -240,5 +240,5 @@ def feature_columns(spark, sf):
 @query()
 def feature_rows(spark, sf):
     """TF-IDF and numeric features as one sparse row."""
-    rows = src.logs(spark, sf)
+    rows = src.logs(spark, sf, heavy=True)
     return FeatureModel.fit(rows, max_features=500).transform(rows)

@@ -114,7 +114,7 @@ def ingest_text(spark, sf):
 )
 def ingest_csv(spark, sf):
     """CSV text cells with a free-form header."""
-    logs = src.logs(spark, sf)
+    logs = src.logs(spark, sf, heavy=True)
     quoted = F.concat(F.lit('"'), "message", F.lit('"'))
     text = F.concat_ws(
         ",",
@@ -171,7 +171,7 @@ def _json_lines(spark, sf):
             )
         )
     )
-    return src.logs(spark, sf).select("row_id", F.concat(F.lit(" "), line).alias("line"))
+    return src.logs(spark, sf, heavy=True).select("row_id", F.concat(F.lit(" "), line).alias("line"))
 
 
 @query(
@@ -330,7 +330,7 @@ def timestamp_formats(spark, sf):
     for i, (fmt, _) in enumerate(SHAPES):
         shown_as = F.date_format("timestamp", fmt)
         text = F.when(shape == i, shown_as) if text is None else text.when(shape == i, shown_as)
-    rows = src.logs(spark, sf).select("row_id", F.concat(F.lit(" "), text, F.lit(" ")).alias("t"))
+    rows = src.logs(spark, sf, heavy=True).select("row_id", F.concat(F.lit(" "), text, F.lit(" ")).alias("t"))
     parsed = F.date_format(parse_timestamp("t"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return rows.select("row_id", parsed.alias("parsed"))
 
@@ -420,7 +420,7 @@ TEMPLATE_SQL = nested_sql("message", SUBSTITUTIONS)
     UNION ALL SELECT -1 - doc_id, {nested_sql('text', SUBSTITUTIONS)} FROM documents"""
 )
 def message_template(spark, sf):
-    logs = src.logs(spark, sf).select("row_id", template("message").alias("template"))
+    logs = src.logs(spark, sf, heavy=True).select("row_id", template("message").alias("template"))
     docs = src.table(spark, sf, "documents").select(
         (F.lit(-1) - F.col("doc_id")).alias("row_id"), template("text").alias("template")
     )

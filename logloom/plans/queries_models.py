@@ -92,7 +92,7 @@ def scored_summary(spark, sf):
 @query()
 def health_by_model(spark, sf):
     """Service health from an isolation forest on the numeric log columns."""
-    logs = src.logs(spark, sf)
+    logs = src.logs(spark, sf, heavy=True)
     rows = logs.select(
         "row_id",
         F.array(

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 RECOMMENDED_CONF = {
@@ -65,3 +68,13 @@ def materialize(df, purpose: str = "table"):
     path = scratch_dir(spark, purpose)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, jobs: Sequence[Callable]) -> list:
+    """Run independent Spark actions side by side; their results in order.
+
+    Small jobs then share the executors instead of waiting for each other.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [s.result() for s in started]

@@ -30,6 +30,7 @@ ENTRY_DEFAULTS = {
     "message": "",
 }
 
+_CORRUPT = "_corrupt_record"
 ENTRY_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for names in ENTRY_ALIASES.values() for name in names]
 )
@@ -44,6 +45,17 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(ROW_ID), "*")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share out an input that cannot be split into enough pieces.
+
+    One small Parquet row group or one compressed text file is one task.  When
+    there are fewer pieces than cores the rows are dealt out; a large table has
+    more pieces than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # --- text --------------------------------------------------------------------
 
 
@@ -132,10 +144,15 @@ def normalize_entries(
 def parse_json_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """Add ``entry`` (the decoded object) and ``ok``; other columns are kept.
 
-    Only a JSON object is an entry; any other line has ``ok`` false.
+    Only a JSON object is an entry; any other line has ``ok`` false.  Each line
+    is decoded once, whatever filters follow.
     """
-    ok = F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(line))).startswith("OBJECT"), F.lit(False))
-    return df.withColumn("ok", ok).withColumn("entry", F.from_json(F.col(line), ENTRY_SCHEMA))
+    schema = T.StructType([*ENTRY_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    decoded = F.from_json(F.col(line), schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = df.select("*", F.inline(F.array(F.struct(decoded.alias("entry")))))
+    whole = F.col(line).startswith("{") & F.col(line).endswith("}")
+    ok = F.coalesce(whole & F.col(f"entry.{_CORRUPT}").isNull(), F.lit(False))
+    return rows.withColumn("ok", ok)
 
 
 def _json_text(line: Column) -> Column:
@@ -150,6 +167,7 @@ def ingest_json_lines(
     text = strip(line)
     decoded = parse_json_lines(df.withColumn(line, text).where(F.col(line) != ""), line)
     good = decoded.where("ok").select(*keep, _json_text(F.col(line)).alias("_raw"), "entry.*")
+    good = good.drop(_CORRUPT)
     logs = normalize_entries(good, raw=F.col("_raw"), method="json", keep=list(keep))
     return logs, decoded.where("NOT ok").select(*keep, line)
 
