@@ -35,14 +35,19 @@ def tokens(c: Column | str, stop_words: Sequence[str] | None = None) -> Column:
 
 
 def ngrams(words: Column, low: int = 1, high: int = 3) -> Column:
-    """All n-grams of ``low`` to ``high`` words, joined by a space."""
-
-    def of_size(n: int) -> Column:
-        if n == 1:
-            return words
-        starts = F.when(
-            F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-
-    return F.concat(*[of_size(n) for n in range(low, high + 1)])
+    """All n-grams of ``low`` to ``high`` words, joined by a space.
+
+    Each length is the one before, zipped with the words further on.
+    """
+    out, grams = [], words
+    for n in range(1, high + 1):
+        if n > 1:
+            size = F.greatest(F.size(words) - (n - 1), F.lit(0))
+            grams = F.zip_with(
+                F.slice(grams, F.lit(1), size),
+                F.slice(words, F.lit(n), size),
+                lambda a, b: F.concat(a, F.lit(" "), b),
+            )
+        if n >= low:
+            out.append(grams)
+    return F.concat(*out)

@@ -18,7 +18,50 @@ from logloom.operators.tfidf import fit_vocabulary, sparse_rows, tfidf_weights
 from logloom.schema import ROW_ID
 from logloom.session import run_together, scratch_dir
 
-_TABLES = ["vocabulary", "templates", "template_counts", "windows", "service_levels", "ips"]
+_COUNTS = ["template_counts", "windows", "service_levels", "ips"]
+
+
+@dataclass
+class CountTables:
+    """The four tables of counts, written once, with their row numbers."""
+
+    spark: SparkSession
+    path: str
+    rows: dict[str, int]
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
+    @classmethod
+    def build(cls, df: DataFrame, path: str, sizes: list[int]) -> "CountTables":
+        """Count templates, windows, (service, level) pairs and addresses of a table.
+
+        Each is one aggregate over a few columns.  Written down, its size is
+        known, and none of the uses that follow counts again.
+        """
+        spark = df.sparkSession
+        tables = {
+            "template_counts": ft.template_counts(df),
+            "windows": ft.window_counts(df, sizes),
+            "service_levels": ft.service_level_counts(df),
+            "ips": ft.ip_counts(df),
+        }
+
+        def write(name: str):
+            def job() -> int:
+                tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
+                return spark.read.schema(tables[name].schema).parquet(f"{path}/{name}").count()
+
+            return job
+
+        rows = run_together(spark, [write(name) for name in _COUNTS])
+        return cls(spark, path, dict(zip(_COUNTS, rows)))
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._read[name]
+
+    def small(self, name: str) -> bool:
+        return self.rows[name] <= MAX_BROADCAST_ROWS
 
 
 @dataclass
@@ -34,8 +77,7 @@ class FeatureModel:
     path: str
     sizes: list[int]
     names: list[str]
-    rows: dict[str, int] = field(default_factory=dict)
-    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    counts: CountTables
 
     @classmethod
     def fit(
@@ -49,35 +91,17 @@ class FeatureModel:
         spark = df.sparkSession
         path = path or scratch_dir(spark, "features")
         sizes = sizes or list(ft.WINDOW_MINUTES)
-        counts_path = f"{path}/template_counts"
-
-        def templates() -> None:
-            ft.template_counts(df).write.mode("overwrite").parquet(counts_path)
-            counts = spark.read.parquet(counts_path)
-            ft.template_vocabulary(counts, max_templates).write.mode("overwrite").parquet(
-                f"{path}/templates"
-            )
-
-        def write(name: str, table: DataFrame):
-            return lambda: table.write.mode("overwrite").parquet(f"{path}/{name}")
-
-        run_together(
-            spark,
-            [
-                write("vocabulary", fit_vocabulary(df, max_features=max_features)),
-                templates,
-                write("windows", ft.window_counts(df, sizes)),
-                write("service_levels", ft.service_level_counts(df)),
-                write("ips", ft.ip_counts(df)),
-            ],
-        )
-        terms = [
-            r["term"]
-            for r in spark.read.parquet(f"{path}/vocabulary")
-            .orderBy("term_index")
-            .select("term")
-            .collect()
-        ]
+
+        def words() -> list[str]:
+            vocabulary = fit_vocabulary(df, max_features=max_features)
+            vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
+            saved = spark.read.schema(vocabulary.schema).parquet(f"{path}/vocabulary")
+            return [r["term"] for r in saved.orderBy("term_index").select("term").collect()]
+
+        terms, counts = run_together(spark, [words, lambda: CountTables.build(df, path, sizes)])
+        ft.template_vocabulary(counts.table("template_counts"), max_templates).write.mode(
+            "overwrite"
+        ).parquet(f"{path}/templates")
         names = [
             *[f"tfidf_{t}" for t in terms],
             "template_id",
@@ -86,27 +110,20 @@ class FeatureModel:
             *ft.time_feature_names(sizes),
             *ft.FREQUENCY,
         ]
-        rows = dict(
-            zip(
-                _TABLES,
-                run_together(spark, [spark.read.parquet(f"{path}/{t}").count for t in _TABLES]),
-            )
-        )
-        body = json.dumps({"sizes": sizes, "names": names, "rows": rows})
+        body = json.dumps({"sizes": sizes, "names": names, "rows": counts.rows})
         spark.createDataFrame([(body,)], "body string").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{path}/meta")
-        return cls(spark, path, sizes, names, rows)
+        return cls(spark, path, sizes, names, counts)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FeatureModel":
         meta = json.loads(spark.read.parquet(f"{path}/meta").first()["body"])
-        return cls(spark, path, meta["sizes"], meta["names"], meta["rows"])
+        counts = CountTables(spark, path, meta["rows"])
+        return cls(spark, path, meta["sizes"], meta["names"], counts)
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.path}/{name}")
-        return self._read[name]
+        return self.counts.table(name)
 
     @property
     def n_terms(self) -> int:
@@ -136,59 +153,40 @@ class FeatureModel:
         return self._attach(keys, rows, stats)
 
     def _attach(self, keys: DataFrame, rows: DataFrame, stats: str) -> DataFrame:
-        fitted = stats == "fitted"
-        templates = self.table("template_counts") if fitted else ft.template_counts(rows)
-        windows = self.table("windows") if fitted else ft.window_counts(rows, self.sizes)
-        pairs = self.table("service_levels") if fitted else ft.service_level_counts(rows)
-        ips = self.table("ips") if fitted else ft.ip_counts(rows)
+        tables = self.counts
+        if stats != "fitted":
+            tables = CountTables.build(rows, scratch_dir(self.spark, "counts"), self.sizes)
+        templates, windows, pairs, ips = (tables.table(name) for name in _COUNTS)
 
         ids = self.table("templates").select("template", "template_id")
         total_t = templates.agg(F.sum("n").alias("t"))
+        total_p = pairs.agg(F.sum("n").alias("t"))
+        total_i = ips.agg(F.sum("n").alias("t"))
+        counts = [f"log_count_{m}min" for m in self.sizes]
         template_table = templates.join(F.broadcast(ids), "template", "left").select(
             "template",
             F.coalesce("template_id", F.lit(-1)).alias("template_id"),
             F.col("n").alias("template_n"),
         )
-        total_p = pairs.agg(F.sum("n").alias("t"))
-        pair_table = pairs.select(
-            "service",
-            "level",
-            F.col("n").alias("pair_n"),
-        )
         service_table = pairs.groupBy("service").agg(F.sum("n").alias("service_n"))
-        total_i = ips.agg(F.sum("n").alias("t"))
+        pair_table = pairs.select("service", "level", F.col("n").alias("pair_n"))
         ip_table = ips.select("source_ip", F.col("n").alias("ip_n"))
-        counts = [f"log_count_{m}min" for m in self.sizes]
 
-        def attach(rows, source, table, keys, values, weight, check):
-            # A fitted table has a known size; a batch table is counted where a
-            # broadcast is likely to pay, and joined by the skew-safe way otherwise.
-            small = self.rows[source] <= MAX_BROADCAST_ROWS if fitted else (None if check else False)
-            return lookup(rows, table, keys, values, weight=weight, small=small)
-
-        out = attach(
-            keys,
-            "template_counts",
-            template_table,
-            ["template"],
-            {"template_id": -1, "template_n": 1},
-            "template_n",
-            False,
-        )
-        out = attach(out, "windows", windows, ["minute"], dict.fromkeys(counts, 0), "n", True)
-        out = attach(
-            out, "service_levels", service_table, ["service"], {"service_n": 0}, "service_n", True
-        )
-        out = attach(
-            out,
-            "service_levels",
-            pair_table,
-            ["service", "level"],
-            {"pair_n": 0},
-            "pair_n",
-            True,
-        )
-        out = attach(out, "ips", ip_table, ["source_ip"], {"ip_n": 0}, "ip_n", False)
+        out = keys
+        for source, table, on, values, weight in (
+            (
+                "template_counts",
+                template_table,
+                ["template"],
+                {"template_id": -1, "template_n": 1},
+                "template_n",
+            ),
+            ("windows", windows, ["minute"], dict.fromkeys(counts, 0), "n"),
+            ("service_levels", service_table, ["service"], {"service_n": 0}, "service_n"),
+            ("service_levels", pair_table, ["service", "level"], {"pair_n": 0}, "pair_n"),
+            ("ips", ip_table, ["source_ip"], {"ip_n": 0}, "ip_n"),
+        ):
+            out = lookup(out, table, on, values, weight=weight, small=tables.small(source))
         seen = (F.col("pair_n") > 0) & (F.col("service_n") > 0)
         frequency = F.col("service_n") / total_p.scalar()
         figures = out.select(

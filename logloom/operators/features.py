@@ -1,8 +1,9 @@
 """Per-row features: text statistics, templates, time windows, frequencies.
 
-Every figure that depends on other rows is taken from a small table of counts.
-The table is computed from the batch itself, or passed in (``stats=``) when a
-saved training table should be used.
+Every figure that depends on other rows is taken from a table of counts.  The
+table is counted from the batch and written once, so that its size is known and
+no later use counts again, or it is passed in (``stats=``), as for a saved
+training table.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from logloom.functions.timestamps import day_of_week, hour_of_day, window_start
 from logloom.operators.lookup import lookup
 from logloom.operators.ordered import previous_time_gap
 from logloom.schema import ROW_ID
+from logloom.session import materialize
 
 # Fixed values.
 WINDOW_MINUTES = [1, 5, 15, 60]
@@ -108,7 +110,7 @@ def template_features(
     The ids join onto the count table first, so the rows are joined only once.
     """
     rows = with_template(df).select(ROW_ID, "template")
-    counts = template_counts(rows) if stats is None else stats
+    counts = materialize(template_counts(rows), "counts") if stats is None else stats
     if vocabulary is None:
         vocabulary = template_vocabulary(counts, max_templates)
     ids = vocabulary.select("template", "template_id")
@@ -116,7 +118,7 @@ def template_features(
         "template_id", F.coalesce("template_id", F.lit(-1))
     )
     total = counts.agg(F.sum("n").alias("total"))
-    out = lookup(rows, table, ["template"], {"template_id": -1, "n": 1}, small=False)
+    out = lookup(rows, table, ["template"], {"template_id": -1, "n": 1})
     rarity = 1.0 - F.col("n") / total.scalar()
     return out.select(ROW_ID, "template_id", rarity.alias("template_rarity"))
 
@@ -149,14 +151,13 @@ def time_features(
     sizes: Sequence[int] = WINDOW_MINUTES,
     stats: DataFrame | None = None,
     ts: str = "timestamp",
-    small: bool | None = None,
 ) -> DataFrame:
     """Counts of the row's own windows and seconds since the row before."""
     base = reduce(math.gcd, sizes)
     rows = df.select(ROW_ID, F.col(ts), window_start(ts, base).alias("minute"))
-    table = window_counts(df, sizes, ts) if stats is None else stats
+    table = materialize(window_counts(df, sizes, ts), "counts") if stats is None else stats
     names = [f"log_count_{m}min" for m in sizes]
-    counted = lookup(rows, table, ["minute"], dict.fromkeys(names, 0), small=small)
+    counted = lookup(rows, table, ["minute"], dict.fromkeys(names, 0))
     gaps = previous_time_gap(df, ts)
     return counted.join(gaps, ROW_ID, "left").select(
         ROW_ID,
@@ -197,7 +198,7 @@ def ip_counts(df: DataFrame) -> DataFrame:
 
 
 def service_frequency(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    table = service_counts(df) if stats is None else stats
+    table = materialize(service_counts(df), "counts") if stats is None else stats
     total = table.agg(F.sum("n").alias("total"))
     out = lookup(df.select(ROW_ID, "service"), table, ["service"], {"n": 0})
     freq = F.col("n") / total.scalar()
@@ -208,7 +209,7 @@ def service_frequency(df: DataFrame, stats: DataFrame | None = None) -> DataFram
 
 def level_rarity(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """1 - share of the row's level among its service; 0.5 for an unseen pair."""
-    table = service_level_counts(df) if stats is None else stats
+    table = materialize(service_level_counts(df), "counts") if stats is None else stats
     table = table.withColumn("level_rarity_in_service", 1.0 - F.col("n") / F.col("service_n"))
     out = lookup(
         df.select(ROW_ID, "service", "level"),
@@ -220,7 +221,7 @@ def level_rarity(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
 
 
 def ip_frequency(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    table = ip_counts(df) if stats is None else stats
+    table = materialize(ip_counts(df), "counts") if stats is None else stats
     total = table.agg(F.sum("n").alias("total"))
-    out = lookup(df.select(ROW_ID, "source_ip"), table, ["source_ip"], {"n": 0}, small=False)
+    out = lookup(df.select(ROW_ID, "source_ip"), table, ["source_ip"], {"n": 0})
     return out.select(ROW_ID, (F.col("n") / total.scalar()).alias("ip_frequency"))
