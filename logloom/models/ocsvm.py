@@ -20,6 +20,8 @@ from logloom.models.iforest import feature_size
 from logloom.models.matrix import chunks
 from logloom.models.parallel import scaled_rows, summed
 from logloom.models.scaling import VectorScaler
+from logloom.operators.ordered import percentile_values
+from logloom.session import materialize
 
 # Defaults of the detector.
 DEFAULTS = {"kernel": "rbf", "gamma": "scale", "nu": 0.05}
@@ -69,10 +71,17 @@ class OneClassSVM:
         scaler = VectorScaler.fit(df, size, max_dims)
         rows = scaled_rows(df, scaler, shards)
         model = cls._train(rows, scaler, settings, n_features, iterations, random_state)
-        ends = model.score(df).agg(F.min("score").alias("lo"), F.max("score").alias("hi")).first()
-        model.score_min, model.score_max = ends["lo"], ends["hi"]
+        model._calibrate(df)
         return model
 
+    def _calibrate(self, df: DataFrame) -> None:
+        """For a fixed w the best rho is the nu-quantile of w.z(x): set it exactly."""
+        self.rho = 0.0
+        margins = materialize(self.score(df).select("score"), "margins")
+        ends = margins.agg(F.min("score").alias("lo"), F.max("score").alias("hi")).first()
+        self.rho = percentile_values(margins, "score", [float(self.params["nu"])])[0]
+        self.score_min, self.score_max = ends["lo"] - self.rho, ends["hi"] - self.rho
+
     @classmethod
     def _train(cls, rows, scaler, settings, n_features, iterations, seed) -> "OneClassSVM":
         dims = scaler.dims

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.models.matrix import feature_block, hashed_positions
@@ -30,16 +30,12 @@ def minmax_probability(
         low, high = F.col("_ends.lo"), F.col("_ends.hi")
     else:
         low, high = F.lit(float(bounds[0])), F.lit(float(bounds[1]))
-        value = F.greatest(low, F.least(high, value))
+        value = F.when(value.isNotNull(), F.greatest(low, F.least(high, value)))
     part = (value - low) / F.nullif(high - low, F.lit(0.0))
     scaled = F.coalesce(1.0 - part if inverted else part, F.when(F.col(score).isNotNull(), 0.5))
     return df.withColumn(out, scaled).drop("_ends")
 
 
-def below(value: Column | str, threshold: Column) -> Column:
-    return F.when(F.col(value) < threshold if isinstance(value, str) else value < threshold, -1).otherwise(1)
-
-
 def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:
     """Mean 0, population sd 1; a constant column becomes 0."""
     stats = df.agg(
