@@ -380,8 +380,7 @@ def hourly_volume(spark, sf):
 
 @query(
     f"""WITH {src.LOGS}, {SPINE} SELECT {TS.format('spine.hour')} AS hour,
-    CAST(count_if(is_anomaly = 0) AS BIGINT) AS normal_count,
-    CAST(count_if(is_anomaly = 1) AS BIGINT) AS anomaly_count
+    count(*) FILTER (is_anomaly = 0) AS normal_count, count(*) FILTER (is_anomaly = 1) AS anomaly_count
     FROM spine LEFT JOIN h ON spine.hour = h.hour GROUP BY 1"""
 )
 def hourly_split(spark, sf):
