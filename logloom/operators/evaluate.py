@@ -172,26 +172,29 @@ def threshold_table(
 ) -> DataFrame:
     """Per percentile: threshold, rows at or above it, their share."""
     percentiles = THRESHOLD_PERCENTILES if percentiles is None else list(percentiles)
-    cuts = exact_percentiles(df, score, [p / 100.0 for p in percentiles])
-    marks = cuts.agg(
-        F.array_sort(F.collect_list(F.struct("p", "percentile"))).alias("marks")
+    fractions = [p / 100.0 for p in percentiles]
+    marks = exact_percentiles(df, score, fractions).agg(
+        F.map_from_entries(F.collect_list(F.struct("p", "percentile"))).alias("marks")
     )  # one entry per percentile asked for
-    flagged = df.where(F.col(score).isNotNull()).select(
-        F.col(score).alias("v"), F.explode(marks.scalar()).alias("m")
+    rows = df.where(F.col(score).isNotNull()).select(
+        F.col(score).alias("v"), marks.scalar().alias("marks")
     )
-    return (
-        flagged.groupBy(F.col("m.p").alias("p"), F.col("m.percentile").alias("threshold"))
-        .agg(
-            F.count_if(F.col("v") >= F.col("m.percentile")).alias("anomalies_detected"),
-            F.count("*").alias("n"),
-        )
-        .select(
-            F.round(F.col("p") * 100, 6).alias("percentile"),
-            "threshold",
-            "anomalies_detected",
-            (F.col("anomalies_detected") / F.col("n")).alias("anomaly_rate"),
-        )
+    limits = [F.col("marks")[F.lit(float(p))] for p in fractions]
+    counts = rows.agg(
+        F.count("*").alias("n"),
+        *[F.max(limit).alias(f"t{i}") for i, limit in enumerate(limits)],
+        *[F.count_if(F.col("v") >= limit).alias(f"c{i}") for i, limit in enumerate(limits)],
     )
+    cells = [
+        F.struct(
+            F.lit(float(p)).alias("percentile"),
+            F.col(f"t{i}").alias("threshold"),
+            F.col(f"c{i}").alias("anomalies_detected"),
+            (F.col(f"c{i}") / F.col("n")).alias("anomaly_rate"),
+        )
+        for i, p in enumerate(percentiles)
+    ]
+    return counts.where("n > 0").select(F.inline(F.array(*cells)))
 
 
 def histogram(df: DataFrame, score: str = "score", bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -282,6 +285,30 @@ def ks_drift(
     )
 
 
+def evaluate_labeled(
+    df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", score: str | None = "score"
+) -> dict[str, DataFrame]:
+    """Confusion row, per-class rows and, with a score, the area under the curve."""
+    out = {
+        "confusion": confusion(df, y_true, y_pred),
+        "class_report": class_report(df, y_true, y_pred),
+    }
+    if score is not None:
+        out["roc_auc"] = roc_auc(df, y_true, score)
+    return out
+
+
+def evaluate_unlabeled(
+    df: DataFrame, score: str = "score", percentiles: Sequence[float] | None = None
+) -> dict[str, DataFrame]:
+    """Score statistics, threshold table and histogram."""
+    return {
+        "score_statistics": score_statistics(df, score),
+        "threshold_table": threshold_table(df, score, percentiles),
+        "histogram": histogram(df, score),
+    }
+
+
 def compare_models(
     evaluations: DataFrame, name: str = "model_name", f1: str = "f1_score", order: str = "position"
 ) -> DataFrame:

@@ -84,19 +84,22 @@ def exact_percentiles(
             for p in fractions
         ]
     )
-    ranked = cum.withColumn("total", total.scalar()).select(
+    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
+
+    def holds(rank):
+        return F.floor(rank).between(first, last) | F.ceil(rank).between(first, last)
+
+    # Only a value that holds a wanted rank gives a row.
+    hits = cum.withColumn("total", total.scalar()).select(
         "v",
-        (F.col("cum_n") - F.col("n")).alias("lo"),
-        (F.col("cum_n") - 1).alias("hi"),
-        F.explode(wanted).alias("w"),
+        first.alias("lo"),
+        last.alias("hi"),
+        F.explode(F.filter(wanted, lambda w: holds(w["rank"]))).alias("w"),
     )
-    low = F.floor("w.rank")
-    holds_low = low.between(F.col("lo"), F.col("hi"))
-    holds_high = F.ceil("w.rank").between(F.col("lo"), F.col("hi"))
-    hits = ranked.where(holds_low | holds_high)
+    low = F.floor("w.rank").between(F.col("lo"), F.col("hi"))
+    high = F.ceil("w.rank").between(F.col("lo"), F.col("hi"))
     ends = hits.groupBy(F.col("w.p").alias("p"), F.col("w.rank").alias("rank")).agg(
-        F.max(F.when(holds_low, F.col("v"))).alias("a"),
-        F.max(F.when(holds_high, F.col("v"))).alias("b"),
+        F.max(F.when(low, F.col("v"))).alias("a"), F.max(F.when(high, F.col("v"))).alias("b")
     )
     part = F.col("rank") - F.floor("rank")
     return ends.select("p", (F.col("a") + (F.col("b") - F.col("a")) * part).alias("percentile"))

@@ -11,9 +11,12 @@ from logloom.functions.parsing import parse_lines
 from logloom.models.registry import Detector, batch_summary, train
 from logloom.operators.assemble import FeatureModel
 from logloom.operators.clean import preprocess
+from logloom.operators.evaluate import binary_label, evaluate_labeled, evaluate_unlabeled
+from logloom.operators.report import service_health
 from logloom.operators.validate import validate
 from logloom.schema import ROW_ID
 from logloom.session import materialize
+from logloom.sources.store import record_run
 
 
 @dataclass
@@ -73,10 +76,44 @@ def score_batch(
     return scored, batch_summary(scored)
 
 
+def evaluate_run(run: TrainingRun) -> dict[str, DataFrame]:
+    """Reports of a run: by labels where rows have one, and by scores alone.
+
+    Scores and labels are read from one written copy of four narrow columns.
+    """
+    rows = run.scored.select(
+        ROW_ID,
+        binary_label("is_anomaly", "01").alias("y_true"),
+        binary_label("anomaly_label", "pm1").alias("y_pred"),
+        F.col("anomaly_score").alias("score"),
+    )
+    rows = materialize(rows, "evaluation")
+    return {**evaluate_labeled(rows), **evaluate_unlabeled(rows)}
+
+
+def track_run(run: TrainingRun, reports: dict[str, DataFrame], path: str) -> None:
+    """Append the run with its settings and headline figures to the run table."""
+    meta = run.detector.metadata()
+    c, auc = reports["confusion"].first(), reports["roc_auc"].first()
+    record_run(
+        run.clean.sparkSession,
+        path,
+        meta["model_name"],
+        meta["version"],
+        meta["training_samples"],
+        meta["feature_count"],
+        meta["params"],
+        {
+            "precision": c["precision"],
+            "recall": c["recall"],
+            "f1_score": c["f1_score"],
+            "roc_auc": auc["roc_auc"],
+        },
+    )
+
+
 def service_health_of_lines(lines: DataFrame, **params) -> DataFrame:
     """Which services are unhealthy, by detected anomalies, from raw text lines."""
-    from logloom.operators.report import service_health
-
     run = train_run(parse_lines(lines, "line"), **params)
     flagged = run.scored.withColumn("is_anomaly", F.col("is_anomaly_detected").cast("int"))
     return service_health(flagged)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom.plans import inputs as src
-from logloom.plans.runs import score_batch, train_run
+from logloom.plans.runs import evaluate_run, score_batch, track_run, train_run
 from logloom.functions.parsing import parse_lines
 from logloom.sources import store
 
@@ -55,8 +55,9 @@ def test_reports_and_runs(spark, tmp_path):
     assert run.run_name == "m_v1" and run.params == {"n": "5"} and run.metrics["roc_auc"] is None
 
 
-def test_training_run_and_batch(spark, sf):
-    parsed = parse_lines(src.raw_lines(spark, sf), "line")
+def test_training_run_and_batch(spark, sf, tmp_path):
+    labels = src.logs(spark, sf).select("row_id", "is_anomaly")
+    parsed = parse_lines(src.raw_lines(spark, sf), "line").drop("is_anomaly").join(labels, "row_id")
     run = train_run(parsed, max_features=40, n_estimators=20, clean_options={"default_year": 2024})
     n = run.clean.count()
     assert n + run.quarantined.count() <= parsed.count()
@@ -64,6 +65,13 @@ def test_training_run_and_batch(spark, sf):
     assert scored.count() == n and scored.where("anomaly_label NOT IN (-1, 1)").count() == 0
     share = scored.where("is_anomaly_detected").count() / n
     assert 0 < share <= 0.08
+    reports = evaluate_run(run)
+    assert reports["confusion"].first().total_samples == n
+    assert 0 <= reports["roc_auc"].first().roc_auc <= 1
+    assert reports["threshold_table"].count() == 5 and reports["histogram"].count() == 50
+    track_run(run, reports, str(tmp_path / "runs"))
+    tracked = spark.read.parquet(str(tmp_path / "runs")).first()
+    assert tracked.model_name == "isolation_forest" and "f1_score" in tracked.metrics
     lines = spark.createDataFrame(
         [(1, "2024-01-20 10:00:00 [CRITICAL] db: " + "!" * 400), (2, "2024-01-20 10:00:01 [INFO] svc-1: view user_id=1 took 5ms /api/v1/view")],
         "row_id bigint, line string",
