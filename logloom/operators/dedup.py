@@ -47,17 +47,15 @@ def first_row_ids(
 
 
 def message_key(service: str = "service", message: str = "message") -> list[Column]:
-    """(service, message) as two integers cut from one SHA-256, NULL kept apart from ''.
+    """(service, message) as two integers drawn from one SHA-256, NULL kept apart from ''.
 
-    120 bits name the pair, however long the message, and integers stay inside
-    a hash aggregate.
+    128 bits name the pair, however long the message, and integers stay inside
+    a hash aggregate.  Hashing the digest, not the text, leaves nothing for a
+    crafted message to aim at.
     """
     part = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-")) for c in (service, message)]
     digest = F.sha2(F.concat_ws("\x00", *part), 256)
-    return [
-        F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint").alias(name)
-        for at, name in ((1, "_key1"), (17, "_key2"))
-    ]
+    return [F.xxhash64(F.lit(n), digest).alias(f"_key{n}") for n in (1, 2)]
 
 
 def keep_first(
@@ -125,19 +123,21 @@ def deduplicate(
         first = narrow.groupBy(hash_col).agg(
             F.min(packed).alias("_first"), *[F.min_by(k, packed).alias(k) for k in keys]
         )
+        if window_minutes is None:
+            kept = first.groupBy(*keys).agg(F.min("_first").alias("_first"))
+            kept = kept.select(_row_id_of(F.col("_first")).alias(row_id))
+        else:
+            micros = _micros_of(F.col("_first"))
+            rows = first.select(
+                *keys,
+                _row_id_of(F.col("_first")).alias(row_id),
+                F.when(micros < _NO_TIME, F.timestamp_micros(micros)).alias(ts),
+            )
+            kept = window_survivors(rows, window_minutes, keys, ts, row_id)
+    elif window_minutes is None:
+        kept = first_row_ids(narrow, keys, ts, row_id)
     else:
-        first = narrow.select(_packed(ts, row_id).alias("_first"), *keys)
-    if window_minutes is None:
-        kept = first.groupBy(*keys).agg(F.min("_first").alias("_first"))
-        kept = kept.select(_row_id_of(F.col("_first")).alias(row_id))
-    else:
-        micros = _micros_of(F.col("_first"))
-        rows = first.select(
-            *keys,
-            _row_id_of(F.col("_first")).alias(row_id),
-            F.when(micros < _NO_TIME, F.timestamp_micros(micros)).alias(ts),
-        )
-        kept = window_survivors(rows, window_minutes, keys, ts, row_id)
+        kept = window_survivors(narrow, window_minutes, keys, ts, row_id)
     return df.join(kept, row_id, "left_semi")
 
 
