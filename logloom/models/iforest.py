@@ -151,47 +151,44 @@ def _candidates(pid: int, trees: int, psi: int, limit: int, seed: int):
 
 
 class PackedForest:
-    """Node tables of a forest as rectangular arrays, for vectorised descent."""
+    """All nodes of a forest in flat arrays, for vectorised descent.
+
+    A leaf is its own child, so every row takes the same number of steps.
+    """
 
     def __init__(self, nodes: pd.DataFrame, size: int, psi: int) -> None:
-        trees = sorted(nodes["tree"].unique())
-        width = int(nodes.groupby("tree").size().max())
-        shape = (len(trees), width)
+        nodes = nodes.sort_values(["tree", "node"])
         used = np.sort(nodes.loc[nodes["feature"] >= 0, "feature"].unique()).astype(int)
         self.positions = np.full(size, -1, dtype=np.int64)
         self.positions[used] = np.arange(len(used))
         self.width = max(1, len(used))
         self.size = size
-        self.feature = np.zeros(shape, dtype=np.int64)
-        self.threshold = np.full(shape, np.inf)
-        self.left = np.tile(np.arange(width), (len(trees), 1))
-        self.right = self.left.copy()
-        self.path = np.zeros(shape)
         self.depth = int(nodes["depth"].max())
         self.norm = float(average_path(np.array([psi]))[0]) or 1.0
-        row_of = {t: i for i, t in enumerate(trees)}
-        i = nodes["tree"].map(row_of).to_numpy()
-        j = nodes["node"].to_numpy()
-        inner = nodes["feature"].to_numpy() >= 0
-        self.feature[i[inner], j[inner]] = self.positions[nodes["feature"].to_numpy()[inner]]
-        self.threshold[i[inner], j[inner]] = nodes["threshold"].to_numpy()[inner]
-        self.left[i[inner], j[inner]] = nodes["left"].to_numpy()[inner]
-        self.right[i[inner], j[inner]] = nodes["right"].to_numpy()[inner]
-        self.path[i, j] = nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy())
+
+        counts = nodes.groupby("tree", sort=True).size().to_numpy()
+        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        first = np.repeat(starts, counts)
+        me = np.arange(len(nodes))
+        feature = nodes["feature"].to_numpy()
+        inner = feature >= 0
+        self.roots = starts
+        self.feature = np.where(inner, self.positions[np.where(inner, feature, 0)], 0)
+        self.threshold = np.where(inner, nodes["threshold"].to_numpy(), np.inf)
+        self.child = np.empty(2 * len(nodes), dtype=np.int64)
+        self.child[0::2] = np.where(inner, first + nodes["left"].to_numpy(), me)
+        self.child[1::2] = np.where(inner, first + nodes["right"].to_numpy(), me)
+        self.path = nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy())
 
     def anomaly(self, x: np.ndarray) -> np.ndarray:
         """2^(-E[h]/c): near 1 for isolated points."""
-        n, trees = len(x), np.arange(len(self.feature))
-        node = np.zeros((n, len(trees)), dtype=np.int64)
-        rows = np.arange(n)[:, None]
+        flat, width = x.ravel(), x.shape[1]
+        row = (np.arange(len(x)) * width)[:, None]
+        node = np.tile(self.roots, (len(x), 1))
         for _ in range(self.depth):
-            value = x[rows, self.feature[trees, node]]
-            node = np.where(
-                value <= self.threshold[trees, node],
-                self.left[trees, node],
-                self.right[trees, node],
-            )
-        return np.exp2(-self.path[trees, node].mean(axis=1) / self.norm)
+            right = flat.take(row + self.feature.take(node)) > self.threshold.take(node)
+            node = self.child.take(2 * node + right)
+        return np.exp2(-self.path.take(node).mean(axis=1) / self.norm)
 
     def score_column(self, col) -> pd.Series:
         parts = [
