@@ -23,6 +23,10 @@ MODELS = {
     "autoencoder": Autoencoder,
 }
 TUNERS = {"isolation_forest": iforest.tune, "one_class_svm": ocsvm.tune}
+TUNED = {
+    "isolation_forest": {"n_estimators", "max_samples"},
+    "one_class_svm": {"nu", "gamma"},
+}
 
 # Settings a training run uses unless told otherwise.
 CONFIGURED = {
@@ -137,9 +141,11 @@ def train(
         raise ValueError(f"unknown model {name!r}; available: {sorted(MODELS)}")
     settings = {**CONFIGURED[name], **params}
     if tune and name in TUNERS:
-        model = TUNERS[name](
-            df, **{k: v for k, v in settings.items() if k not in ("n_estimators", "max_samples", "nu", "gamma") or isinstance(v, tuple)}
-        )
+        # A tuned setting is searched over a tuple; its single configured value is dropped.
+        grid = {
+            k: v for k, v in settings.items() if k not in TUNED[name] or isinstance(v, tuple)
+        }
+        model = TUNERS[name](df, **grid)
     else:
         model = MODELS[name].fit(df, **settings)
     now = datetime.now(timezone.utc).replace(tzinfo=None)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.timestamps import window_start
 from logloom.operators import features as ft
-from logloom.operators.lookup import MAX_BROADCAST_ROWS, lookup
+from logloom.operators.lookup import fits_broadcast, lookup
 from logloom.operators.ordered import previous_time_gap
 from logloom.operators.tfidf import fit_vocabulary, sparse_rows, tfidf_weights
 from logloom.schema import ROW_ID
@@ -23,11 +23,11 @@ _COUNTS = ["template_counts", "windows", "service_levels", "ips"]
 
 @dataclass
 class CountTables:
-    """The four tables of counts, written once, with their row numbers."""
+    """The four tables of counts, written once; ``fits`` says which may be broadcast."""
 
     spark: SparkSession
     path: str
-    rows: dict[str, int]
+    fits: dict[str, bool]
     _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     @classmethod
@@ -46,23 +46,21 @@ class CountTables:
         }
 
         def write(name: str):
-            def job() -> int:
+            def job() -> bool:
                 tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
-                return spark.read.schema(tables[name].schema).parquet(f"{path}/{name}").count()
+                saved = spark.read.schema(tables[name].schema).parquet(f"{path}/{name}")
+                return fits_broadcast(saved)
 
             return job
 
-        rows = run_together(spark, [write(name) for name in _COUNTS])
-        return cls(spark, path, dict(zip(_COUNTS, rows)))
+        fits = run_together(spark, [write(name) for name in _COUNTS])
+        return cls(spark, path, dict(zip(_COUNTS, fits)))
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
             self._read[name] = self.spark.read.parquet(f"{self.path}/{name}")
         return self._read[name]
 
-    def small(self, name: str) -> bool:
-        return self.rows[name] <= MAX_BROADCAST_ROWS
-
 
 @dataclass
 class FeatureModel:
@@ -110,7 +108,7 @@ class FeatureModel:
             *ft.time_feature_names(sizes),
             *ft.FREQUENCY,
         ]
-        body = json.dumps({"sizes": sizes, "names": names, "rows": counts.rows})
+        body = json.dumps({"sizes": sizes, "names": names, "fits": counts.fits})
         spark.createDataFrame([(body,)], "body string").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{path}/meta")
@@ -119,7 +117,7 @@ class FeatureModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FeatureModel":
         meta = json.loads(spark.read.parquet(f"{path}/meta").first()["body"])
-        counts = CountTables(spark, path, meta["rows"])
+        counts = CountTables(spark, path, meta["fits"])
         return cls(spark, path, meta["sizes"], meta["names"], counts)
 
     def table(self, name: str) -> DataFrame:
@@ -186,7 +184,7 @@ class FeatureModel:
             ("service_levels", pair_table, ["service", "level"], {"pair_n": 0}, "pair_n"),
             ("ips", ip_table, ["source_ip"], {"ip_n": 0}, "ip_n"),
         ):
-            out = lookup(out, table, on, values, weight=weight, small=tables.small(source))
+            out = lookup(out, table, on, values, weight=weight, small=tables.fits[source])
         seen = (F.col("pair_n") > 0) & (F.col("service_n") > 0)
         frequency = F.col("service_n") / total_p.scalar()
         figures = out.select(

@@ -9,13 +9,21 @@ from pyspark.sql import functions as F
 
 from logloom.schema import ROW_ID
 
-# A broadcast side never holds more rows than this.
+# A broadcast side never holds more rows or more text than this.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def fits_broadcast(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
-    """Count the rows of a small table, stopping past ``limit``."""
-    return table.limit(limit + 1).count() <= limit
+def fits_broadcast(
+    table: DataFrame, limit: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """Count the rows of a small table and the bytes they hold, stopping past ``limit`` rows."""
+    size = F.lit(16 * len(table.columns))
+    for name, dtype in table.dtypes:
+        if dtype == "string":
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    found = table.limit(limit + 1).agg(F.count("*").alias("n"), F.sum(size).alias("b")).first()
+    return found["n"] <= limit and (found["b"] or 0) <= max_bytes
 
 
 def lookup(

@@ -247,8 +247,8 @@ def progress_totals(query, name: str = "totals") -> dict[str, int]:
     """Sum the observed figures over a query's progress events."""
     out = {"consumed": 0, "anomalies_detected": 0}
     for event in query.recentProgress:
-        row = (event.get("observedMetrics") or {}).get(name) if isinstance(event, dict) else event.observedMetrics.get(name)
-        for k in out:
-            if row is not None:
-                out[k] += int(row[k] if not hasattr(row, k) else getattr(row, k))
+        row = event.observedMetrics.get(name)
+        if row is not None:
+            for key in out:
+                out[key] += row[key]
     return out

@@ -68,6 +68,8 @@ def test_lookup(spark, small):
 
 def test_broadcast_check(spark):
     assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
+    long = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("k"))
+    assert fits_broadcast(long, 10, 20_000) and not fits_broadcast(long, 10, 5_000)
 
 
 def labelled(spark, rows):
