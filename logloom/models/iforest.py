@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from logloom.models.matrix import chunks, feature_block
 from logloom.operators.ordered import exact_percentiles
 from logloom.schema import ROW_ID
-from logloom.session import materialize
+from logloom.session import materialize, ship_package
 
 # The published sub-sample size and the defaults of a forest.
 AUTO_SAMPLES = 256
@@ -104,6 +104,7 @@ def _grow_forests(
     df: DataFrame, n_rows: int, size: int, settings: list[tuple[int, int, int]], seed: int
 ) -> DataFrame:
     """Nodes of several forests; a setting is (param_id, trees, sample size)."""
+    ship_package(df.sparkSession)
     pool_rows = max(POOL_ROWS, 2 * max(s[2] for s in settings))
     pool = df.select(ROW_ID, "features")
     if n_rows > 2 * pool_rows:
@@ -199,6 +200,7 @@ class PackedForest:
 
 
 def _score_expr(spark: SparkSession, forest: PackedForest, features: str = "features"):
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(forest)
 
     @F.pandas_udf(T.DoubleType())

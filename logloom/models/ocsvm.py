@@ -21,7 +21,7 @@ from logloom.models.matrix import chunks
 from logloom.models.parallel import scaled_rows, summed
 from logloom.models.scaling import VectorScaler
 from logloom.operators.ordered import percentile_values
-from logloom.session import materialize
+from logloom.session import materialize, ship_package
 
 # Defaults of the detector.
 DEFAULTS = {"kernel": "rbf", "gamma": "scale", "nu": 0.05}
@@ -168,6 +168,7 @@ class OneClassSVM:
 
 def apply_scores(df: DataFrame, run) -> DataFrame:
     """Score with a Series-to-Series function; label is -1 below zero."""
+    ship_package(df.sparkSession)
 
     @F.pandas_udf(T.DoubleType())
     def plain(col: pd.Series) -> pd.Series:

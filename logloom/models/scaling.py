@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.models.matrix import feature_block, hashed_positions
+from logloom.session import ship_package
 
 
 def minmax_probability(
@@ -66,6 +67,7 @@ class VectorScaler:
 
     @classmethod
     def fit(cls, df: DataFrame, size: int, max_dims: int = 256) -> "VectorScaler":
+        ship_package(df.sparkSession)
         positions = hashed_positions(size, max_dims)
         dims = min(size, max_dims)
         pivot = None

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -78,3 +80,21 @@ def run_together(spark: SparkSession, jobs: Sequence[Callable]) -> list:
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
         started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         return [s.result() for s in started]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Fitting and scoring run package code inside tasks; a worker does not share
+    the driver's import path.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_logloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="logloom-code-")) / f"logloom-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, str(Path(package.name) / source.relative_to(package)))
+    context.addPyFile(str(archive))
+    context._logloom_shipped = True

@@ -165,3 +165,25 @@ def test_summary(spark):
     df = spark.createDataFrame([(True,), (False,)], "is_anomaly_detected boolean")
     assert tuple(batch_summary(df).first()) == (2, 1, 0.5)
     assert tuple(batch_summary(df.where("false")).first()) == (0, 0, 0.0)
+
+
+def test_workers_get_the_package(tmp_path):
+    """A driver started elsewhere: tasks still find the package."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = (
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "from pyspark.sql import functions as F\n"
+        "from logloom.session import get_session\n"
+        "from logloom.models.registry import train\n"
+        "spark = get_session('t', 'local[2]', spark__ui__enabled='false')\n"
+        "df = spark.range(50).select(F.col('id').alias('row_id'), F.array(F.rand(1)).alias('features'))\n"
+        "print('rows', train(df, n_estimators=3).score(df).count())\n"
+    )
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert "rows 50" in out.stdout, out.stderr[-2000:]
