@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.llm import quality
+from logloom.llm import decontaminate, linededup, quality
 from logloom.llm.common import materialize, table
 
 
@@ -16,7 +16,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.clean(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take lines out that ten documents or more share."""
+    return linededup.clean(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents contaminated by benchmark items."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("decontamination", decontamination),
+]
 
 # SQL can't express signatures with confirmed links or byte-pair merges; tests/llm compares with brute force.
 ORACLE_SQL = None
