@@ -13,9 +13,9 @@
 4. Candidates are confirmed on full sets, and confirmed links joined by
    union-find.
 5. Buckets whose classes are still in several components hold pairs not yet compared.
-   Their members are dealt to blocks of ``BLOCK``; each pair of blocks is compared by one task, across
-   components only, and again on full sets.  So no link of a bucket is lost
-   and no list of all pairs is ever made.
+   In each of these the members outside its largest component are compared with all others, on a grid of
+   blocks of ``BLOCK``, a cell in one task, across components only, and again on full sets.
+   So no link of a bucket is lost and no list of all pairs is ever made.
 
 Defined results: null, empty and wordless texts have an empty set and are
 linked with nothing; texts of fewer than k words are one shingle; rows that
@@ -137,10 +137,9 @@ def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
 
 
 def _across(group: pa.Table, percent: int) -> pa.Table:
-    """Links between members of different components in one pair of blocks of one bucket."""
+    """Links of minor members (left) with members of other components (right) in one cell of a bucket's grid."""
     band = group["band"][0].as_py()
-    lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
-    keys, block = group["key"].to_pylist(), np.array(group["block"].to_pylist())
+    keys, left, minor = group["key"].to_pylist(), group["left"].to_pylist(), np.array(group["minor"].to_pylist())
     sizes = group["n"].to_numpy()
     bands = np.array(group["bands"].to_pylist(), dtype=np.int64)
     slots = bands.view(np.uint16)
@@ -148,10 +147,12 @@ def _across(group: pa.Table, percent: int) -> pa.Table:
     joined = UnionFind()
     for key, root in zip(keys, group["root"].to_pylist()):
         joined.union(key, root)
+    order = np.argsort(np.argsort(np.array(keys, dtype=object)))
+    right = ~np.array(left)
     links = []
-    for i in range(len(keys)):
-        # Each pair once: in the block pair of its blocks, in the first band that both share.
-        fit = (block[i] == lo) & (block == hi) if lo != hi else np.arange(len(keys)) > i
+    for i in np.flatnonzero(left):
+        # Two minor members meet in both directions: one is enough.  A pair counts in the first band that both share.
+        fit = right & (~minor | (order > order[i]))
         fit &= (sizes * 100 >= sizes[i] * percent) & (sizes[i] * 100 >= sizes * percent)
         fit &= ~(bands[:, :band] == bands[i, :band]).any(axis=1)
         # Estimates 0.2 under the threshold are over five deviations away.
@@ -201,15 +202,23 @@ def groups(
     # Buckets of three classes or more that are still in several components.
     placed = met.where("members > 2").join(roots.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("root", F.coalesce("root", "key"))
-    split = placed.groupBy("band", "value").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-    split = split.where("r0 <> r1").select("band", "value")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    dealt = placed.join(split, ["band", "value"], "left_semi").withColumns({"block": mine})
-    dealt = dealt.select("band", "value", "key", "root", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
-    dealt = dealt.join(classes.select("key", "n", "bands"), "key").join(sets_, "key")
-    more = dealt.groupBy("band", "value", "lo", "hi").applyInArrow(lambda g: _across(g, percent), f"a {kind}, b {kind}")
+    sizes = placed.groupBy("band", "value", "root").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("band", "value").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"))
+    largest = largest.where("roots > 1").select("band", "value", F.col("m.root").alias("main"), F.col("m.c").alias("c"))
+    split = placed.join(largest, ["band", "value"]).withColumn("minor", F.col("root") != F.col("main"))
+    # A grid: minor members by rows of cells, all members by columns.
+    wide = F.ceil(F.col("members") / BLOCK).cast("int")
+    high = F.ceil((F.col("members") - F.col("c")) / BLOCK).cast("int")
+    mine = lambda n: F.pmod(F.xxhash64("key"), n).cast("int")
+    carried = ["band", "value", "key", "root", "minor"]
+    whole = split.drop("n", "bn", "b").join(classes.select("key", "n", "bands"), "key").join(sets_, "key")
+    whole = whole.select(*carried, "n", "bands", "elements", wide.alias("wide"), high.alias("high"))
+    figures = [*carried, "n", "bands", "elements"]
+    wide, high = F.col("wide"), F.col("high")
+    rows = whole.where("minor").select(*figures, F.lit(True).alias("left"), mine(high).alias("i"), F.explode(F.sequence(F.lit(0), wide - 1)).alias("j"))
+    columns = whole.select(*figures, F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), high - 1)).alias("i"), mine(wide).alias("j"))
+    dealt = rows.unionByName(columns)
+    more = dealt.groupBy("band", "value", "i", "j").applyInArrow(lambda g: _across(g, percent), f"a {kind}, b {kind}")
     more = materialize(more, "more-links")
     # Stars of the first round carry over; only what they now lack is new.
     stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
