@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from logloom.llm.common import prepare, scratch_dir
 
-BLOCK_BYTES = 32 * 1024 * 1024
+BLOCK_BYTES, RUN_DOCS = 16 * 1024 * 1024, 256
 
 
 class WordNumbers(dict):
@@ -59,48 +59,66 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _row(block: int, numbers, rows: list[pa.Array], codes: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
-    docs = pa.StructArray.from_arrays([pa.concat_arrays(rows), pa.array(codes, pa.binary())], ["row", "codes"])
+def _row(block: int, numbers, rows: list[pa.Array], sizes: list[int], runs: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+    docs = pa.StructArray.from_arrays([pa.concat_arrays(rows), pa.array(sizes, pa.int32())], ["row", "size"])
     words = pa.array(numbers.words(), pa.binary()).cast(pa.string())
     ends = lambda n: pa.array([0, n], pa.int32())
+    columns = (words, pa.array(counts, pa.int64()), docs, pa.array(runs, pa.binary()))
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([block], pa.int64()),
-            pa.ListArray.from_arrays(ends(len(words)), words),
-            pa.ListArray.from_arrays(ends(len(words)), pa.array(counts, pa.int64())),
-            pa.ListArray.from_arrays(ends(len(codes)), docs),
-        ],
-        names=["block", "words", "counts", "docs"],
+        [pa.array([block], pa.int64()), *[pa.ListArray.from_arrays(ends(len(c)), c) for c in columns]],
+        names=["block", "words", "counts", "docs", "runs"],
     )
 
 
+class _Block:
+    """What a block has gathered: numbers of its words, documents, runs of packed codes."""
+
+    def __init__(self, numbers):
+        self.numbers, self.rows, self.sizes, self.runs, self.open = numbers, [], [], [], []
+        self.bytes, self.counts = 0, np.zeros(1024, np.int64)
+
+    def add(self, text: bytes, counted: bool) -> None:
+        codes = self.numbers.of(text)
+        self.sizes.append(len(codes))
+        self.open.append(codes)
+        self.bytes += len(text)
+        if counted and len(codes):
+            most = int(codes.max())
+            if most >= len(self.counts):
+                self.counts = np.concatenate([self.counts, np.zeros(max(len(self.counts), most), np.int64)])
+            self.counts[: most + 1] += np.bincount(codes)
+        if len(self.open) >= RUN_DOCS:
+            self.close()
+
+    def close(self) -> None:
+        if self.open:
+            self.runs.append(packed(np.concatenate(self.open)))
+            self.open = []
+
+    def batch(self, block: int) -> pa.RecordBatch:
+        self.close()
+        counts = _cut_to(self.counts, len(self.numbers.words()))
+        return _row(block, self.numbers, self.rows, self.sizes, self.runs, counts)
+
+
 def _cut(batches: Iterator[pa.RecordBatch], make: Callable, block_bytes: int) -> Iterator[pa.RecordBatch]:
     """Columns: row (struct), text, counted (its words count)."""
     block = TaskContext.get().partitionId() << 32
-    numbers, rows, codes, size, counts = make(), [], [], 0, np.zeros(1024, np.int64)
+    part = _Block(make())
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
         counted = batch.column(2).to_pylist()
         start = 0
-        for i, text in enumerate(texts):
-            found = numbers.of(text or b"")
-            codes.append(packed(found))
-            if counted[i] and len(found):
-                most = int(found.max())
-                if most >= len(counts):
-                    counts = np.concatenate([counts, np.zeros(max(len(counts), most), np.int64)])
-                counts[: most + 1] += np.bincount(found)
-            size += len(text or b"")
-            if size >= block_bytes:
-                rows.append(batch.column(0).slice(start, i + 1 - start))
+        for i, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
+            part.add(text or b"", counted[i])
+            if part.bytes >= block_bytes:
+                part.rows.append(batch.column(0).slice(start, i + 1 - start))
                 start = i + 1
-                yield _row(block, numbers, rows, codes, _cut_to(counts, len(numbers.words())))
-                block += 1
-                numbers, rows, codes, size, counts = make(), [], [], 0, np.zeros(1024, np.int64)
-        if start < len(texts):
-            rows.append(batch.column(0).slice(start))
-    if codes:
-        yield _row(block, numbers, rows, codes, _cut_to(counts, len(numbers.words())))
+                yield part.batch(block)
+                block, part = block + 1, _Block(make())
+        if start < batch.num_rows:
+            part.rows.append(batch.column(0).slice(start))
+    if part.sizes:
+        yield part.batch(block)
 
 
 def _cut_to(counts: np.ndarray, n: int) -> np.ndarray:
@@ -115,7 +133,9 @@ def block_table(
     counted=None,
     block_bytes: int | None = None,
 ) -> DataFrame:
-    """(block, words, counts, docs array<struct<row, codes>>), one row per block, written and bucketed.
+    """(block, words, counts, docs array<struct<row, size>>, runs), one row per block, written and bucketed.
+
+    ``runs`` holds the word numbers of all documents in order, packed for ``RUN_DOCS`` documents together.
 
     ``make`` gives a fresh numbering for each block; ``counted`` says whose words enter ``counts``.
     """
@@ -130,14 +150,15 @@ def block_table(
             T.StructField("block", T.LongType()),
             T.StructField("words", T.ArrayType(T.StringType())),
             T.StructField("counts", T.ArrayType(T.LongType())),
-            T.StructField("docs", T.ArrayType(T.StructType([T.StructField("row", row_type), T.StructField("codes", T.BinaryType())]))),
+            T.StructField("docs", T.ArrayType(T.StructType([T.StructField("row", row_type), T.StructField("size", T.IntegerType())]))),
+            T.StructField("runs", T.ArrayType(T.BinaryType())),
         ]
     )
     made = rows.mapInArrow(lambda b: _cut(b, make, most), schema)
     name = f"llm_blocks_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_dir(spark, "blocks")
-    made.write.bucketBy(buckets, "block").option("path", path).format("parquet").saveAsTable(name)
+    made.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
@@ -147,7 +168,10 @@ def words_of(blocks: DataFrame) -> DataFrame:
     return rows.select("block", "no", "word", F.get("counts", F.col("no")).alias("n"))
 
 
-def documents_of(batch: pa.RecordBatch, i: int, column: str = "docs") -> tuple[pa.StructArray, list[bytes]]:
-    """The documents of one block row: their carried columns and packed codes."""
-    docs = batch.column(batch.schema.get_field_index(column)).slice(i, 1).flatten()
-    return docs.field("row"), docs.field("codes").to_pylist()
+def documents_of(batch: pa.RecordBatch, i: int) -> tuple[pa.StructArray, list[np.ndarray]]:
+    """The documents of one block row: their carried columns and word numbers."""
+    docs = batch.column(batch.schema.get_field_index("docs")).slice(i, 1).flatten()
+    runs = batch.column(batch.schema.get_field_index("runs")).slice(i, 1).flatten()
+    codes = [unpacked(r) for r in runs.to_pylist()]
+    whole = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
+    return docs.field("row"), np.split(whole, np.cumsum(docs.field("size").to_numpy())[:-1])

@@ -57,7 +57,7 @@ class PieceNumbers:
     def _cut(self, cut: str) -> tuple[int, ...]:
         numbers = self.numbers
         found = tuple([numbers.setdefault(w, len(numbers)) for w in self.match(cut)])
-        if len(cut) < 100:
+        if len(cut) < 48:
             self.cuts[cut] = found
         return found
 
@@ -135,8 +135,7 @@ def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at[nos], size[nos] = np.cumsum(sizes) - sizes, sizes
             # Documents go out in runs, so that a block is never one huge batch.
             for first in range(0, len(codes), 500):
-                some = [unpacked(c) for c in codes[first : first + 500]]
-                out = [_gathered(at, size, ids, c) for c in some]
+                out = [_gathered(at, size, ids, c) for c in codes[first : first + 500]]
                 ends = np.cumsum([0] + [len(x) for x in out])
                 flat = np.concatenate(out) if out else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
@@ -157,10 +156,10 @@ def encode(
         lambda b: _encoded(b, shared, pattern), "block bigint, nos binary, sizes binary, ids binary"
     )
     parts = found.groupBy("block").agg(F.collect_list(F.struct("nos", "sizes", "ids")).alias("parts"))
-    back = blocks.select("block", "docs").join(parts, "block", "left")
+    back = blocks.select("block", "docs", "runs").join(parts, "block", "left")
     row_type = T.StructType([docs.schema[c] for c in keep])
     schema = T.StructType([T.StructField("row", row_type), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    out = back.select("docs", "parts").mapInArrow(_reassembled, schema)
+    out = back.select("docs", "runs", "parts").mapInArrow(_reassembled, schema)
     return out.select(*[F.col("row")[c].alias(c) for c in keep], "ids")
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.llm.blocks import WordNumbers, block_table, documents_of, unpacked, words_of
+from logloom.llm.blocks import WordNumbers, block_table, documents_of, words_of
 from logloom.llm.common import materialize, prepare
 
 # The number of shards is a power of two: a shard is the low bits of a key.
@@ -116,8 +116,8 @@ def _word_hashes(words: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
 
 
-def _with_end(hashes: np.ndarray, codes: bytes) -> np.ndarray:
-    return np.append(hashes[unpacked(codes)], END)
+def _with_end(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return np.append(hashes[codes], END)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def _leftover(batches: Iterator[pa.RecordBatch], shared, n_docs: int) -> Iterato
             hashes, counts = _block_counts(batch, i)
             for code, train in zip(codes, rows.field("_train").to_pylist()):
                 if train:
-                    _, context = _with_context(counts, unpacked(code), n_docs)
+                    _, context = _with_context(counts, code, n_docs)
                     there = filter_.levels(pair_keys(_with_end(hashes, code))) > 0
                     b = _bucket(context)
                     total += np.bincount(b, minlength=BUCKETS)
@@ -181,8 +181,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, model: dict) -> Iterator[
             hashes, counts = _block_counts(batch, i)
             out = []
             for code in codes:
-                numbers = unpacked(code)
-                own, context = _with_context(counts, numbers, n_docs)
+                own, context = _with_context(counts, code, n_docs)
                 unigram = (own + 1) / (tokens + kinds + 1)
                 # A pair is never seen more often than either of its words.
                 seen = np.minimum(count_of(filter_.levels(pair_keys(_with_end(hashes, code)))), np.minimum(own, context))
@@ -214,7 +213,7 @@ def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), t
     model = {"docs": n_docs, "tokens": words["n"] + n_docs, "kinds": words["v"] + (n_docs > 0)}
 
     # Pairs: counts, the smallest level that fits, the filter.
-    pairs = blocks.select("words", "docs").mapInArrow(_pairs, "pair bigint, n bigint")
+    pairs = blocks.select("words", "docs", "runs").mapInArrow(_pairs, "pair bigint, n bigint")
     pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
     pairs = materialize(pairs, "pairs")
     level = F.floor(F.log("n") / F.log(F.lit(BASE)) + 1e-9).cast("int") + 1
@@ -234,7 +233,7 @@ def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), t
 
     back = figures.groupBy("block").agg(F.collect_list(F.struct("no", "c")).alias("figures"))
     ready = materialize(back, "figures")
-    joined = blocks.select("block", "words", "docs").join(ready, "block", "left").select("words", "docs", "figures")
+    joined = blocks.select("block", "words", "docs", "runs").join(ready, "block", "left").select("words", "docs", "runs", "figures")
     parts = joined.mapInArrow(lambda b: _leftover(b, shared, n_docs), "bucket bigint, total double, held double")
     left = np.ones(BUCKETS)
     for r in parts.groupBy("bucket").agg(F.sum("total").alias("t"), F.sum("held").alias("h")).where("t > 0").collect():
