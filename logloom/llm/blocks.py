@@ -51,7 +51,7 @@ class WordNumbers(dict):
 def packed(numbers: np.ndarray) -> bytes:
     """uint32 numbers by byte planes, compressed: small numbers have empty upper planes."""
     planes = np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.compress(planes, 1)
+    return zstandard.compress(planes, 3)
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -59,9 +59,8 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _row(block: int, numbers, rows: list[pa.Array], sizes: list[int], runs: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+def _row(block: int, words: pa.Array, rows: list[pa.Array], sizes: list[int], runs: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
     docs = pa.StructArray.from_arrays([pa.concat_arrays(rows), pa.array(sizes, pa.int32())], ["row", "size"])
-    words = pa.array(numbers.words(), pa.binary()).cast(pa.string())
     ends = lambda n: pa.array([0, n], pa.int32())
     columns = (words, pa.array(counts, pa.int64()), docs, pa.array(runs, pa.binary()))
     return pa.RecordBatch.from_arrays(
@@ -71,34 +70,31 @@ def _row(block: int, numbers, rows: list[pa.Array], sizes: list[int], runs: list
 
 
 class _Block:
-    """What a block has gathered: numbers of its words, documents, runs of packed codes."""
+    """What a block has gathered: numbers of its words, documents and their codes."""
 
     def __init__(self, numbers):
-        self.numbers, self.rows, self.sizes, self.runs, self.open = numbers, [], [], [], []
-        self.bytes, self.counts = 0, np.zeros(1024, np.int64)
+        self.numbers, self.rows, self.codes, self.counted, self.bytes = numbers, [], [], [], 0
 
     def add(self, text: bytes, counted: bool) -> None:
-        codes = self.numbers.of(text)
-        self.sizes.append(len(codes))
-        self.open.append(codes)
+        self.codes.append(self.numbers.of(text))
+        self.counted.append(counted)
         self.bytes += len(text)
-        if counted and len(codes):
-            most = int(codes.max())
-            if most >= len(self.counts):
-                self.counts = np.concatenate([self.counts, np.zeros(max(len(self.counts), most), np.int64)])
-            self.counts[: most + 1] += np.bincount(codes)
-        if len(self.open) >= RUN_DOCS:
-            self.close()
-
-    def close(self) -> None:
-        if self.open:
-            self.runs.append(packed(np.concatenate(self.open)))
-            self.open = []
 
     def batch(self, block: int) -> pa.RecordBatch:
-        self.close()
-        counts = _cut_to(self.counts, len(self.numbers.words()))
-        return _row(block, self.numbers, self.rows, self.sizes, self.runs, counts)
+        """The row of the block.  Words are numbered anew by falling frequency, which packs best."""
+        words = self.numbers.words()
+        self.numbers = None
+        n, none = len(words), np.zeros(0, np.uint32)
+        used = np.bincount(np.concatenate([none, *self.codes]), minlength=n)
+        order = np.argsort(-used, kind="stable")
+        rank = np.empty(n, np.uint32)
+        rank[order] = np.arange(n, dtype=np.uint32)
+        counts = np.bincount(np.concatenate([none, *[c for c, t in zip(self.codes, self.counted) if t]]), minlength=n)
+        runs = [
+            packed(rank[np.concatenate([none, *self.codes[i : i + RUN_DOCS]])]) for i in range(0, len(self.codes), RUN_DOCS)
+        ]
+        named = pa.array(words, pa.binary()).cast(pa.string()).take(pa.array(order))
+        return _row(block, named, self.rows, [len(c) for c in self.codes], runs, counts[order].astype(np.int64))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], make: Callable, block_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -117,14 +113,10 @@ def _cut(batches: Iterator[pa.RecordBatch], make: Callable, block_bytes: int) ->
                 block, part = block + 1, _Block(make())
         if start < batch.num_rows:
             part.rows.append(batch.column(0).slice(start))
-    if part.sizes:
+    if part.codes:
         yield part.batch(block)
 
 
-def _cut_to(counts: np.ndarray, n: int) -> np.ndarray:
-    return counts[:n] if len(counts) >= n else np.concatenate([counts, np.zeros(n - len(counts), np.int64)])
-
-
 def block_table(
     docs: DataFrame,
     make: Callable,

@@ -56,7 +56,9 @@ class PieceNumbers:
 
     def _cut(self, cut: str) -> tuple[int, ...]:
         numbers = self.numbers
-        found = tuple([numbers.setdefault(w, len(numbers)) for w in self.match(cut)])
+        pieces = self.match(cut)
+        pieces = [cut] if len(pieces) == 1 else pieces  # one string for both tables
+        found = tuple([numbers.setdefault(w, len(numbers)) for w in pieces])
         if len(cut) < 48:
             self.cuts[cut] = found
         return found
