@@ -224,12 +224,12 @@ def metric_lines(
         "_l", latency.select(F.struct("mean", "p99").alias("l")).scalar()
     )
     spec = [
-        ("predictions_total", "counter", "Total number of predictions", F.col("total_predictions"), "%.0f"),
-        ("anomalies_total", "counter", "Total anomalies detected", F.col("total_anomalies"), "%.0f"),
-        ("anomaly_rate", "gauge", "Current anomaly rate", F.col("window_rate"), "%.6f"),
-        ("latency_avg_ms", "gauge", "Average prediction latency", F.col("_l.mean"), "%.2f"),
-        ("latency_p99_ms", "gauge", "P99 prediction latency", F.col("_l.p99"), "%.2f"),
-        ("errors_total", "counter", "Total prediction errors", F.col("total_errors"), "%.0f"),
+        ("predictions_total", "counter", "Log rows scored so far", F.col("total_predictions"), "%.0f"),
+        ("anomalies_total", "counter", "Rows scored as anomalous so far", F.col("total_anomalies"), "%.0f"),
+        ("anomaly_rate", "gauge", "Share of anomalous rows in the window", F.col("window_rate"), "%.6f"),
+        ("latency_avg_ms", "gauge", "Mean scoring time in the window, milliseconds", F.col("_l.mean"), "%.2f"),
+        ("latency_p99_ms", "gauge", "99th percentile of scoring time in the window, milliseconds", F.col("_l.p99"), "%.2f"),
+        ("errors_total", "counter", "Rows that could not be scored so far", F.col("total_errors"), "%.0f"),
     ]
     cells = F.array(
         *[

@@ -35,7 +35,7 @@ def with_bucket(df: DataFrame, value: str, cuts: Sequence[float], out: str = "_b
     if not cuts:
         return df.withColumn(out, F.lit(0.0))
     splits = [-float("inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=out).transform(df)
+    return Bucketizer(splits=splits, inputCol=value, outputCol=out, handleInvalid="keep").transform(df)
 
 
 def prefix_sums(

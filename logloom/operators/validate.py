@@ -12,6 +12,7 @@ from logloom.functions.timestamps import to_timestamp_any
 from logloom.schema import (
     MAX_MESSAGE_LENGTH,
     MAX_NULL_RATIO,
+    MAX_TIMESTAMP_YEAR,
     MIN_TIMESTAMP_YEAR,
     REQUIRED_COLUMNS,
     VALID_LEVELS,
@@ -31,8 +32,8 @@ class Validated:
     report: DataFrame
 
 
-def _flags(df: DataFrame, max_length: int, min_year: int) -> dict[str, Column]:
-    """One boolean per check whose columns exist."""
+def _flags(df: DataFrame, max_length: int, min_year: int, default_year: int, max_year: int) -> dict[str, Column]:
+    """One boolean per check whose columns exist.  ``default_year`` completes times without a year."""
     have = dict(df.dtypes)
     flags = {"schema": F.lit(all(c in have for c in REQUIRED_COLUMNS))}
     filled = [~is_blank(F.col(c).cast("string")) for c in ("timestamp", "message") if c in have]
@@ -43,8 +44,8 @@ def _flags(df: DataFrame, max_length: int, min_year: int) -> dict[str, Column]:
     if "level" in have:
         flags["log_level"] = F.coalesce(F.upper("level").isin(VALID_LEVELS), F.lit(False))
     if "timestamp" in have:
-        ts = to_timestamp_any("timestamp", have["timestamp"])
-        flags["timestamp"] = F.coalesce(F.year(ts) >= min_year, F.lit(False))
+        ts = to_timestamp_any("timestamp", have["timestamp"], default_year=default_year)
+        flags["timestamp"] = F.coalesce(F.year(ts).between(min_year, max_year), F.lit(False))
     if "message" in have:
         flags["message_length"] = F.coalesce(F.length("message") <= max_length, F.lit(True))
     return flags
@@ -63,33 +64,45 @@ def _is_valid(flags: dict[str, Column]) -> Column:
 
 
 def valid_rows(
-    df: DataFrame, max_length: int = MAX_MESSAGE_LENGTH, min_year: int = MIN_TIMESTAMP_YEAR
+    df: DataFrame,
+    max_length: int = MAX_MESSAGE_LENGTH,
+    min_year: int = MIN_TIMESTAMP_YEAR,
+    default_year: int = 1900,
+    max_year: int = MAX_TIMESTAMP_YEAR,
 ) -> DataFrame:
     """Rows that pass every check, the level repaired: a filter and one column."""
-    flags = _flags(df, max_length, min_year)
+    flags = _flags(df, max_length, min_year, default_year, max_year)
     good = df.where(_is_valid(flags))
     return good.withColumn("level", _repair_level(flags)) if "log_level" in flags else good
 
 
 def quarantined_rows(
-    df: DataFrame, max_length: int = MAX_MESSAGE_LENGTH, min_year: int = MIN_TIMESTAMP_YEAR
+    df: DataFrame,
+    max_length: int = MAX_MESSAGE_LENGTH,
+    min_year: int = MIN_TIMESTAMP_YEAR,
+    default_year: int = 1900,
+    max_year: int = MAX_TIMESTAMP_YEAR,
 ) -> DataFrame:
     """Rows that fail a check, with ``reasons`` naming all their failed checks."""
-    flags = _flags(df, max_length, min_year)
+    flags = _flags(df, max_length, min_year, default_year, max_year)
     reasons = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in flags.items()]))
     bad = df.where(~_is_valid(flags)).withColumn("reasons", reasons)
     return bad.withColumn("level", _repair_level(flags)) if "log_level" in flags else bad
 
 
 def quality_report(
-    df: DataFrame, max_length: int = MAX_MESSAGE_LENGTH, min_year: int = MIN_TIMESTAMP_YEAR
+    df: DataFrame,
+    max_length: int = MAX_MESSAGE_LENGTH,
+    min_year: int = MIN_TIMESTAMP_YEAR,
+    default_year: int = 1900,
+    max_year: int = MAX_TIMESTAMP_YEAR,
 ) -> DataFrame:
     """Rows ``(check, passed, failed, pass_rate)`` plus an ``overall`` row.
 
     One pass: each row is reduced to its flags, and every count is a
     conditional sum of the same aggregate.
     """
-    flags = _flags(df, max_length, min_year)
+    flags = _flags(df, max_length, min_year, default_year, max_year)
     names = [n for n in CHECKS if n in flags]
     marked = df.select(*[flags[n].alias(n) for n in names])
     fails = [F.count_if(~F.col(n)).alias(n) for n in names]
@@ -110,12 +123,14 @@ def validate(
     df: DataFrame,
     max_length: int = MAX_MESSAGE_LENGTH,
     min_year: int = MIN_TIMESTAMP_YEAR,
+    default_year: int = 1900,
+    max_year: int = MAX_TIMESTAMP_YEAR,
 ) -> Validated:
     """Split a log table; each part is its own lazy plan over the input."""
     return Validated(
-        valid=valid_rows(df, max_length, min_year),
-        quarantined=quarantined_rows(df, max_length, min_year),
-        report=quality_report(df, max_length, min_year),
+        valid=valid_rows(df, max_length, min_year, default_year, max_year),
+        quarantined=quarantined_rows(df, max_length, min_year, default_year, max_year),
+        report=quality_report(df, max_length, min_year, default_year, max_year),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +29,13 @@ class TrainingRun:
     features: FeatureModel
     detector: Detector
     scored: DataFrame
+    clean_options: dict = field(default_factory=dict)
 
 
 def clean_logs(parsed: DataFrame, dedup: bool = True, **options):
     """(clean rows, validation result) of parsed log rows."""
-    checked = validate(parsed)
+    limits = {k: options[k] for k in ("default_year",) if k in options}
+    checked = validate(parsed, **limits)
     return preprocess(checked.valid, dedup=dedup, **options), checked
 
 
@@ -59,7 +61,7 @@ def train_run(
     rows = materialize(features.transform(clean, stats="fitted"), "feature-rows")
     detector = train(rows, model, tune=tune, size=len(features.names), **params)
     scored = clean.join(detector.score(rows), ROW_ID)
-    return TrainingRun(clean, checked.quarantined, checked.report, features, detector, scored)
+    return TrainingRun(clean, checked.quarantined, checked.report, features, detector, scored, clean_options or {})
 
 
 def score_batch(
@@ -69,9 +71,10 @@ def score_batch(
     stats: str = "batch",
     bounds: str = "batch",
     dedup: bool = False,
+    clean_options: dict | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(scored rows, one summary row) of new log rows."""
-    clean = preprocess(parsed, dedup=dedup)
+    """(scored rows, one summary row) of new log rows, cleaned with the options of the training run."""
+    clean = preprocess(parsed, dedup=dedup, **(clean_options or {}))
     scored = clean.join(detector.score(features.transform(clean, stats), bounds), ROW_ID)
     return scored, batch_summary(scored)
 

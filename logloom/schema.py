@@ -46,6 +46,7 @@ REQUIRED_COLUMNS = ["timestamp", "level", "service", "message"]
 # Validation limits.
 MAX_MESSAGE_LENGTH = 10_000
 MIN_TIMESTAMP_YEAR = 2020
+MAX_TIMESTAMP_YEAR = 9999
 MAX_NULL_RATIO = 0.3
 
 # Replacements for NULL or blank cells.

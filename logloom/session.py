@@ -47,16 +47,26 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL: dict[str, str] = {}
+
+
+def _local_scratch(spark: SparkSession) -> str:
+    """A temporary folder of this process, on one machine only."""
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="logloom-")
+    return _LOCAL[context.applicationId]
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is visible to every executor.
     Only when it is unset (tests on one machine) a temporary folder is made.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="logloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch(spark)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

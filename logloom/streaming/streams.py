@@ -61,8 +61,8 @@ def parse_stream(lines: DataFrame, patterns: list[LinePattern] | None = None) ->
 
 def clean_stream(logs: DataFrame, default_year: int = 1900) -> tuple[DataFrame, DataFrame]:
     """(clean rows, quarantined rows); stateless."""
-    good = normalize_timestamps(valid_rows(logs), default_year)
-    return derive(impute(clean_messages(good))), quarantined_rows(logs)
+    good = normalize_timestamps(valid_rows(logs, default_year=default_year), default_year)
+    return derive(impute(clean_messages(good))), quarantined_rows(logs, default_year=default_year)
 
 
 def with_event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
