@@ -144,10 +144,39 @@ def _block_counts(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray
     return hashes, counts
 
 
-def _with_context(counts: np.ndarray, codes: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of each token (the end last) and of its context (the start first)."""
-    own = counts[codes]
-    return np.append(own, n_docs), np.concatenate([[n_docs], own])
+def _chunks(codes: list[np.ndarray], most: int = 300_000) -> Iterator[tuple[int, int]]:
+    """Runs of documents of about ``most`` tokens together."""
+    first = size = 0
+    for i, code in enumerate(codes):
+        size += len(code) + 1
+        if size >= most:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(codes):
+        yield first, len(codes)
+
+
+def _tokens(codes: list[np.ndarray], hashes: np.ndarray, counts: np.ndarray, n_docs: int):
+    """All tokens of some documents: starts, count of token, count of context, pair key."""
+    n, sizes = len(hashes), np.array([len(c) for c in codes])
+    ends = np.cumsum(sizes + 1) - 1
+    token = np.full(int(ends[-1]) + 1, n)
+    inside = np.ones(len(token), bool)
+    inside[ends] = False
+    token[inside] = np.concatenate(codes)
+    starts = ends - sizes
+    before = np.concatenate([[n + 1], token[:-1]])
+    before[starts] = n + 1
+    seen = np.concatenate([counts, [n_docs, n_docs]])
+    named = np.concatenate([hashes, [END, START]])
+    keys = _mixed(_mixed(named[before] + np.uint64(0x9E3779B97F4A7C15)) ^ named[token])
+    return starts, seen[token], seen[before], keys
+
+
+def _levels(filter_: LogFrequencyFilter, keys: np.ndarray) -> np.ndarray:
+    """Each distinct pair is probed once."""
+    distinct, at = np.unique(keys, return_inverse=True)
+    return filter_.levels(distinct)[at]
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -162,13 +191,12 @@ def _leftover(batches: Iterator[pa.RecordBatch], shared, n_docs: int) -> Iterato
         for i in range(batch.num_rows):
             rows, codes = documents_of(batch, i)
             hashes, counts = _block_counts(batch, i)
-            for code, train in zip(codes, rows.field("_train").to_pylist()):
-                if train:
-                    _, context = _with_context(counts, code, n_docs)
-                    there = filter_.levels(pair_keys(_with_end(hashes, code))) > 0
-                    b = _bucket(context)
-                    total += np.bincount(b, minlength=BUCKETS)
-                    held += np.bincount(b, weights=there, minlength=BUCKETS)
+            mine = [c for c, t in zip(codes, rows.field("_train").to_pylist()) if t]
+            for first, last in _chunks(mine):
+                _, _, context, keys = _tokens(mine[first:last], hashes, counts, n_docs)
+                b = _bucket(context)
+                total += np.bincount(b, minlength=BUCKETS)
+                held += np.bincount(b, weights=_levels(filter_, keys) > 0, minlength=BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total), pa.array(held)], names=["bucket", "total", "held"])
 
 
@@ -179,18 +207,19 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, model: dict) -> Iterator[
         for i in range(batch.num_rows):
             rows, codes = documents_of(batch, i)
             hashes, counts = _block_counts(batch, i)
-            out = []
-            for code in codes:
-                own, context = _with_context(counts, code, n_docs)
+            for first, last in _chunks(codes):
+                starts, own, context, keys = _tokens(codes[first:last], hashes, counts, n_docs)
                 unigram = (own + 1) / (tokens + kinds + 1)
                 # A pair is never seen more often than either of its words.
-                seen = np.minimum(count_of(filter_.levels(pair_keys(_with_end(hashes, code)))), np.minimum(own, context))
+                seen = np.minimum(count_of(_levels(filter_, keys)), np.minimum(own, context))
                 p = DISCOUNT * seen / np.maximum(context, 1) + left[_bucket(context)] * unigram
                 p = np.where(context > 0, p, unigram)
-                out.append((len(own), int((own > 0).sum()), float(np.log10(unigram).sum()), float(np.log10(p).sum())))
-            kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds_)] if out else [pa.array([], k) for k in kinds_]
-            yield pa.RecordBatch.from_arrays([rows, *columns], names=["row", "n_tokens", "n_known", "base_score", "score"])
+                sizes = np.diff(np.append(starts, len(own)))
+                sums = [np.add.reduceat(x, starts) for x in ((own > 0).astype(np.int64), np.log10(unigram), np.log10(p))]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.slice(first, last - first), pa.array(sizes, pa.int64()), *map(pa.array, sums)],
+                    names=["row", "n_tokens", "n_known", "base_score", "score"],
+                )
 
 
 def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), text: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
