@@ -99,7 +99,7 @@ class Autoencoder:
         cls,
         df: DataFrame,
         size: int | None = None,
-        max_dims: int = 256,
+        max_dims: int | None = None,
         random_state: int = 42,
         shards: int | None = None,
         **params,

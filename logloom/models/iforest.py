@@ -2,8 +2,8 @@
 
 Fitting: a hash of the row key picks a uniform pool of rows, a second hash per
 tree picks that tree's sample from the pool, and each tree is grown in its own
-task.  The pool does not grow with the table, and neither do the trees, so the
-nodes can be collected and broadcast.  Scoring is one pass over the rows.
+task.  The pool follows the number of trees and their samples, not the table, and so do
+the nodes, which can be collected and broadcast.  Scoring is one pass over the rows.
 """
 
 from __future__ import annotations
@@ -30,13 +30,13 @@ DEFAULTS = {
     "contamination": "auto",
     "max_samples": "auto",
     "random_state": 42,
+    "fraction_rows": 16 * AUTO_SAMPLES,
 }
 AUTO_OFFSET = -0.5
 
-# Rows trees are sampled from.  A fractional max_samples is a fraction of the
-# smaller pool; below these sizes the pool is the whole table.
-POOL_ROWS = 64 * AUTO_SAMPLES
-FRACTION_POOL_ROWS = 16 * AUTO_SAMPLES
+# The pool trees are sampled from holds this many times the rows that all trees draw.
+# A fractional max_samples is a fraction of ``fraction_rows`` rows (or of a smaller table).
+POOL_FACTOR = 2
 _MODULUS = 1 << 30
 
 NODES = T.StructType(
@@ -92,11 +92,11 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[t
     return [tuple(n) for n in nodes]
 
 
-def sample_size(max_samples, n_rows: int) -> int:
+def sample_size(max_samples, n_rows: int, fraction_rows: int = DEFAULTS["fraction_rows"]) -> int:
     if max_samples == "auto":
         return max(1, min(AUTO_SAMPLES, n_rows))
     if isinstance(max_samples, float):
-        return max(1, int(max_samples * min(n_rows, FRACTION_POOL_ROWS)))
+        return max(1, int(max_samples * min(n_rows, fraction_rows)))
     return max(1, min(int(max_samples), n_rows))
 
 
@@ -105,7 +105,7 @@ def _grow_forests(
 ) -> DataFrame:
     """Nodes of several forests; a setting is (param_id, trees, sample size)."""
     ship_package(df.sparkSession)
-    pool_rows = max(POOL_ROWS, 2 * max(s[2] for s in settings))
+    pool_rows = POOL_FACTOR * sum(trees * psi for _, trees, psi in settings)
     pool = df.select(ROW_ID, "features")
     if n_rows > 2 * pool_rows:
         share = int(_MODULUS * pool_rows / n_rows)
@@ -243,7 +243,7 @@ class IsolationForest:
         if n_rows == 0:
             raise ValueError("cannot fit a forest on an empty table")
         size = size or feature_size(df)
-        psi = sample_size(settings["max_samples"], n_rows)
+        psi = sample_size(settings["max_samples"], n_rows, settings["fraction_rows"])
         nodes = _grow_forests(
             df, n_rows, size, [(0, settings["n_estimators"], psi)], settings["random_state"]
         ).toPandas()
@@ -324,7 +324,8 @@ def tune(
     n_rows = df.count()
     size = size or feature_size(df)
     grid = [(t, s) for s in max_samples for t in n_estimators]
-    settings = [(i, t, sample_size(s, n_rows)) for i, (t, s) in enumerate(grid)]
+    fraction_rows = params.get("fraction_rows", DEFAULTS["fraction_rows"])
+    settings = [(i, t, sample_size(s, n_rows, fraction_rows)) for i, (t, s) in enumerate(grid)]
     nodes = _grow_forests(df, n_rows, size, settings, random_state).toPandas()
     forests = [
         PackedForest(nodes[nodes["param_id"] == i].reset_index(drop=True), size, psi)

@@ -57,7 +57,7 @@ class OneClassSVM:
         df: DataFrame,
         size: int | None = None,
         n_features: int = 256,
-        max_dims: int = 256,
+        max_dims: int | None = None,
         iterations: int = 40,
         random_state: int = 42,
         shards: int | None = None,

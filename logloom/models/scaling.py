@@ -56,7 +56,7 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> Da
 
 
 class VectorScaler:
-    """Folds features to at most ``dims`` columns and standardises them.
+    """Standardises features, folded to at most ``max_dims`` columns if that is given.
 
     The sums are taken per partition in NumPy and added up by Spark, one row
     per column, so what reaches the driver is the width of the matrix.
@@ -66,10 +66,10 @@ class VectorScaler:
         self.size, self.dims, self.mean, self.sd = size, dims, mean, sd
 
     @classmethod
-    def fit(cls, df: DataFrame, size: int, max_dims: int = 256) -> "VectorScaler":
+    def fit(cls, df: DataFrame, size: int, max_dims: int | None = None) -> "VectorScaler":
         ship_package(df.sparkSession)
-        positions = hashed_positions(size, max_dims)
-        dims = min(size, max_dims)
+        dims = min(size, max_dims or size)
+        positions = hashed_positions(size, dims)
         pivot = None
 
         def sums(shift):

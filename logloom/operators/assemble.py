@@ -16,7 +16,7 @@ from logloom.operators.lookup import fits_broadcast, lookup
 from logloom.operators.ordered import previous_time_gap
 from logloom.operators.tfidf import fit_vocabulary, sparse_rows, tfidf_weights
 from logloom.schema import ROW_ID
-from logloom.session import run_together, scratch_dir
+from logloom.session import materialize, run_together, scratch_dir
 
 _COUNTS = ["template_counts", "windows", "service_levels", "ips"]
 
@@ -68,7 +68,9 @@ class FeatureModel:
 
     ``transform`` takes the counts from the batch (``stats="batch"``) or from
     the training tables (``stats="fitted"``); the vocabularies are always the
-    fitted ones.
+    fitted ones.  Time windows are those of the rows in hand, since later rows
+    fall into other minutes than the training rows; ``stats="training"`` takes
+    them too from the training tables, for the training rows themselves.
     """
 
     spark: SparkSession
@@ -152,9 +154,13 @@ class FeatureModel:
 
     def _attach(self, keys: DataFrame, rows: DataFrame, stats: str) -> DataFrame:
         tables = self.counts
-        if stats != "fitted":
+        if stats == "batch":
             tables = CountTables.build(rows, scratch_dir(self.spark, "counts"), self.sizes)
         templates, windows, pairs, ips = (tables.table(name) for name in _COUNTS)
+        fits = dict(tables.fits)
+        if stats == "fitted":
+            windows = materialize(ft.window_counts(rows, self.sizes), "windows")
+            fits["windows"] = fits_broadcast(windows)
 
         ids = self.table("templates").select("template", "template_id")
         total_t = templates.agg(F.sum("n").alias("t"))
@@ -184,7 +190,7 @@ class FeatureModel:
             ("service_levels", pair_table, ["service", "level"], {"pair_n": 0}, "pair_n"),
             ("ips", ip_table, ["source_ip"], {"ip_n": 0}, "ip_n"),
         ):
-            out = lookup(out, table, on, values, weight=weight, small=tables.fits[source])
+            out = lookup(out, table, on, values, weight=weight, small=fits[source])
         seen = (F.col("pair_n") > 0) & (F.col("service_n") > 0)
         frequency = F.col("service_n") / total_p.scalar()
         figures = out.select(

@@ -77,14 +77,14 @@ def tfidf_vocabulary(spark, sf):
 
 
 @query(
-    f"""WITH {DOC_TERMS}, {vocabulary_sql(1000)},
+    f"""WITH {DOC_TERMS}, {vocabulary_sql(5000)},
     raw AS (SELECT t.row_id, t.term, (1 + ln(count(*))) * v.idf AS w FROM terms t
       JOIN vocabulary v ON t.term = v.term GROUP BY t.row_id, t.term, v.idf)
     SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS weight FROM raw"""
 )
 def tfidf_weights(spark, sf):
     rows = documents(spark, sf)
-    weights = tfidf.tfidf_weights(rows, tfidf.fit_vocabulary(rows, max_features=1000))
+    weights = tfidf.tfidf_weights(rows, tfidf.fit_vocabulary(rows))
     return weights.select("row_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -232,8 +232,8 @@ ALL_FEATURES = f"""WITH {src.LOGS}, {TEMPLATES},
 def feature_columns(spark, sf):
     """All numeric features side by side."""
     rows = src.logs(spark, sf, heavy=True)
-    model = FeatureModel.fit(rows, max_features=500)
-    dense = model.dense(rows)
+    model = FeatureModel.fit(rows)
+    dense = model.dense(rows, stats="training")
     return dense.select("row_id", *[F.round(c, 6).alias(c) for c in model.dense_names])
 
 
@@ -241,4 +241,4 @@ def feature_columns(spark, sf):
 def feature_rows(spark, sf):
     """TF-IDF and numeric features as one sparse row."""
     rows = src.logs(spark, sf, heavy=True)
-    return FeatureModel.fit(rows, max_features=500).transform(rows)
+    return FeatureModel.fit(rows).transform(rows)

@@ -22,8 +22,6 @@ def unhealthy_services(spark, sf):
     """From raw lines to service health by detected anomalies."""
     return service_health_of_lines(
         src.raw_lines(spark, sf),
-        max_features=500,
-        n_estimators=100,
         clean_options={"default_year": 2024},
     )
 
@@ -36,28 +34,28 @@ def iforest_scores(spark, sf):
 
 @query()
 def iforest_tuning(spark, sf):
-    """Separation of every setting of a small grid; the refit forest scores the rows."""
+    """Separation of every setting of the grid; the refit forest scores the rows."""
     rows = src.vectors(spark, sf)
-    model = iforest.tune(rows, n_estimators=(50, 100), max_samples=(0.5, 1.0))
+    model = iforest.tune(rows)
     return model.score(rows)
 
 
 @query()
 def ocsvm_scores(spark, sf):
     rows = src.vectors(spark, sf)
-    return train(rows, "one_class_svm", iterations=15).score(rows)
+    return train(rows, "one_class_svm").score(rows)
 
 
 @query()
 def ocsvm_tuning(spark, sf):
     rows = src.vectors(spark, sf)
-    return train(rows, "one_class_svm", tune=True, iterations=6).score(rows)
+    return train(rows, "one_class_svm", tune=True).score(rows)
 
 
 @query()
 def autoencoder_scores(spark, sf):
     rows = src.vectors(spark, sf)
-    return train(rows, "autoencoder", epochs=8, learning_rate=0.01).score(rows)
+    return train(rows, "autoencoder").score(rows)
 
 
 @query()
@@ -68,7 +66,7 @@ def score_batch(spark, sf):
     halfway = F.lit("2024-01-16").cast("timestamp")
     joined = parsed.join(times, "row_id")
     old, new = joined.where(F.col("t") < halfway), joined.where(F.col("t") >= halfway)
-    run = train_run(old.drop("t"), max_features=300, n_estimators=50)
+    run = train_run(old.drop("t"))
     scored, _ = score_batch_run(
         new.drop("t"), run.features, run.detector, stats="fitted", bounds="fitted"
     )
@@ -101,7 +99,7 @@ def health_by_model(spark, sf):
             F.hour("timestamp").cast("double"),
         ).alias("features"),
     )
-    detector = train(rows, "isolation_forest", n_estimators=100)
+    detector = train(rows, "isolation_forest")
     flagged = logs.drop("score", "is_anomaly").join(
         detector.score(rows).select(
             "row_id", F.col("is_anomaly_detected").cast("int").alias("is_anomaly")

@@ -235,7 +235,7 @@ def compare_models(spark, sf):
 
 # --- monitoring ------------------------------------------------------------------
 
-RECENT = """recent AS (SELECT *, is_anomaly = 1 AS hit FROM logs ORDER BY "timestamp" DESC, row_id DESC LIMIT 5000)"""
+RECENT = """recent AS (SELECT *, is_anomaly = 1 AS hit FROM logs ORDER BY "timestamp" DESC, row_id DESC LIMIT 10000)"""
 METRICS = """metrics AS (SELECT (SELECT count(*) FROM logs) AS total_predictions,
     (SELECT count_if(is_anomaly = 1) FROM logs) AS total_anomalies, count(*) AS window_size,
     count_if(hit) AS window_anomalies, count_if(hit) / count(*) AS window_rate,
@@ -243,7 +243,7 @@ METRICS = """metrics AS (SELECT (SELECT count(*) FROM logs) AS total_predictions
   latency AS (SELECT avg(latency_ms) AS mean, quantile_cont(latency_ms, 0.5) AS p50,
     quantile_cont(latency_ms, 0.9) AS p90, quantile_cont(latency_ms, 0.95) AS p95,
     quantile_cont(latency_ms, 0.99) AS p99, max(latency_ms) AS max FROM recent)"""
-WINDOW = 5000
+WINDOW = 10000
 
 
 def _metrics(spark, sf):

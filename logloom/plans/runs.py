@@ -56,9 +56,9 @@ def train_run(
     clean, checked = clean_logs(parsed, dedup, **(clean_options or {}))
     clean = materialize(clean, "clean")
     features = FeatureModel.fit(clean, max_features=max_features)
-    # The counts of this very table were just fitted; taking them from the saved
+    # The counts of this very table were just fitted: taking them from the saved
     # tables gives the batch-relative figures without counting again.
-    rows = materialize(features.transform(clean, stats="fitted"), "feature-rows")
+    rows = materialize(features.transform(clean, stats="training"), "feature-rows")
     detector = train(rows, model, tune=tune, size=len(features.names), **params)
     scored = clean.join(detector.score(rows), ROW_ID)
     return TrainingRun(clean, checked.quarantined, checked.report, features, detector, scored, clean_options or {})

@@ -85,3 +85,16 @@ def test_feature_model(spark, sf, tmp_path):
         assert a.features.indices == b.features.indices
         assert a.features["values"] == pytest.approx(b.features["values"])
         assert list(a.features.indices) == sorted(set(a.features.indices))
+
+
+def test_windows_of_rows_later_than_training(spark, sf, tmp_path):
+    rows = src.logs(spark, sf)
+    halfway = F.lit("2024-01-16").cast("timestamp")
+    model = FeatureModel.fit(rows.where(F.col("timestamp") < halfway), str(tmp_path / "f"), max_features=20)
+    later = rows.where(F.col("timestamp") >= halfway)
+    want = {r.row_id: r for r in ft.time_features(later, model.sizes).collect()}
+    names = [n for n in model.dense_names if n.startswith("log_count_")]
+    got = model.dense(later, stats="fitted").collect()
+    assert len(got) == len(want) > 0
+    for r in got:
+        assert [r[n] for n in names] == [want[r.row_id][n] for n in names] and r[names[0]] >= 1

@@ -58,10 +58,9 @@ def test_forest_does_not_depend_on_partitions(spark):
     assert len(roots) == 20 and (roots["size"] == 64).all()
 
 
-def test_forest_samples_from_a_bounded_pool(spark, monkeypatch):
+def test_forest_samples_from_a_pool(spark):
     """With more rows than twice the pool, every tree is still full."""
-    monkeypatch.setattr(iforest, "POOL_ROWS", 300)
-    df = spark.range(5000).select(
+    df = spark.range(20_000).select(
         F.col("id").alias("row_id"), F.array(F.rand(1), F.rand(2)).alias("features")
     )
     model = iforest.IsolationForest.fit(df, n_estimators=30, max_samples=64, calibrate=False)
