@@ -177,9 +177,9 @@ def _decoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
     for batch in batches:
         lists = batch.column(batch.num_columns - 1).fill_null([])
         flat = lists.flatten()
-        if table.take(flat).null_count:
-            raise ValueError("an id is not in the token-byte table")
         taken = table.take(flat)
+        if taken.null_count:
+            raise ValueError("an id is not in the token-byte table")
         joined = taken.buffers()[2]
         ends = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset : taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int32)
         bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)

@@ -13,13 +13,14 @@ from logloom.session import materialize, scratch_dir, ship_package  # noqa: F401
 SPACE = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 16 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> None:
     """Ship the package to the Python workers and keep Arrow batches of long texts small."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
