@@ -79,13 +79,13 @@ class PieceNumbers:
         return [w.encode("utf-8") for w in self.numbers]
 
 
-def _encoding(ranks: dict[bytes, int], pattern: str) -> tiktoken.Encoding:
+def rank_encoding(ranks: dict[bytes, int], pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], shared, pattern: str) -> Iterator[pa.RecordBatch]:
     """Sorted (word, block, no) rows in; packed (block, nos, sizes, ids) rows out, encoding each run of equal words once."""
-    encode = _encoding(shared.value, pattern).encode_ordinary
+    encode = rank_encoding(shared.value, pattern)._encode_single_piece  # a word is one match already
     last, ids = None, []
     waiting: dict[int, list] = {}
     n = 0

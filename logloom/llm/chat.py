@@ -24,20 +24,25 @@ table gives an empty table.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import prepare
+from logloom.llm.bytebpe import rank_encoding, read_ranks
+from logloom.llm.common import BATCH_ROWS, prepare
 
 SEGMENT = 1_000_000
 ASSISTANT = "assistant"
 
 _GUARD = re.compile(r"([<\[])(\\*)(/?(?:s>|INST\]))")
 _UNGUARD = re.compile(r"([<\[])(\\*)\\(/?(?:s>|INST\]))")
+_LONG_SPACE = re.compile(r"(?<!\s)\s{10000}")
 _TURN = re.compile(r"(<s>|\[INST\])(.*?)\n(.*?)(?:</s>|\[/INST\])", re.S)
 
 
@@ -83,30 +88,73 @@ def loss_spans(tokens: np.ndarray, turns: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def masked_text(text: str, spans: np.ndarray) -> str:
-    """The characters under the spans; tokens that share a character show it once."""
-    out, end = [], 0
-    for a, b in spans.tolist():
-        a = max(a, end)
-        if b > a:
-            out.append(text[a:b])
-            end = b
-    return "".join(out)
+    """The characters under the sorted spans; tokens that share a character show it once."""
+    if not len(spans):
+        return ""
+    reach = np.maximum.accumulate(spans[:, 1])
+    apart = np.flatnonzero(spans[1:, 0] > reach[:-1]) + 1  # first spans of the runs without a gap
+    starts = spans[np.append(0, apart), 0]
+    ends = reach[np.append(apart - 1, len(spans) - 1)]
+    return "".join([text[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
 
 
 PIECE = pa.schema(
     [("piece", pa.int64()), ("turns", pa.int64()), ("formatted", pa.string())]
-    + [("ids", pa.list_(pa.int32())), ("loss", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))]
+    + [(name, pa.list_(pa.int32())) for name in ("ids", "loss", "starts", "ends")]
 )
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, segment: int) -> Iterator[pa.RecordBatch]:
-    from tokenizers import Tokenizer
+def encoder(path: str, pattern: str) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+    """A function from a text to its ids and the characters (start, end) of each; control strings are ordinary text.
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    tokenizer.no_truncation()
+    ``path`` is a file of ranks (``.tiktoken``, cut by ``pattern``) or a tokenizer with a pattern of its own (``.json``).
+    """
+    if path.endswith(".json"):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        tokenizer.no_truncation()
+
+        def encode(text: str) -> tuple[np.ndarray, np.ndarray]:
+            found = tokenizer.encode(text, add_special_tokens=False)
+            return np.array(found.ids, np.int32), np.array(found.offsets, np.int64).reshape(-1, 2)
+
+        return encode
+
+    ranks = read_ranks(path)
+    encoding, match = rank_encoding(ranks, pattern), regex.compile(pattern).findall
+    length = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+    for word, rank in ranks.items():
+        length[rank] = len(word)
+
+    def encode_ranks(text: str) -> tuple[np.ndarray, np.ndarray]:
+        if _LONG_SPACE.search(text):  # more than the encoder's own matching can hold
+            found = list(chain.from_iterable(map(encoding._encode_single_piece, match(text))))
+        else:
+            found = encoding.encode_ordinary(text)
+        ids = np.array(found, np.int32)
+        ends = np.cumsum(length[ids])
+        spans = np.stack([ends - length[ids], ends], axis=1)
+        if not text.isascii():
+            # Bytes to characters: a token holds every character of which it has a byte.
+            raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+            character = np.cumsum((raw & 0xC0) != 0x80) - 1
+            spans = np.stack([character[spans[:, 0]], character[spans[:, 1] - 1] + 1], axis=1)
+        return ids, spans
 
-    def piece(conv, kind, number, turns):
+    return encode_ranks
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) for x in parts])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts).astype(np.int32)))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, pattern: str, segment: int) -> Iterator[pa.RecordBatch]:
+    encode = encoder(path, pattern)
+
+    def piece(conv, number, turns):
         text, spans, at = [], [], 0
         for role, body in turns:
             shown, a, b = render(role, body)
@@ -115,30 +163,39 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, segment: int) -> Itera
             text.append(shown)
             at += len(shown)
         text = "".join(text)
-        encoded = tokenizer.encode(text, add_special_tokens=False)
-        offsets = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+        ids, offsets = encode(text)
         token, found = loss_spans(offsets, np.array(spans, np.int64).reshape(-1, 2))
-        row = [[number], [len(turns)], [text], [encoded.ids], [token.tolist()], [found[:, 0].tolist()], [found[:, 1].tolist()]]
-        arrays = [pa.array([conv], kind), *[pa.array(v, f.type) for v, f in zip(row, PIECE)]]
-        return pa.RecordBatch.from_arrays(arrays, names=["conv_id", *PIECE.names])
+        return conv, number, len(turns), text, ids, token, found[:, 0], found[:, 1]
+
+    def packed(rows, kind):
+        conv, number, turns, text, *lists = zip(*rows)
+        plain = [pa.array(v, t) for v, t in zip((conv, number, turns, text), (kind, *PIECE.types))]
+        return pa.RecordBatch.from_arrays([*plain, *map(_lists, lists)], names=["conv_id", *PIECE.names])
 
+    rows, waiting = [], 0
     current, number, turns, size, kind = None, 0, [], 0, None
     for batch in batches:
         kind = batch.schema.field(0).type
         for conv, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2))):
             if turns and (conv != current or size >= segment):
-                yield piece(current, kind, number, turns)
+                rows.append(piece(current, number, turns))
+                waiting += size
+                if len(rows) >= BATCH_ROWS or waiting >= SEGMENT:
+                    yield packed(rows, kind)
+                    rows, waiting = [], 0
                 number = number + 1 if conv == current else 0
                 turns, size = [], 0
             current = conv
             turns.append((role or "", text or ""))
             size += len(text or "")
     if turns:
-        yield piece(current, kind, number, turns)
+        rows.append(piece(current, number, turns))
+    if rows:
+        yield packed(rows, kind)
 
 
 def format_chats(
-    turns: DataFrame, tokenizer: str, segment: int | None = None,
+    turns: DataFrame, tokenizer: str, segment: int | None = None, pattern: str = public_tokenizers.PATTERN,
     key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
 ) -> DataFrame:
     """Rendered conversations in pieces of whole turns (one piece for all but the longest).
@@ -152,7 +209,7 @@ def format_chats(
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
     most = segment or SEGMENT
     return rows.mapInArrow(
-        lambda b: _pieces(b, tokenizer, most),
-        f"conv_id {kind}, piece bigint, turns bigint, formatted string, ids array<int>, loss array<bigint>, "
-        "starts array<bigint>, ends array<bigint>",
+        lambda b: _pieces(b, tokenizer, pattern, most),
+        f"conv_id {kind}, piece bigint, turns bigint, formatted string, ids array<int>, loss array<int>, "
+        "starts array<int>, ends array<int>",
     )

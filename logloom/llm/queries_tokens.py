@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
-CHAT_TOKENIZER = "byte_bpe_50k.json"
+CHAT_TOKENIZER = "byte_bpe_50k.tiktoken"
 # Fixed value of the contract: a conversation whose texts hold control strings.
 PLANTED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -54,33 +55,43 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per conversation out of its pieces in order, from the rendered text and the mask only."""
     import numpy as np
 
-    current, open_ = None, False
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    current, open_, rows = None, False, []
     n = loss_chars = chars = 0
     turns_sha, loss_sha, kind = hashlib.sha256(), hashlib.sha256(), pa.int64()
 
     def done():
-        row = [[current], [n], [turns_sha.hexdigest()], [loss_chars], [loss_sha.hexdigest()], [chars]]
-        kinds = [kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
+        return (current, n, turns_sha.hexdigest(), loss_chars, loss_sha.hexdigest(), chars)
+
+    def packed():
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), [kind, *kinds])], names=names)
 
     for batch in batches:
         kind = batch.schema.field(0).type
-        for conv, text, starts, ends in zip(*(c.to_pylist() for c in batch.columns)):
+        spans = []
+        for lists in (batch.column(2), batch.column(3)):
+            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+            spans.append(np.split(flat, ends[:-1]))
+        for conv, text, starts, ends in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *spans):
             if open_ and conv != current:
-                yield done()
+                rows.append(done())
                 n = loss_chars = chars = 0
                 turns_sha, loss_sha = hashlib.sha256(), hashlib.sha256()
             current, open_ = conv, True
             for role, said in chat.parse(text):
                 n += 1
                 turns_sha.update(f"{role}\n{said}\n".encode())
-            loss = chat.unguarded(chat.masked_text(text, np.array([starts, ends], np.int64).T))
+            loss = chat.unguarded(chat.masked_text(text, np.stack([starts, ends], axis=1)))
             loss_chars += len(loss)
             loss_sha.update(loss.encode())
             chars += len(text)
+        if rows:
+            yield packed()
+            rows = []
     if open_:
-        yield done()
+        rows.append(done())
+        yield packed()
 
 
 def chat_digests(turns: DataFrame, segment: int | None = None) -> DataFrame:

@@ -36,6 +36,12 @@ def test_any_white_space_in_blocks_of_any_size(spark, monkeypatch, size):
     assert got == {i: WHOLE.encode_ordinary(t) for i, t in enumerate(texts)}
 
 
+def test_million_spaces(spark):
+    docs = spark.createDataFrame([(1, " " * 1_200_000 + "b")], "doc_id bigint, text string")
+    row = bytebpe.decode(bytebpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).first()
+    assert bytes(row.decoded) == b" " * 1_200_000 + b"b" and list(row.ids[-1:]) == WHOLE.encode_ordinary(" b")
+
+
 def test_decoding_null_and_unknown(spark):
     rows = spark.createDataFrame([(1, None), (2, []), (3, [72])], "doc_id int, ids array<int>")
     got = {r.doc_id: bytes(r.decoded) for r in bytebpe.decode(rows, PATH).collect()}

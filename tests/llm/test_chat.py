@@ -58,3 +58,22 @@ def test_pieces_encode_like_the_whole(spark):
     cut = sorted(chat.format_chats(turns, path, 10).collect(), key=lambda r: r.piece)
     assert len(whole) == 1 and len(cut) > 10
     assert [i for r in cut for i in r.ids] == list(whole[0].ids)
+
+
+def test_ranks_and_offsets_match_the_other_format():
+    import public_tokenizers
+
+    plain, ranks = (
+        chat.encoder(public_tokenizers.path(f"byte_bpe_50k.{kind}"), public_tokenizers.PATTERN) for kind in ("json", "tiktoken")
+    )
+    rng = np.random.default_rng(1)
+    drawn = ["".join(rng.choice(list("ab é漢😀\n<[s>]'"), 200)) for _ in range(50)]
+    for text in ["", "it's  \n\n é漢😀", " " * 20_001 + "x", *HARD, *drawn]:
+        (ids, spans), (want, want_spans) = ranks(text), plain(text)
+        assert ids.tolist() == want.tolist() and spans.tolist() == want_spans.tolist()
+
+
+def test_very_long_turn(spark):
+    rows = [(1, 0, "user", " " * 1_200_000 + "b"), (1, 1, "assistant", "a\n" * 700_000 + "\n" * 1_200_000)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    assert sorted(str(tuple(r)) for r in chat_digests(turns).collect()) == plain(rows)
