@@ -24,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from logloom.llm.blocks import block_table, documents_of, packed, unpacked
 from logloom.llm.common import prepare
 
-FLUSH_WORDS = 200_000
+FLUSH_WORDS, RUN_TOKENS = 200_000, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -122,7 +123,7 @@ def _gathered(starts: np.ndarray, sizes: np.ndarray, values: np.ndarray, codes:
     return values[np.arange(total) + np.repeat(starts[codes] - (ends - n), n)]
 
 
-def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reassembled(batches: Iterator[pa.RecordBatch], packed_ids: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             rows, codes = documents_of(batch, i)
@@ -136,18 +137,38 @@ def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, size = np.zeros(len(nos), np.int64), np.zeros(len(nos), np.int64)
             at[nos], size[nos] = np.cumsum(sizes) - sizes, sizes
             # Documents go out in runs, so that a block is never one huge batch.
-            for first in range(0, len(codes), 500):
-                out = [_gathered(at, size, ids, c) for c in codes[first : first + 500]]
+            for first, last in _runs(codes, size):
+                out = [_gathered(at, size, ids, c) for c in codes[first:last]]
                 ends = np.cumsum([0] + [len(x) for x in out])
-                flat = np.concatenate(out) if out else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([rows.slice(first, 500), lists], names=["row", "ids"])
+                flat = np.concatenate(out).astype("<i4")
+                if packed_ids:
+                    places = pa.py_buffer((4 * ends).astype(np.int32))
+                    column = pa.Array.from_buffers(pa.binary(), len(out), [None, places, pa.py_buffer(flat)])
+                else:
+                    column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([rows.slice(first, last - first), column], names=["row", "ids"])
+
+
+def _runs(codes: list[np.ndarray], size: np.ndarray, most: int = RUN_TOKENS) -> Iterator[tuple[int, int]]:
+    """Runs of documents of about ``most`` tokens together; a longer document is a run by itself."""
+    first = total = 0
+    for i, code in enumerate(codes):
+        n = int(size[code].sum())
+        if i > first and total + n > most:
+            yield first, i
+            first, total = i, 0
+        total += n
+    if first < len(codes):
+        yield first, len(codes)
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
+    docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", packed_ids: bool = False
 ) -> DataFrame:
-    """``keep`` and ``ids`` (array of int) of every row, by the ranks in ``path``."""
+    """``keep`` and ``ids`` of every row, by the ranks in ``path``.
+
+    ``ids`` is an array of int or, with ``packed_ids``, binary: little-endian 32-bit integers, as training shards hold them.
+    """
     spark = docs.sparkSession
     prepare(spark)
     blocks = block_table(docs, lambda: PieceNumbers(pattern), keep, text)
@@ -160,8 +181,8 @@ def encode(
     parts = found.groupBy("block").agg(F.collect_list(F.struct("nos", "sizes", "ids")).alias("parts"))
     back = blocks.select("block", "docs", "runs").join(parts, "block", "left")
     row_type = T.StructType([docs.schema[c] for c in keep])
-    schema = T.StructType([T.StructField("row", row_type), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    out = back.select("docs", "runs", "parts").mapInArrow(_reassembled, schema)
+    schema = T.StructType([T.StructField("row", row_type), T.StructField("ids", T.BinaryType() if packed_ids else T.ArrayType(T.IntegerType()))])
+    out = back.select("docs", "runs", "parts").mapInArrow(lambda b: _reassembled(b, packed_ids), schema)
     return out.select(*[F.col("row")[c].alias(c) for c in keep], "ids")
 
 
@@ -171,18 +192,29 @@ def token_bytes(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "id int, bytes binary")
 
 
+def _unpacked_ids(column: pa.BinaryArray) -> pa.Array:
+    """All ids of a column of little-endian 32-bit integers."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else [0, 0]
+    first, last = int(ends[0]), int(ends[-1])
+    data = column.buffers()[2] or pa.py_buffer(b"")
+    return pa.array(np.frombuffer(data, "<i4", (last - first) // 4, first))
+
+
 def _decoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """The ids are dense, so the join with the broadcast table is a take; its buffer holds the bytes in order."""
     table = pa.array(shared.value, pa.binary())
     for batch in batches:
-        lists = batch.column(batch.num_columns - 1).fill_null([])
-        flat = lists.flatten()
+        lists = batch.column(batch.num_columns - 1)
+        packed_ids = pa.types.is_binary(lists.type)
+        lists = lists.fill_null(b"" if packed_ids else [])
+        flat = _unpacked_ids(lists) if packed_ids else lists.flatten()
         taken = table.take(flat)
         if taken.null_count:
             raise ValueError("an id is not in the token-byte table")
         joined = taken.buffers()[2]
         ends = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset : taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int32)
-        bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+        sizes = pc.binary_length(lists).to_numpy() // 4 if packed_ids else lists.value_lengths().to_numpy()
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         whole = pa.Array.from_buffers(
             pa.binary(), len(lists), [None, pa.py_buffer(ends[bounds].astype(np.int32)), joined or pa.py_buffer(b"")]
         )
@@ -190,7 +222,10 @@ def _decoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """The rows with ``decoded``, the bytes of their ids (binary; they need not be whole characters)."""
+    """The rows with ``decoded``, the bytes of their ids (binary; they need not be whole characters).
+
+    ``ids`` is an array of int, or binary as ``encode(packed_ids=True)`` gives it.
+    """
     spark = tokens.sparkSession
     prepare(spark)
     ranks = read_ranks(path)
@@ -200,5 +235,5 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     shared = spark.sparkContext.broadcast(by_id)
     rest = [c for c in tokens.columns if c != ids]
     rows = tokens.select(*rest, F.col(ids).alias("ids"))
-    schema = T.StructType([*[tokens.schema[c] for c in rest], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType([*[tokens.schema[c] for c in rest], T.StructField("ids", tokens.schema[ids].dataType), T.StructField("decoded", T.BinaryType())])
     return rows.mapInArrow(lambda b: _decoded(b, shared), schema)

@@ -17,27 +17,16 @@ from logloom.llm.common import query, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column(1)
-        flat, size = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
-        shas, end = [], 0
-        for n in size:
-            shas.append(hashlib.sha256(flat[end : end + n].astype("<u4").tobytes()).hexdigest())
-            end += n
-        columns = [batch.column(0), pa.array(size, pa.int64()), pa.array(shas, pa.string()), batch.column(2)]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded"])
-
-
 def token_digests(docs: DataFrame) -> DataFrame:
     """Encode, decode, and the digests of both."""
     path = public_tokenizers.path(VOCABULARY)
-    tokens = bytebpe.decode(bytebpe.encode(docs, path, public_tokenizers.PATTERN), path)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    made = tokens.select("doc_id", "ids", "decoded").mapInArrow(
-        _digests, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded binary"
+    tokens = bytebpe.decode(bytebpe.encode(docs, path, public_tokenizers.PATTERN, packed_ids=True), path)
+    return tokens.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return made.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query()

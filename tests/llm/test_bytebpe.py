@@ -36,6 +36,13 @@ def test_any_white_space_in_blocks_of_any_size(spark, monkeypatch, size):
     assert got == {i: WHOLE.encode_ordinary(t) for i, t in enumerate(texts)}
 
 
+def test_packed_ids_are_the_ids(odd):
+    plain = bytebpe.decode(bytebpe.encode(odd, PATH, public_tokenizers.PATTERN), PATH).collect()
+    packed = bytebpe.decode(bytebpe.encode(odd, PATH, public_tokenizers.PATTERN, packed_ids=True), PATH).collect()
+    want = sorted(str((r.doc_id, struct.pack(f"<{len(r.ids)}i", *r.ids), bytes(r.decoded))) for r in plain)
+    assert sorted(str((r.doc_id, bytes(r.ids), bytes(r.decoded))) for r in packed) == want
+
+
 def test_million_spaces(spark):
     docs = spark.createDataFrame([(1, " " * 1_200_000 + "b")], "doc_id bigint, text string")
     row = bytebpe.decode(bytebpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).first()
