@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -81,20 +82,21 @@ class _Block:
         self.bytes += len(text)
 
     def batch(self, block: int) -> pa.RecordBatch:
-        """The row of the block.  Words are numbered anew by falling frequency, which packs best."""
+        """The row of the block.  Words are numbered anew by falling frequency, then by spelling, which packs best."""
         words = self.numbers.words()
         self.numbers = None
         n, none = len(words), np.zeros(0, np.uint32)
         used = np.bincount(np.concatenate([none, *self.codes]), minlength=n)
-        order = np.argsort(-used, kind="stable")
+        named = pa.array(words, pa.binary()).cast(pa.string())
+        by = [("used", "descending"), ("word", "ascending")]
+        order = pc.sort_indices(pa.table({"used": used, "word": named}), sort_keys=by).to_numpy()
         rank = np.empty(n, np.uint32)
         rank[order] = np.arange(n, dtype=np.uint32)
         counts = np.bincount(np.concatenate([none, *[c for c, t in zip(self.codes, self.counted) if t]]), minlength=n)
         runs = [
             packed(rank[np.concatenate([none, *self.codes[i : i + RUN_DOCS]])]) for i in range(0, len(self.codes), RUN_DOCS)
         ]
-        named = pa.array(words, pa.binary()).cast(pa.string()).take(pa.array(order))
-        return _row(block, named, self.rows, [len(c) for c in self.codes], runs, counts[order].astype(np.int64))
+        return _row(block, named.take(pa.array(order)), self.rows, [len(c) for c in self.codes], runs, counts[order].astype(np.int64))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], make: Callable, block_bytes: int) -> Iterator[pa.RecordBatch]:
