@@ -7,14 +7,15 @@ The model is a bigram model over words and a unigram model below it.
 2. Word pairs of the training documents are counted exactly by their 64-bit
    hash.  A pair with count c has the level 1 + floor(log(c) / log(BASE)), and enters the
    filter once for each level up to its own.
-3. The filter has a fixed size.  Pairs under the smallest count at which all
-   entries fit ``BITS_PER_ENTRY`` are left out (a histogram of all levels decides, and at
-   least ``MIN_COUNT`` is asked), so what is broadcast is bounded at any input size.
-   It is built in shards, each by one task, and broadcast to the workers.
-4. A pair's count is read by probing level after level until one is missing.
+3. The filter holds every pair of at least ``MIN_COUNT``, at any input size: it has ``BITS_PER_ENTRY``
+   for each of the counted entries, in shards of at most ``SHARD_BYTES``, each built by one task.
+4. A pair's count is read by probing level after level until one is missing.  Up to ``FILTER_BYTES``
+   the shards are broadcast.  A larger filter stays where it was built: every block sends each of
+   its distinct pairs to the task of the shard once, and the levels come back by block.
 5. Smoothing interpolates with the unigram model.  The weight of the unigram model depends on
    how often the context was seen: for each power of two, it is the share of the training tokens
-   in such contexts that the discounted pair counts leave over, measured by a scan of the training documents.
+   in such contexts that the discounted pair counts leave over, measured by a scan of the training documents
+   (1 - DISCOUNT without a scan while pairs seen once are held).
 
     P(w | v) = DISCOUNT * count(v w) / count(v) + left(v) * (count(w) + 1) / (N + V + 1)
 
@@ -28,6 +29,7 @@ count as held in (their remainder is null).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,11 @@ from pyspark.sql import types as T
 from logloom.llm.blocks import WordNumbers, block_table, documents_of, words_of
 from logloom.llm.common import materialize, prepare
 
-# The number of shards is a power of two: a shard is the low bits of a key.
+# The number of shards is a power of two (SHARDS at least): a shard is the low bits of a key.
+# FILTER_BYTES bounds what is broadcast, the others what one task holds of a filter that is not.
 FILTER_BYTES, BITS_PER_ENTRY, PROBES, SHARDS = 48 * 1024 * 1024, 20, 13, 64
-BASE, MIN_COUNT, DISCOUNT = 1.5, 2, 0.85
+SHARD_BYTES, LEAST_SHARD_BYTES, SHARD_PROBES = 4 * 1024 * 1024, 1024, 4_000_000
+BASE, MIN_COUNT, DISCOUNT = 1.5, 1, 0.85
 BUCKETS = 64
 START, END = np.uint64(0x51ED270B35C6D8A1), np.uint64(0xA24BAED4963EE407)
 
@@ -112,6 +116,14 @@ def _shard(group: pa.Table, size: int, first: int) -> pa.Table:
     return pa.table({"shard": pa.array([group["shard"][0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
 
+def _shape(entries: int, probes: int = 0) -> tuple[int, int]:
+    """Number of shards and bits of each, for so many entries and, where pairs are sent, so many probes."""
+    shards = SHARDS
+    while entries * BITS_PER_ENTRY > SHARD_BYTES * 8 * shards or probes > SHARD_PROBES * shards:
+        shards *= 2
+    return shards, 8 * max(LEAST_SHARD_BYTES, -(-entries * BITS_PER_ENTRY // (8 * shards)))
+
+
 def _word_hashes(words: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
 
@@ -135,6 +147,76 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the keys of each shard that has any."""
+    shard = (keys % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    held, first = np.unique(shard[order], return_index=True)
+    for s, at in zip(held.tolist(), np.split(order, first[1:])):
+        yield s, at
+
+
+def _distinct(hashes: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
+    """Distinct pair keys of all documents of a block, in order."""
+    return np.unique(np.concatenate([pair_keys(_with_end(hashes, c)) for c in codes]))
+
+
+def _sent(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """The distinct pairs of each block, a row per shard."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            _, codes = documents_of(batch, i)
+            keys = _distinct(_word_hashes(batch.column(batch.schema.get_field_index("words")).slice(i, 1).flatten()), codes)
+            block = batch.column(batch.schema.get_field_index("block"))[i].as_py()
+            for some in _runs(_by_shard(keys, shards)):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block] * len(some), pa.int64()),
+                        pa.array([s for s, _ in some], pa.int64()),
+                        pa.array([keys[at].tobytes() for _, at in some], pa.binary()),
+                    ],
+                    names=["block", "shard", "keys"],
+                )
+
+
+def _runs(parts: Iterator, most: int = 256) -> Iterator[list]:
+    while some := list(islice(parts, most)):
+        yield some
+
+
+def _probed(sent: pa.Table, held: pa.Table, first: int, last: int) -> pa.Table:
+    """Levels of the pairs that blocks sent to one shard."""
+    keys = [np.frombuffer(k, np.uint64) for k in sent["keys"].to_pylist()]
+    if not keys:
+        levels = []
+    elif held.num_rows:
+        filter_ = LogFrequencyFilter(np.frombuffer(held["bits"][0].as_py(), np.uint8)[None, :], first, last)
+        levels = np.split(_levels(filter_, np.concatenate(keys)), np.cumsum([len(k) for k in keys])[:-1])
+    else:
+        levels = [np.zeros(len(k)) for k in keys]
+    return pa.table(
+        {
+            "block": sent["block"].cast(pa.int64()),
+            "shard": sent["shard"].cast(pa.int64()),
+            "levels": pa.array([x.astype(np.uint8).tobytes() for x in levels], pa.binary()),
+        }
+    )
+
+
+def _prober(shared, shards: int, batch: pa.RecordBatch, i: int, hashes: np.ndarray, codes: list[np.ndarray]):
+    """Function from pair keys of a block row to their levels."""
+    if shared is not None:
+        filter_ = LogFrequencyFilter(*shared.value)
+        return lambda keys: _levels(filter_, keys)
+    distinct = _distinct(hashes, codes)
+    came = batch.column(batch.schema.get_field_index("levels")).slice(i, 1).flatten()
+    came = dict(zip(came.field("shard").to_pylist(), came.field("levels").to_pylist()))
+    levels = np.zeros(len(distinct), np.int64)
+    for s, at in _by_shard(distinct, shards):
+        levels[at] = np.frombuffer(came[s], np.uint8)
+    return lambda keys: levels[np.searchsorted(distinct, keys)]
+
+
 def _block_counts(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and training counts of the words of a block row, by number."""
     hashes = _word_hashes(batch.column(batch.schema.get_field_index("words")).slice(i, 1).flatten())
@@ -183,35 +265,35 @@ def _bucket(context: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(np.maximum(context, 1))).astype(np.int64)
 
 
-def _leftover(batches: Iterator[pa.RecordBatch], shared, n_docs: int) -> Iterator[pa.RecordBatch]:
+def _leftover(batches: Iterator[pa.RecordBatch], shared, shards: int, n_docs: int) -> Iterator[pa.RecordBatch]:
     """Training tokens by size of context: how many, and the part of them that the pairs hold."""
     for batch in batches:
-        filter_ = LogFrequencyFilter(*shared.value)
         total, held = np.zeros(BUCKETS), np.zeros(BUCKETS)
         for i in range(batch.num_rows):
             rows, codes = documents_of(batch, i)
             hashes, counts = _block_counts(batch, i)
+            levels = _prober(shared, shards, batch, i, hashes, codes)
             mine = [c for c, t in zip(codes, rows.field("_train").to_pylist()) if t]
             for first, last in _chunks(mine):
                 _, _, context, keys = _tokens(mine[first:last], hashes, counts, n_docs)
                 b = _bucket(context)
                 total += np.bincount(b, minlength=BUCKETS)
-                held += np.bincount(b, weights=_levels(filter_, keys) > 0, minlength=BUCKETS)
+                held += np.bincount(b, weights=levels(keys) > 0, minlength=BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total), pa.array(held)], names=["bucket", "total", "held"])
 
 
-def _scored(batches: Iterator[pa.RecordBatch], shared, model: dict) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], shared, shards: int, model: dict) -> Iterator[pa.RecordBatch]:
     n_docs, tokens, kinds, left = model["docs"], model["tokens"], model["kinds"], model["left"]
     for batch in batches:
-        filter_ = LogFrequencyFilter(*shared.value)
         for i in range(batch.num_rows):
             rows, codes = documents_of(batch, i)
             hashes, counts = _block_counts(batch, i)
+            levels = _prober(shared, shards, batch, i, hashes, codes)
             for first, last in _chunks(codes):
                 starts, own, context, keys = _tokens(codes[first:last], hashes, counts, n_docs)
                 unigram = (own + 1) / (tokens + kinds + 1)
                 # A pair is never seen more often than either of its words.
-                seen = np.minimum(count_of(_levels(filter_, keys)), np.minimum(own, context))
+                seen = np.minimum(count_of(levels(keys)), np.minimum(own, context))
                 p = DISCOUNT * seen / np.maximum(context, 1) + left[_bucket(context)] * unigram
                 p = np.where(context > 0, p, unigram)
                 sizes = np.diff(np.append(starts, len(own)))
@@ -225,7 +307,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, model: dict) -> Iterator[
 def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), text: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """``keep``, token counts, N, and log10 probabilities under the unigram base and the model, per input row.
 
-    ``train`` says which rows the model learns from.
+    ``train`` says which rows the model learns from; ``filter_bytes`` is the largest filter that is broadcast.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -241,38 +323,53 @@ def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), t
     n_docs = docs.where(flag).count()
     model = {"docs": n_docs, "tokens": words["n"] + n_docs, "kinds": words["v"] + (n_docs > 0)}
 
-    # Pairs: counts, the smallest level that fits, the filter.
+    # Pairs: counts, and a filter with room for all of their entries.
     pairs = blocks.select("words", "docs", "runs").mapInArrow(_pairs, "pair bigint, n bigint")
     pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
     pairs = materialize(pairs, "pairs")
     level = F.floor(F.log("n") / F.log(F.lit(BASE)) + 1e-9).cast("int") + 1
     held = dict(pairs.groupBy(level.alias("level")).count().collect())  # one row per level
-    room = filter_bytes * 8 // BITS_PER_ENTRY
-    first = int(level_of(np.array([MIN_COUNT]))[0])
-    while sum(n * (lv - first + 1) for lv, n in held.items() if lv >= first) > room:
-        first += 1
-    size = filter_bytes * 8 // SHARDS
-    shards = pairs.where(level >= first).withColumn("shard", F.col("pair").bitwiseAND(F.lit(SHARDS - 1).cast("bigint")))
-    bits = np.zeros((SHARDS, size // 8), np.uint8)
-    # As many rows as shards, as many bytes as the filter.
+    first, last = int(level_of(np.array([MIN_COUNT]))[0]), max(held, default=0)
+    entries = sum(n * (lv - first + 1) for lv, n in held.items())
+    n_shards, size = _shape(entries)
+    local = n_shards * size <= filter_bytes * 8
+    if not local:
+        probes = blocks.agg(F.sum(F.aggregate("docs.size", F.lit(0).cast("bigint"), lambda a, x: a + x + 1))).first()[0] or 0
+        n_shards, size = _shape(entries, probes)
+    shards = pairs.withColumn("shard", F.col("pair").bitwiseAND(F.lit(n_shards - 1).cast("bigint")))
     made = shards.groupBy("shard").applyInArrow(lambda g: _shard(g, size, first), "shard bigint, bits binary")
-    for row in made.toLocalIterator():
-        bits[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast((bits, first, max(held, default=0)))
+    shared, came = None, None
+    if local:
+        bits = np.zeros((n_shards, size // 8), np.uint8)
+        # As many rows as shards, as many bytes as the filter.
+        for row in made.toLocalIterator():
+            bits[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
+        shared = spark.sparkContext.broadcast((bits, first, last))
+    else:
+        sent = blocks.select("block", "words", "docs", "runs").mapInArrow(lambda b: _sent(b, n_shards), "block bigint, shard bigint, keys binary")
+        probed = sent.groupBy("shard").cogroup(made.groupBy("shard")).applyInArrow(
+            lambda a, b: _probed(a, b, first, last), "block bigint, shard bigint, levels binary"
+        )
+        came = materialize(probed.groupBy("block").agg(F.collect_list(F.struct("shard", "levels")).alias("levels")), "pair-levels")
 
     back = figures.groupBy("block").agg(F.collect_list(F.struct("no", "c")).alias("figures"))
     ready = materialize(back, "figures")
-    joined = blocks.select("block", "words", "docs", "runs").join(ready, "block", "left").select("words", "docs", "runs", "figures")
-    parts = joined.mapInArrow(lambda b: _leftover(b, shared, n_docs), "bucket bigint, total double, held double")
-    left = np.ones(BUCKETS)
-    for r in parts.groupBy("bucket").agg(F.sum("total").alias("t"), F.sum("held").alias("h")).where("t > 0").collect():
-        left[r["bucket"]] = 1 - DISCOUNT * r["h"] / r["t"]
+    joined = blocks.select("block", "words", "docs", "runs").join(ready, "block", "left")
+    joined = (joined if came is None else joined.join(came, "block", "left")).drop("block")
+    if MIN_COUNT == 1:
+        # The filter holds the pair of every training token, so no scan is needed.
+        left = np.full(BUCKETS, 1 - DISCOUNT)
+    else:
+        left = np.ones(BUCKETS)
+        parts = joined.mapInArrow(lambda b: _leftover(b, shared, n_shards, n_docs), "bucket bigint, total double, held double")
+        for r in parts.groupBy("bucket").agg(F.sum("total").alias("t"), F.sum("held").alias("h")).where("t > 0").collect():
+            left[r["bucket"]] = 1 - DISCOUNT * r["h"] / r["t"]
     model["left"] = left
     row_type = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_train", T.BooleanType())])
     schema = T.StructType(
         [T.StructField("row", row_type), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")]]
         + [T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]
     )
-    out = joined.mapInArrow(lambda b: _scored(b, shared, model), schema)
+    out = joined.mapInArrow(lambda b: _scored(b, shared, n_shards, model), schema)
     kept = [F.col("row")[c].alias(c) for c in keep]
     return out.select(*kept, "n_tokens", "n_known", F.lit(model["tokens"]).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -81,6 +81,29 @@ def test_a_small_filter_drops_the_rarest_pairs_only(odd):
     assert small.keys() == full.keys() and all(math.isfinite(x) for x in small.values())
 
 
+@pytest.mark.parametrize("size", [300, 10**7])
+def test_no_pair_is_left_out_of_a_filter_too_large_to_broadcast(odd, monkeypatch, size):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", size)
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    train = [bool(i is not None and i % 3) for i, _ in rows]
+    got = lm.score(odd, F.col("doc_id") % 3 != 0, filter_bytes=lm.SHARDS * 8).collect()
+    show = lambda rs: sorted(str((*r[:4], round(r[4], 4), round(r[5], 4))) for r in rs)
+    assert show(tuple(r) for r in got) == show(plain(rows, train))
+
+
+def test_a_pair_seen_once_counts(spark):
+    docs = spark.createDataFrame([(1, "red green"), (2, "blue blue"), (3, "red green"), (4, "green red")], "doc_id int, text string")
+    got = {r.doc_id: r.score for r in lm.score(docs, F.col("doc_id") < 3).collect()}
+    assert got[3] > got[4] + 1
+
+
+def test_the_filter_grows_with_the_pairs():
+    for entries in (10**6, 10**8, 10**10):
+        shards, size = lm._shape(entries)
+        assert shards * size >= entries * lm.BITS_PER_ENTRY and size <= lm.SHARD_BYTES * 8
+    assert lm._shape(10, lm.SHARDS * lm.SHARD_PROBES * 2)[0] == 2 * lm.SHARDS
+
+
 def test_given_documents(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     train = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
