@@ -66,10 +66,11 @@ def score_batch(spark, sf):
     halfway = F.lit("2024-01-16").cast("timestamp")
     joined = parsed.join(times, "row_id")
     old, new = joined.where(F.col("t") < halfway), joined.where(F.col("t") >= halfway)
-    run = train_run(old.drop("t"))
+    run = train_run(old.drop("t"), clean_options={"default_year": 2024})
     scored, _ = score_batch_run(
-        new.drop("t"), run.features, run.detector, stats="fitted", bounds="fitted"
-    )
+        new.drop("t"), run.features, run.detector, stats="fitted", bounds="fitted",
+        clean_options=run.clean_options,
+    )
     return scored.select(
         "row_id", "service", "score", "anomaly_label", "anomaly_score", "confidence",
         "is_anomaly_detected",

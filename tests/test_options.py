@@ -8,6 +8,7 @@ from pathlib import Path
 from logloom.operators.evaluate import roc_auc
 from logloom.operators.validate import validate
 from logloom.plans import inputs as src
+from logloom.plans import queries_models
 from logloom.plans.runs import clean_logs
 from logloom.functions.parsing import parse_lines
 
@@ -46,3 +47,28 @@ def test_session_without_a_checkpoint_folder(tmp_path):
     env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(Path(__file__).resolve().parents[1])}
     said = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
     assert "rows 3" in said.stdout, said.stderr[-500:]
+
+
+def test_score_batch_trains_on_syslog_lines(spark, sf, monkeypatch):
+    seen = {}
+
+    def kept(name):
+        real = getattr(queries_models, name)
+
+        def run(*args, **options):
+            seen[name] = real(*args, **options)
+            return seen[name]
+
+        monkeypatch.setattr(queries_models, name, run)
+
+    kept("train_run")
+    kept("score_batch_run")
+    queries_models.score_batch(spark, sf)
+    syslog = src.raw_lines(spark, sf).where("row_id % 5 = 2").join(src.logs(spark, sf).select("row_id", "timestamp"), "row_id")
+    old = syslog.where("timestamp < '2024-01-16'").select("row_id")
+    run, (scored, _) = seen["train_run"], seen["score_batch_run"]
+    assert old.count() > 0
+    assert run.quarantined.join(old, "row_id").count() == 0
+    assert run.clean.where("parse_method = 'syslog'").join(old, "row_id").count() > 0
+    years = scored.where("parse_method = 'syslog'").selectExpr("year(timestamp) AS y").distinct().collect()
+    assert [r.y for r in years] == [2024]
