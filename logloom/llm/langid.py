@@ -7,11 +7,11 @@ probabilities pool those of all its positions: the mean of their logarithms deci
 probability of the winner is the score.
 
 Words are runs between ASCII white space; runs of more than ``MOST`` bytes are read in pieces
-of that length.  Training is plain numpy: backpropagation through time with Adam on batches of
+of at most that length, cut between characters; each piece is read afresh.  Training is plain numpy: backpropagation through time with Adam on batches of
 words of equal length.
 
-Fitting takes a bounded sample of labelled rows: about ``PER_LANGUAGE`` documents
-of each language, chosen by a hash of the text, and ``WORDS`` words of each language,
+Fitting takes a bounded sample of the distinct labelled texts of every language, however rare:
+the ``PER_LANGUAGE`` of the smallest hashes, and ``WORDS`` words of each language,
 drawn from the whole texts of those.  Prediction reads every whole text.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
@@ -26,14 +26,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.llm.common import prepare
 
 HIDDEN, MOST = 24, 32
-PER_LANGUAGE, WORDS, LANGUAGES = 300, 20_000, 64
+PER_LANGUAGE, WORDS = 300, 20_000
 EPOCHS, BATCH, RATE = 4, 128, 0.01
 BOUNDARY = 0
 REMEMBERED = 400_000
@@ -41,10 +41,22 @@ REMEMBERED = 400_000
 _LETTER = regex.compile(r"\p{L}")
 
 
+def _pieces(word: bytes) -> list[bytes]:
+    out, start = [], 0
+    while len(word) - start > MOST:
+        end = start + MOST
+        # Back to the first byte of a character, which has four bytes at most.
+        while end > start + MOST - 4 and word[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(word[start:end])
+        start = end
+    return out + [word[start:]]
+
+
 def words_of(text: bytes) -> list[bytes]:
     out = []
     for word in text.split():
-        out += [word] if len(word) <= MOST else [word[i : i + MOST] for i in range(0, len(word), MOST)]
+        out += [word] if len(word) <= MOST else _pieces(word)
     return out
 
 
@@ -164,20 +176,24 @@ def train(samples: dict[str, list[bytes]], epochs: int = EPOCHS, seed: int = 7)
     return net
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> BiGru | None:
-    """Train on a bounded sample of the labelled rows."""
+def sample(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
+    """(lang, text): the distinct texts of the smallest hashes, ``per_language`` at most, of every language."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return None
-    # A share of each language by hash, so that no language is ranked or sorted as a whole.
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, per_language / r["count"])).otherwise(share)
-    unit = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    chosen = rows.where(unit < share).orderBy(F.xxhash64("text", "lang"), "text").limit(2 * per_language * len(counts))
+    # Twice the share that is needed, so that an estimate of the distinct texts will do and few are ranked.
+    kinds = rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("kinds"))
+    shares = kinds.select("lang", (F.lit(2.0 * per_language + 100) / F.col("kinds")).alias("share"))
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    unit = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
+    some = hashed.join(F.broadcast(shares), "lang").where(unit < F.col("share")).select("lang", "h", "text").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 11), "h", "text"))
+    return some.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "rank", "text")
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> BiGru | None:
+    """Train on a bounded sample of the labelled rows of every language."""
     rng, samples = np.random.default_rng(11), {}
-    for r in chosen.toLocalIterator():
+    # At most per_language texts of each language.
+    for r in sample(docs, text, lang, per_language).orderBy("lang", "rank").toLocalIterator():
         samples.setdefault(r["lang"], []).extend(words_of(r["text"].encode()))
     for name, words in samples.items():
         if len(words) > WORDS:
@@ -239,6 +255,6 @@ def predict(docs: DataFrame, net: BiGru | None, keep: tuple[str, ...] = ("doc_id
     kept = [F.col("row")[c].alias(c) for c in keep]
     if net is None:
         return made.select(*kept, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = spark.sparkContext.broadcast(net)  # a few hundred kB: fixed by HIDDEN and LANGUAGES
+    shared = spark.sparkContext.broadcast(net)  # a few hundred kB: by HIDDEN and the number of languages
     schema = T.StructType([made.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return made.mapInArrow(lambda b: _predicted(b, shared), schema).select(*kept, "lang_pred", "score")

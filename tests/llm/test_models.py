@@ -96,3 +96,25 @@ def test_language_of_odd_rows(odd):
     assert langid.predict(odd.where("false"), net).count() == 0
     assert langid.fit(odd.where("false")) is None
     assert {r.lang_pred for r in langid.predict(odd, None).collect()} == {"und"}
+
+
+def test_every_language_is_sampled_from_distinct_texts(spark):
+    rows = [(f"l{k:02d}", f"text {i} of {k}") for k in range(70) for i in range(3)]
+    rows += [("hot", f"hot {i % 5}") for i in range(2000)] + [("big", f"big {i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = {}
+    for r in langid.sample(docs, per_language=20).collect():
+        got.setdefault(r["lang"], []).append(r["text"])
+    assert len(got) == 72 and all(len(got[f"l{k:02d}"]) == 3 for k in range(70))
+    assert sorted(got["hot"]) == [f"hot {i}" for i in range(5)]
+    assert len(set(got["big"])) == 20
+    net = langid.fit(docs, per_language=2)
+    assert len(net.languages) == 72
+
+
+def test_long_words_are_cut_between_characters():
+    word = ("a" + "語" * 100 + "é" * 40).encode()
+    pieces = langid.words_of(word)
+    assert b"".join(pieces) == word and all(0 < len(p) <= langid.MOST and p.decode() for p in pieces)
+    junk = b"\x80" * 100
+    assert b"".join(langid.words_of(junk)) == junk
