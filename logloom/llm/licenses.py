@@ -8,6 +8,10 @@ outside the bounds of all templates are pruned before any bigram is exploded.
 Bigrams of the others meet those of the templates in a broadcast join; the
 common ones are counted and 2 * common / (both sizes) decides.
 
+Besides, windows that don't depend on line breaks are compared: as many words as a template has, anywhere
+in the text, where one of its rare bigrams puts the template.  A template has so many of these seeds that a window
+without any of them is below t.
+
 Defined results: null and empty texts and units of fewer than two words match
 nothing; a document without a match has a null licence; several licences in one
 document are listed, the best (then the first by name) is ``license``; rows
@@ -16,6 +20,9 @@ that repeat a document id share their matches, and each gives a row.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,13 +72,58 @@ def templates_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
     made = spark.createDataFrame(rows, "template int, license string, _t string")
     cut = pinned(made, ["template", "license"], _w=_words(F.col("_t")))
-    return cut.select("template", "license", _pairs(F.col("_w")).alias("bigrams")).withColumn("size", F.size("bigrams"))
+    made = cut.select("template", "license", _pairs(F.col("_w")).alias("bigrams"), F.col("_w").alias("words"))
+    return made.withColumn("size", F.size("bigrams"))
+
+
+def _seeds(templates: list, threshold: float) -> list[tuple]:
+    """(seed, template, offset) of the rarest bigrams of each template: one more than a match can lack."""
+    cut = {r.template: list(zip(r.words, r.words[1:])) for r in templates}
+    used = Counter(b for pairs in cut.values() for b in set(pairs))
+    out = []
+    for r in templates:
+        lacking = r.size - math.ceil(threshold * r.size / (2 - threshold) - 1e-9)
+        rarest = set(sorted(set(cut[r.template]), key=lambda b: (used[b], -len(min(b, key=len)), b))[: lacking + 1])
+        out += [(" ".join(b), r.template, at) for at, b in enumerate(cut[r.template]) if b in rarest]
+    return out
+
+
+def _windows(docs: DataFrame, templates: DataFrame, threshold: float) -> DataFrame | None:
+    """(doc_id, unit, license, dice) of the windows around seeds that reach the threshold."""
+    spark = docs.sparkSession
+    seeds = _seeds(templates.select("template", "words", "size").collect(), threshold)  # a few per template
+    if not seeds:
+        return None
+    made = spark.createDataFrame(seeds, "seed string, template int, offset int")
+    side = made.join(templates, "template").select("seed", "offset", "license", "size", "bigrams", F.size("words").alias("length"))
+    side = F.broadcast(side) if fits_broadcast(side) else side
+    reach = templates.agg(F.max(F.size("words"))).first()[0]
+    names = sorted({s for s, _, _ in seeds})
+    firsts, seconds = (sorted({n.split(" ")[i] for n in names}) for i in (0, 1))
+    words = pinned(docs, ["doc_id"], _w=_words(F.col("_t"))).where(F.size("_w") >= 2)
+    w = F.col("_w")
+    # Word by word first: bigrams are made only where both words belong to seeds.
+    at = F.filter(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.get(w, i).isin(firsts) & F.get(w, i + 1).isin(seconds))
+
+    def around(i):
+        begin = F.greatest(i - reach, F.lit(0))
+        seed = F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))
+        return F.struct(i.alias("at"), begin.alias("begin"), seed.alias("seed"), F.slice(w, begin + 1, i - begin + reach).alias("near"))
+
+    hits = words.select("doc_id", F.explode(F.transform(at, around)).alias("hit")).select("doc_id", "hit.*")
+    placed = hits.where(F.col("seed").isin(names)).join(side, "seed")
+    start = F.greatest(F.col("at") - F.col("offset"), F.lit(0))
+    window = F.slice("near", start - F.col("begin") + 1, F.col("at") - F.col("offset") + F.col("length") - start)
+    cut = pinned(placed.withColumn("unit", window), ["doc_id", "unit", "license", "size", "bigrams"], _p=_pairs(F.col("unit")))
+    dice = F.lit(2.0) * F.size(F.array_intersect("_p", "bigrams")) / (F.size("_p") + F.col("size"))
+    found = cut.select("doc_id", F.xxhash64("unit").alias("unit"), "license", dice.alias("dice")).where(F.col("dice") >= threshold)
+    return found.distinct()
 
 
 def matches(
     docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, unit, license, dice) of every unit that reaches the threshold."""
+    """(doc_id, unit, license, dice) of every unit and window that reaches the threshold."""
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     size = F.col("size")
     bounds = templates.select(F.ceil(size * low).cast("int").alias("a"), F.floor(size * high).cast("int").alias("b"))
@@ -94,7 +146,9 @@ def matches(
     # Repeated rows bring a unit twice; its bigrams count once.
     counted = common.distinct().groupBy("doc_id", "unit", "n", "template", "license", "size").agg(F.count("*").alias("common"))
     dice = F.lit(2.0) * F.col("common") / (F.col("n") + size)
-    return counted.withColumn("dice", dice).where(F.col("dice") >= threshold).select("doc_id", "unit", "license", "dice")
+    found = counted.withColumn("dice", dice).where(F.col("dice") >= threshold).select("doc_id", "unit", "license", "dice")
+    windows = _windows(docs, templates, threshold)
+    return found if windows is None else found.unionByName(windows)
 
 
 def scan(docs: DataFrame, templates: DataFrame | None = None, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -57,3 +57,18 @@ def test_empty_tables(spark):
     assert licenses.scan(docs).count() == 0
     one = spark.createDataFrame([(1, "Released under the MIT License.")], "doc_id bigint, text string")
     assert licenses.scan(one, licenses.templates_table(spark).where("false")).first().license is None
+
+
+def test_notices_do_not_depend_on_line_breaks(spark):
+    long = "some prose about ships and harbours " * 40
+    rows = [
+        (1, "Copyright 2021 X. Released under the MIT License.", "MIT"),
+        (2, f"{long}Licensed under the Apache License, Version 2.0. {long}", "Apache-2.0"),
+        (3, f"/*\n * {long}\n * Licensed under the Apache License,\n * Version 2.0.\n * {long}\n */", "Apache-2.0"),
+        (4, long + MIT.replace("sell", "rent") + " " + long, "MIT"),
+        (5, long + "licensed for the apache people, version two " + long, None),
+        (6, "Under the MIT License.", "MIT"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, want string")
+    got = {r.doc_id: r.license for r in licenses.scan(docs).collect()}
+    assert got == {i: want for i, _, want in rows}
