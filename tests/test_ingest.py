@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import LINES
+from samples import LINES
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

@@ -158,7 +158,7 @@ def test_alerts(spark):
     assert mo.check_alerts(mo.rolling_metrics(calm), latency).count() == 0
     lines = mo.metric_lines(metrics, latency, text=True).orderBy("position").collect()
     assert lines[2].line == (
-        "# HELP logloom_anomaly_rate Current anomaly rate\n"
+        "# HELP logloom_anomaly_rate Share of anomalous rows in the window\n"
         "# TYPE logloom_anomaly_rate gauge\nlogloom_anomaly_rate 0.200000"
     )
 
