@@ -275,11 +275,11 @@ class _Piece:
             self.row["syms"].append(sym)
             self.row["lens"].append(n)
 
-    def full(self) -> bool:
-        return self.taken >= PIECE_ROWS or self.size >= PIECE_CHARS or self.row["n_rows"] >= PIECE_COPIES
+    def full(self, rows: int, copies: int) -> bool:
+        return self.taken >= rows or self.size >= PIECE_CHARS or self.row["n_rows"] >= copies
 
 
-def _cut(kind: pa.DataType):
+def _cut(kind: pa.DataType, most_rows: int, most_copies: int):
     """Sorted rows of a partition to pieces.  Only a conversation inside it, in one piece, is known whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,13 +300,13 @@ def _cut(kind: pa.DataType):
                     piece, first = None, False
                     no += 1
                 while copies:
-                    if piece is not None and piece.full():
+                    if piece is not None and piece.full(most_rows, most_copies):
                         close(False)
                         no += 1
                         piece, alone = _Piece(conv, no), False
                     elif piece is None:
                         piece, alone = _Piece(conv, no), True
-                    some = min(copies, PIECE_COPIES)
+                    some = min(copies, most_copies)
                     piece.add(turn, role, text, some, fault, repeats)
                     copies, repeats = copies - some, True
                 if size >= PIECE_CHARS:
@@ -409,11 +409,20 @@ def counted(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role
     )
 
 
-def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def repair(
+    turns: DataFrame,
+    conv_id: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    piece_rows: int = PIECE_ROWS,
+    piece_copies: int = PIECE_COPIES,
+) -> DataFrame:
     """Pieces of repaired conversations.
 
     A row has the counts of its turns, its part of the audit, what the edits cost, and the repaired
     roles and texts.  Pieces of a conversation are ordered by (part, no); ``whole`` pieces are whole conversations.
+    ``piece_rows`` and ``piece_copies`` bound a piece and do not change the result.
     """
     spark = turns.sparkSession
     prepare(spark)
@@ -425,7 +434,7 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     heads = [F.substring("role", 1, 50), F.substring("text", 1, 200)]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, *key, *heads).sortWithinPartitions(*key, "role", "text")
-    pieces = materialize(ordered.mapInArrow(_cut(arrow), f"conv_id {kind}, {_PIECES}"), "pieces")
+    pieces = materialize(ordered.mapInArrow(_cut(arrow, piece_rows, piece_copies), f"conv_id {kind}, {_PIECES}"), "pieces")
 
     open_ = pieces.where("NOT whole").select("conv_id", "part", "no", "syms", "lens")
     matrices = open_.select("conv_id", "part", "no", "syms", "lens").mapInArrow(
@@ -439,6 +448,5 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     )
     front = mapped.repartition("conv_id").sortWithinPartitions("conv_id", "part", "no")
     entries = materialize(front.mapInArrow(_entries, "part int, no int, behind array<bigint>, last boolean, entry int"), "entries")
-    return pieces.join(entries, ["part", "no"], "left").select("conv_id", *[c for c in pieces.columns if c != "conv_id"], "behind", "last", "entry").mapInArrow(
-        _repaired(arrow), f"conv_id {kind}, {_REPAIRED}"
-    )
+    ready = pieces.join(entries, ["part", "no"], "left").select(*pieces.columns, "behind", "last", "entry")
+    return ready.mapInArrow(_repaired(arrow), f"conv_id {kind}, {_REPAIRED}")

@@ -106,11 +106,11 @@ def random_rows(n_conv, longest, seed):
 
 
 @pytest.mark.parametrize("piece_rows", [2000, 3])
-def test_random_conversations(spark, monkeypatch, piece_rows):
+def test_random_conversations(spark, piece_rows):
     """Whole conversations and, with small pieces, conversations over many of them."""
-    monkeypatch.setattr(repair, "PIECE_ROWS", piece_rows)
     rows = random_rows(60, 12, 5)
-    got = {r[0]: tuple(r)[1:] for r in report(repair.repair(spark.createDataFrame(rows, SCHEMA).repartition(3))).collect()}
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r[0]: tuple(r)[1:] for r in report(repair.repair(frame, piece_rows=piece_rows)).collect()}
     want = {c: plain(r) for c, r in by_conversation(rows).items()}
     assert got == want
 
@@ -125,15 +125,13 @@ def test_damage_and_missing_conversations(spark):
     assert any(not r for r in want.values())
 
 
-def test_one_conversation_with_most_rows(spark, monkeypatch):
+def test_one_conversation_with_most_rows(spark):
     """A long conversation is spread over pieces and partitions, and equal rows over none."""
-    monkeypatch.setattr(repair, "PIECE_ROWS", 50)
-    monkeypatch.setattr(repair, "PIECE_COPIES", 70)
     rng = random.Random(1)
     rows = [(1, i, rng.choice(["user", "assistant"]), f"Text {rng.randrange(300)}{rng.choice(['.', ''])}") for i in range(1500)]
     rows += [(1, 700, "user", "Again.")] * 400 + [(2, 0, "user", "Hi."), (0, 0, "assistant", "Hm.")]
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
-    pieces = repair.repair(frame)
+    pieces = repair.repair(frame, piece_rows=50, piece_copies=70)
     assert pieces.where("conv_id = 1").count() > 20
     got = {r[0]: tuple(r)[1:] for r in report(pieces).collect()}
     assert got == {c: plain(r) for c, r in by_conversation(rows).items()}
