@@ -15,7 +15,7 @@ from logloom.models.autoencoder import Autoencoder
 from logloom.models.iforest import IsolationForest
 from logloom.models.ocsvm import OneClassSVM
 from logloom.models.scaling import minmax_probability
-from logloom.sources.store import _exists
+from logloom.sources.store import path_exists
 
 MODELS = {
     "isolation_forest": IsolationForest,
@@ -154,7 +154,7 @@ def train(
 
 def model_versions(spark: SparkSession, base: str) -> DataFrame:
     path = f"{base.rstrip('/')}/metadata"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], MODEL_META)
     return spark.read.schema(MODEL_META).parquet(path)
 

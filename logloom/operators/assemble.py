@@ -133,9 +133,11 @@ class FeatureModel:
     def dense_names(self) -> list[str]:
         return self.names[self.n_terms :]
 
-    def dense(self, df: DataFrame, stats: str = "batch") -> DataFrame:
+    def dense(self, df: DataFrame, stats: str = "batch", before=None) -> DataFrame:
         """``row_id`` and the numeric columns, without TF-IDF.
 
+        ``before`` is the time of a row that came before these.
+
         The lookups follow one another on the same narrow rows; the gap to the
         row before joins by the unique row key.
         """
@@ -150,9 +152,9 @@ class FeatureModel:
             "source_ip",
             *ft.statistical_columns(df),
         )
-        return self._attach(keys, rows, stats)
+        return self._attach(keys, rows, stats, before)
 
-    def _attach(self, keys: DataFrame, rows: DataFrame, stats: str) -> DataFrame:
+    def _attach(self, keys: DataFrame, rows: DataFrame, stats: str, before=None) -> DataFrame:
         tables = self.counts
         if stats == "batch":
             tables = CountTables.build(rows, scratch_dir(self.spark, "counts"), self.sizes)
@@ -206,15 +208,15 @@ class FeatureModel:
             .alias("level_rarity_in_service"),
             (F.col("ip_n") / total_i.scalar()).alias("ip_frequency"),
         )
-        gaps = previous_time_gap(rows)
+        gaps = previous_time_gap(rows, before=before)
         return figures.join(gaps, ROW_ID, "left").select(
             ROW_ID,
             *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.dense_names],
         )
 
-    def transform(self, df: DataFrame, stats: str = "batch") -> DataFrame:
+    def transform(self, df: DataFrame, stats: str = "batch", before=None) -> DataFrame:
         """``(row_id, features)``, features a sparse struct of indices and values."""
-        dense = self.dense(df, stats)
+        dense = self.dense(df, stats, before)
         first = self.n_terms
         offsets = F.array(*[F.lit(first + i) for i in range(len(self.dense_names))])
         figures = F.array(*[F.col(c) for c in self.dense_names])

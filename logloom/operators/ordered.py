@@ -112,10 +112,16 @@ def percentile_values(df: DataFrame, value: str, fractions: Sequence[float]) ->
 
 
 def previous_time_gap(
-    df: DataFrame, ts: str = "timestamp", row_id: str = ROW_ID, out: str = "inter_arrival_seconds"
+    df: DataFrame,
+    ts: str = "timestamp",
+    row_id: str = ROW_ID,
+    out: str = "inter_arrival_seconds",
+    before=None,
 ) -> DataFrame:
     """Rows ``(row_id, out)``: seconds since the row before in (time, row_id) order.
 
+    ``before`` is the time of a row that stands before all of these.
+
     Rows that share a time differ by 0 except the first of them, so distinct
     times with their first row suffice.  Those are windowed per second (at most
     a million microseconds each); the last time of a second is carried inside
@@ -144,5 +150,6 @@ def previous_time_gap(
     )
     in_second = Window.partitionBy("_sec").orderBy("t")
     firsts = distinct.withColumn("prev", F.lag("t").over(in_second)).join(prev_second, "_sec")
-    gap = (F.col("t") - F.coalesce("prev", "before")) / F.lit(1_000_000.0)
+    start = F.lit(None).cast("bigint") if before is None else F.unix_micros(F.lit(before).cast("timestamp"))
+    gap = (F.col("t") - F.coalesce(F.col("prev"), F.col("before"), start)) / F.lit(1_000_000.0)
     return firsts.select(row_id, F.coalesce(gap, F.lit(0.0)).alias(out))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from logloom.plans import inputs as src
 from logloom.plans.catalog import query
 from logloom.plans.queries_ingest import parsed_sql
-from logloom.session import scratch_dir
+from logloom.models.registry import train
+from logloom.operators.assemble import FeatureModel
+from logloom.session import materialize, scratch_dir
+from logloom.streaming import model_stream as ms
 from logloom.streaming import streams as st
 
 
@@ -179,3 +182,51 @@ def stream_drift(spark, sf):
         scores, reference, f"{base}/out", f"{base}/state", available_now=True
     ).awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+HALFWAY = "2024-01-16"
+
+
+def arriving(rows, purpose: str, part, n: int):
+    """Rows written as ``n`` deliveries, one after the other, and the stream that takes one at a time."""
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, purpose)
+    rows = materialize(rows.withColumn("_part", part), purpose)
+    for i in range(n):
+        rows.where(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return st.read_stream(spark, path, "parquet", rows.drop("_part").schema, max_files=1)
+
+
+@query(
+    f"""WITH {src.LOGS}, late AS (SELECT * FROM logs WHERE "timestamp" >= TIMESTAMP '{HALFWAY}')
+    SELECT row_id, {", ".join(
+        f'count(*) OVER (PARTITION BY time_bucket(INTERVAL {m} MINUTE, "timestamp")) AS log_count_{m}min' for m in (1, 5, 15, 60))},
+    TRUE AS same_score FROM late"""
+)
+def stream_model_scores(spark, sf):
+    """The fitted feature model and a forest on a stream of five deliveries, against the same rows scored as one batch.
+
+    Every seventh row comes one delivery late.
+    """
+    logs = src.logs(spark, sf, heavy=True)
+    halfway = F.lit(HALFWAY).cast("timestamp")
+    old, new = logs.where(F.col("timestamp") < halfway), logs.where(F.col("timestamp") >= halfway)
+    features = FeatureModel.fit(old)
+    detector = train(features.transform(old, stats="training"), size=len(features.names))
+
+    day = F.datediff("timestamp", halfway)
+    part = F.least(F.floor(day / 4) + F.when(F.col("row_id") % 7 == 0, 1).otherwise(0), F.lit(4))
+    base = scratch_dir(spark, "stream-model")
+    scoring = ms.ModelStream(features, detector, base, delay_minutes=8 * 24 * 60)
+    stream = arriving(new, "deliveries", part, 5)
+    ms.write_model_scores(stream, scoring, f"{base}/state", available_now=True).awaitTermination()
+    scoring.finish(spark)
+
+    batch = materialize(features.transform(new, stats="fitted"), "batch-features")
+    want = detector.score(batch, bounds="fitted").select("row_id", F.col("anomaly_score").alias("batch_score"))
+    counts = features.dense(new, stats="fitted")
+    got = ms.model_scores(spark, base).select("row_id", "anomaly_score")
+    names = [f"log_count_{m}min" for m in features.sizes]
+    same = F.abs(F.col("anomaly_score") - F.col("batch_score")) < 1e-9
+    return got.join(want, "row_id").join(counts, "row_id").select(
+        "row_id", *[F.col(c).cast("bigint").alias(c) for c in names], same.alias("same_score")
+    )

@@ -39,12 +39,22 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _file_system(spark, path)
     return fs.exists(hadoop)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a table folder that this library wrote; nothing happens if it is gone."""
+    fs, hadoop = _file_system(spark, path)
+    fs.delete(hadoop, True)
+
+
 def write_quarantine(rows: DataFrame, path: str, ingest_date: str | None = None) -> None:
     """Append dead letters with their reasons, one folder per ingest date."""
     day = ingest_date or _now().strftime("%Y-%m-%d")
@@ -105,7 +115,7 @@ class FeatureStore:
         return table, list(rows[0]["feature_names"])
 
     def metadata(self) -> DataFrame:
-        if not _exists(self.spark, self._meta):
+        if not path_exists(self.spark, self._meta):
             return self.spark.createDataFrame([], FEATURE_META)
         return self.spark.read.schema(FEATURE_META).parquet(self._meta)
 
