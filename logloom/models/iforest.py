@@ -1,9 +1,13 @@
 """Isolation forest (Liu, Ting and Zhou, 2008).
 
-Fitting: a hash of the row key picks a uniform pool of rows, a second hash per
+Samples of a given number of rows: a hash of the row key picks a uniform pool of rows, a second hash per
 tree picks that tree's sample from the pool, and each tree is grown in its own
 task.  The pool follows the number of trees and their samples, not the table, and so do
 the nodes, which can be collected and broadcast.  Scoring is one pass over the rows.
+
+Samples that are a fraction of the table are grown level by level (levels.py).  Their nodes
+follow the table: up to ``MAX_NODES`` they are collected as above, beyond they stay a table, and
+scoring brings rows and branches together by (tree, branch).
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logloom.models import levels
 from logloom.models.matrix import chunks, feature_block
 from logloom.operators.ordered import exact_percentiles
 from logloom.schema import ROW_ID
@@ -30,13 +35,13 @@ DEFAULTS = {
     "contamination": "auto",
     "max_samples": "auto",
     "random_state": 42,
-    "fraction_rows": 16 * AUTO_SAMPLES,
 }
 AUTO_OFFSET = -0.5
 
-# The pool trees are sampled from holds this many times the rows that all trees draw.
-# A fractional max_samples is a fraction of ``fraction_rows`` rows (or of a smaller table).
-POOL_FACTOR = 2
+# The pool trees are sampled from holds this many times the rows that all trees draw, if there are so many.
+POOL_FACTOR = 4
+# Nodes that are collected and broadcast; more stay in a table.
+MAX_NODES = 4_000_000
 _MODULUS = 1 << 30
 
 NODES = T.StructType(
@@ -53,6 +58,8 @@ NODES = T.StructType(
     ]
 )
 
+_TOP_NODES = "tree bigint, node bigint, feature bigint, threshold double, size bigint"
+
 
 def average_path(n) -> np.ndarray:
     """Mean path length of an unsuccessful search among n points."""
@@ -64,6 +71,10 @@ def average_path(n) -> np.ndarray:
     return out
 
 
+def path_norm(psi: int) -> float:
+    return float(average_path(np.array([psi]))[0]) or 1.0
+
+
 def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
     """Nodes ``(node, feature, threshold, left, right, size, depth)`` of one tree."""
     nodes: list[list] = []
@@ -92,36 +103,30 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[t
     return [tuple(n) for n in nodes]
 
 
-def sample_size(max_samples, n_rows: int, fraction_rows: int = DEFAULTS["fraction_rows"]) -> int:
+def sample_size(max_samples, n_rows: int) -> int:
+    """Rows of a tree's sample; a fraction is one of the whole table."""
     if max_samples == "auto":
         return max(1, min(AUTO_SAMPLES, n_rows))
     if isinstance(max_samples, float):
-        return max(1, int(max_samples * min(n_rows, fraction_rows)))
+        if not 0.0 < max_samples <= 1.0:
+            raise ValueError("a fractional max_samples lies above 0 and up to 1")
+        return max(1, int(max_samples * n_rows))
     return max(1, min(int(max_samples), n_rows))
 
 
-def _grow_forests(
-    df: DataFrame, n_rows: int, size: int, settings: list[tuple[int, int, int]], seed: int
-) -> DataFrame:
-    """Nodes of several forests; a setting is (param_id, trees, sample size)."""
+def _grow_forest(df: DataFrame, n_rows: int, size: int, trees: int, psi: int, seed: int) -> DataFrame:
+    """Nodes of a forest whose trees have samples of ``psi`` rows."""
     ship_package(df.sparkSession)
-    pool_rows = POOL_FACTOR * sum(trees * psi for _, trees, psi in settings)
-    pool = df.select(ROW_ID, "features")
-    if n_rows > 2 * pool_rows:
-        share = int(_MODULUS * pool_rows / n_rows)
-        pool = pool.where(F.pmod(F.xxhash64(F.lit(seed), ROW_ID), F.lit(_MODULUS)) < share)
-        expected = pool_rows
-    else:
-        expected = n_rows
-    plans = []
-    for pid, trees, psi in settings:
-        # Room for the spread of a binomial count, so that a tree is never short.
-        want = psi + 6.0 * math.sqrt(psi) + 8.0
-        limit = _MODULUS if expected * 0.9 <= want else int(_MODULUS * want / (expected * 0.9))
-        plans.append(_candidates(pid, trees, psi, limit, seed))
-    hits = pool.select(ROW_ID, "features", F.explode(F.concat(*plans)).alias("c")).select(
-        ROW_ID, "features", "c.*"
+    share = min(1.0, POOL_FACTOR * trees * psi / n_rows)
+    pool = df.select(ROW_ID, "features").where(
+        F.pmod(F.xxhash64(F.lit(seed), ROW_ID), F.lit(_MODULUS)) < int(_MODULUS * share)
     )
+    expected = n_rows * share
+    # Room for the spread of a binomial count, so that a tree is never short.
+    want = psi + 6.0 * math.sqrt(psi) + 8.0
+    limit = _MODULUS if expected * 0.9 <= want else int(_MODULUS * want / (expected * 0.9))
+    drawn = F.explode(_candidates(0, trees, psi, limit, seed)).alias("c")
+    hits = pool.select(ROW_ID, "features", drawn).select(ROW_ID, "features", "c.*")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pid, tree, psi = (int(pdf[c].iloc[0]) for c in ("param_id", "tree", "psi"))
@@ -165,7 +170,7 @@ class PackedForest:
         self.width = max(1, len(used))
         self.size = size
         self.depth = int(nodes["depth"].max())
-        self.norm = float(average_path(np.array([psi]))[0]) or 1.0
+        self.norm = path_norm(psi)
 
         counts = nodes.groupby("tree", sort=True).size().to_numpy()
         starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
@@ -183,19 +188,24 @@ class PackedForest:
 
     def anomaly(self, x: np.ndarray) -> np.ndarray:
         """2^(-E[h]/c): near 1 for isolated points."""
+        return np.exp2(-self.lengths(x).mean(axis=1) / self.norm)
+
+    def lengths(self, x: np.ndarray) -> np.ndarray:
+        """Path length of every row in every tree."""
         flat, width = x.ravel(), x.shape[1]
         row = (np.arange(len(x)) * width)[:, None]
         node = np.tile(self.roots, (len(x), 1))
         for _ in range(self.depth):
             right = flat.take(row + self.feature.take(node)) > self.threshold.take(node)
             node = self.child.take(2 * node + right)
-        return np.exp2(-self.path.take(node).mean(axis=1) / self.norm)
+        return self.path.take(node)
+
+    def blocks(self, col):
+        for c in chunks(col):
+            yield feature_block(c, self.size, positions=self.positions, width=self.width)
 
     def score_column(self, col) -> pd.Series:
-        parts = [
-            self.anomaly(feature_block(c, self.size, positions=self.positions, width=self.width))
-            for c in chunks(col)
-        ]
+        parts = [self.anomaly(x) for x in self.blocks(col)]
         return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
 
@@ -216,9 +226,13 @@ def _score_expr(spark: SparkSession, forest: PackedForest, features: str = "feat
 
 @dataclass
 class IsolationForest:
-    """A fitted forest.  ``nodes`` is the driver's copy of the bounded node table."""
+    """A fitted forest.
+
+    ``nodes`` is the driver's copy of the node table.  A forest of more than ``MAX_NODES`` nodes
+    has none, but the cuts near its roots (``top``) and a table of ``branches`` below them.
+    """
 
-    nodes: pd.DataFrame
+    nodes: pd.DataFrame | None
     size: int
     psi: int
     params: dict
@@ -228,6 +242,9 @@ class IsolationForest:
     score_max: float | None = None
     n_rows: int = 0
     tuning: list[dict] = field(default_factory=list)
+    top: levels.TopLevels | None = None
+    branches: DataFrame | None = None
+    training_raw: DataFrame | None = field(default=None, repr=False)
 
     @classmethod
     def fit(
@@ -243,17 +260,29 @@ class IsolationForest:
         if n_rows == 0:
             raise ValueError("cannot fit a forest on an empty table")
         size = size or feature_size(df)
-        psi = sample_size(settings["max_samples"], n_rows, settings["fraction_rows"])
-        nodes = _grow_forests(
-            df, n_rows, size, [(0, settings["n_estimators"], psi)], settings["random_state"]
-        ).toPandas()
-        model = cls(nodes, size, psi, settings, n_rows=n_rows)
+        model = cls._grow(df, n_rows, size, settings)
         if calibrate or settings["contamination"] != "auto":
-            model._calibrate(df)
+            model._calibrate(model.raw_scores(df))
         return model
 
-    def _calibrate(self, df: DataFrame) -> None:
-        raw = materialize(self.raw_scores(df).select("raw"), "iforest-scores")
+    @classmethod
+    def _grow(cls, df: DataFrame, n_rows: int, size: int, settings: dict) -> "IsolationForest":
+        trees, samples, seed = (settings[k] for k in ("n_estimators", "max_samples", "random_state"))
+        psi = sample_size(samples, n_rows)
+        if not isinstance(samples, float):
+            nodes = _grow_forest(df, n_rows, size, trees, psi, seed).toPandas()
+            return cls(nodes, size, psi, settings, n_rows=n_rows)
+        top, branches = levels.grow_forest(
+            df, size, trees, samples, n_rows, seed, settings.get("task_rows", levels.TASK_ROWS)
+        )
+        model = cls(None, size, psi, settings, n_rows=n_rows, top=top, branches=branches)
+        if branches.count() + len(top.cuts) + len(top.leaves) <= settings.get("max_nodes", MAX_NODES):
+            model.nodes, model.top, model.branches = levels.whole_nodes(top, branches.toPandas()), None, None
+        return model
+
+    def _calibrate(self, scored: DataFrame) -> None:
+        """Offset, threshold and range from ``(row_id, raw)`` of the training rows, which are kept."""
+        raw = materialize(scored.select(ROW_ID, "raw"), "iforest-scores")
         ends = raw.agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).first()
         c = self.params["contamination"]
         wanted = [0.05] if c == "auto" else sorted({0.05, float(c)})
@@ -262,23 +291,37 @@ class IsolationForest:
         self.threshold = got[0.05] - self.offset
         self.score_min = ends["lo"] - self.offset
         self.score_max = ends["hi"] - self.offset
+        self.training_raw = raw
 
     def raw_scores(self, df: DataFrame) -> DataFrame:
         """Adds ``raw`` = -2^(-E[h]/c), before the offset."""
         spark = df.sparkSession
+        if self.nodes is None:
+            trees = self.params["n_estimators"]
+            sums = levels.table_lengths(df, self.top, self.branches, self.size, [trees], self.n_rows)
+            raw = -F.pow(F.lit(2.0), -F.col("s0") / trees / F.lit(path_norm(self.psi)))
+            return df.join(sums.select(ROW_ID, raw.alias("raw")), ROW_ID)
         plain, struct = _score_expr(spark, PackedForest(self.nodes, self.size, self.psi))
         udf = struct if dict(df.dtypes)["features"].startswith("struct") else plain
         return df.withColumn("raw", -udf("features"))
 
     def score(self, df: DataFrame) -> DataFrame:
         """Replaces ``features`` by ``score`` (low = anomalous) and ``anomaly_label``."""
-        scored = self.raw_scores(df).withColumn("score", F.col("raw") - F.lit(self.offset))
-        return scored.drop("features", "raw").withColumn(
-            "anomaly_label", F.when(F.col("score") < 0, -1).otherwise(1)
-        )
+        return self._judged(self.raw_scores(df).drop("features"))
+
+    def training_scores(self) -> DataFrame:
+        """``(row_id, score, anomaly_label)`` of the rows the model was calibrated on, not computed again."""
+        return self._judged(self.training_raw)
+
+    def _judged(self, raw: DataFrame) -> DataFrame:
+        scored = raw.withColumn("score", F.col("raw") - F.lit(self.offset)).drop("raw")
+        return scored.withColumn("anomaly_label", F.when(F.col("score") < 0, -1).otherwise(1))
 
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
-        return {"nodes": spark.createDataFrame(self.nodes, NODES)}
+        if self.nodes is not None:
+            return {"nodes": spark.createDataFrame(self.nodes, NODES)}
+        parts = {f"top_{n}": getattr(self.top, n) for n in ("cuts", "leaves", "closed")}
+        return {"branches": self.branches} | {n: spark.createDataFrame(p, _TOP_NODES) for n, p in parts.items()}
 
     def meta(self) -> dict:
         return {
@@ -294,7 +337,10 @@ class IsolationForest:
 
     @classmethod
     def from_tables(cls, tables: dict[str, DataFrame], meta: dict) -> "IsolationForest":
-        return cls(nodes=tables["nodes"].toPandas(), **meta)
+        if "nodes" in tables:
+            return cls(nodes=tables["nodes"].toPandas(), **meta)
+        top = levels.TopLevels(*(tables[f"top_{n}"].toPandas() for n in ("cuts", "leaves", "closed")))
+        return cls(nodes=None, top=top, branches=tables["branches"], **meta)
 
     def __repr__(self) -> str:
         return f"IsolationForest({json.dumps(self.params)}, psi={self.psi})"
@@ -307,6 +353,9 @@ def feature_size(df: DataFrame) -> int:
     return int(df.agg(F.max(F.size("features")).alias("m")).first()["m"] or 0)
 
 
+TUNING = "n_estimators int, max_samples string, separation_score double, score_std double, anomaly_ratio double"
+
+
 def tune(
     df: DataFrame,
     n_estimators: tuple = (100, 200, 300),
@@ -318,60 +367,71 @@ def tune(
 ) -> IsolationForest:
     """Grid search; the best setting separates the lowest scores the most.
 
-    All forests of the grid are grown in one job, and all are scored in one
-    pass that yields one column per setting.
+    Trees depend on the seed and the sample, not on how many there are, so one forest is grown for each
+    sample size, and the settings with fewer trees are the first trees of it.  One pass scores
+    all settings of a sample size.  The best setting is kept as it is, nothing is fitted again;
+    ``tuning`` has the figures of every setting.
     """
     n_rows = df.count()
+    if n_rows == 0:
+        raise ValueError("cannot tune a forest on an empty table")
     size = size or feature_size(df)
-    grid = [(t, s) for s in max_samples for t in n_estimators]
-    fraction_rows = params.get("fraction_rows", DEFAULTS["fraction_rows"])
-    settings = [(i, t, sample_size(s, n_rows, fraction_rows)) for i, (t, s) in enumerate(grid)]
-    nodes = _grow_forests(df, n_rows, size, settings, random_state).toPandas()
-    forests = [
-        PackedForest(nodes[nodes["param_id"] == i].reset_index(drop=True), size, psi)
-        for i, _, psi in settings
-    ]
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(forests)
-    names = [f"s{i}" for i in range(len(grid))]
-    out = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+    counts = sorted(set(n_estimators))
+    best, results = None, []
+    for samples in max_samples:
+        settings = {**DEFAULTS, **params, "n_estimators": counts[-1], "max_samples": samples, "random_state": random_state}
+        forest = IsolationForest._grow(df, n_rows, size, settings)
+        scored = materialize(_prefix_scores(df, forest, counts), "iforest-tuning")
+        for i, trees in enumerate(counts):
+            figures = _separation(scored, f"s{i}", percentile)
+            results.append({"n_estimators": trees, "max_samples": samples, **figures})
+            if best is None or figures["separation_score"] > best[0]["separation_score"]:
+                best = (results[-1], forest, scored.select(ROW_ID, F.col(f"s{i}").alias("raw")))
+    chosen, model, raw = best
+    model.params = {**model.params, "n_estimators": chosen["n_estimators"]}
+    if model.nodes is not None:
+        model.nodes = model.nodes[model.nodes["tree"] < chosen["n_estimators"]].reset_index(drop=True)
+    model._calibrate(raw)
+    model.tuning = results
+    return model
+
+
+def tuning_table(spark: SparkSession, model) -> DataFrame:
+    """The figures of every setting that ``tune`` tried."""
+    rows = [(r["n_estimators"], str(r["max_samples"]), r["separation_score"], r["score_std"], r["anomaly_ratio"]) for r in model.tuning]
+    return spark.createDataFrame(rows, TUNING)
+
+
+def _prefix_scores(df: DataFrame, forest: IsolationForest, counts: list[int]) -> DataFrame:
+    """``row_id`` and the raw score by the first ``counts[i]`` trees as ``s<i>``."""
+    norm = path_norm(forest.psi)
+    if forest.nodes is None:
+        sums = levels.table_lengths(df, forest.top, forest.branches, forest.size, counts, forest.n_rows)
+        raw = [(-F.pow(F.lit(2.0), -F.col(f"s{i}") / n / F.lit(norm))).alias(f"s{i}") for i, n in enumerate(counts)]
+        return sums.select(ROW_ID, *raw)
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(PackedForest(forest.nodes, forest.size, forest.psi))
 
     def run(batches):
+        packed = shared.value
         for pdf in batches:
-            yield pd.DataFrame(
-                {
-                    n: -f.score_column(pdf["features"]).to_numpy() - AUTO_OFFSET
-                    for n, f in zip(names, shared.value)
-                }
-            )
-
-    scored = materialize(df.select("features").mapInPandas(run, out), "iforest-tuning")
-    results = []
-    for i, (trees, samples) in enumerate(grid):
-        cut = exact_percentiles(scored, names[i], [percentile / 100.0]).first()["percentile"]
-        low = F.col(names[i]) < cut
-        row = scored.agg(
-            (F.avg(F.when(~low, F.col(names[i]))) - F.avg(F.when(low, F.col(names[i])))).alias("d"),
-            F.stddev_pop(names[i]).alias("sd"),
-            F.avg(low.cast("int")).alias("ratio"),
-        ).first()
-        results.append(
-            {
-                "n_estimators": trees,
-                "max_samples": samples,
-                "separation_score": row["d"] or 0.0,
-                "score_std": row["sd"],
-                "anomaly_ratio": row["ratio"],
-            }
-        )
-    best = max(results, key=lambda r: r["separation_score"])
-    model = IsolationForest.fit(
-        df,
-        size=size,
-        n_estimators=best["n_estimators"],
-        max_samples=best["max_samples"],
-        random_state=random_state,
-        **params,
-    )
-    model.tuning = results
-    return model
+            lengths = [packed.lengths(x) for x in packed.blocks(pdf["features"])]
+            if lengths:
+                sums = np.cumsum(np.concatenate(lengths), axis=1)
+                means = {f"s{i}": -np.exp2(-sums[:, n - 1] / n / norm) for i, n in enumerate(counts)}
+                yield pd.DataFrame({ROW_ID: pdf[ROW_ID].to_numpy(), **means})
+
+    fields = ", ".join(f"s{i} double" for i in range(len(counts)))
+    return df.select(ROW_ID, "features").mapInPandas(run, f"{ROW_ID} bigint, {fields}")
+
+
+def _separation(scored: DataFrame, column: str, percentile: float) -> dict:
+    """Mean score above the percentile less the mean below it, spread, and share below."""
+    cut = exact_percentiles(scored, column, [percentile / 100.0]).first()["percentile"]
+    low = F.col(column) < cut
+    row = scored.agg(
+        (F.avg(F.when(~low, F.col(column))) - F.avg(F.when(low, F.col(column)))).alias("d"),
+        F.stddev_pop(column).alias("sd"),
+        F.avg(low.cast("int")).alias("ratio"),
+    ).first()
+    return {"separation_score": row["d"] or 0.0, "score_std": row["sd"], "anomaly_ratio": row["ratio"]}

@@ -15,6 +15,7 @@ from logloom.models.autoencoder import Autoencoder
 from logloom.models.iforest import IsolationForest
 from logloom.models.ocsvm import OneClassSVM
 from logloom.models.scaling import minmax_probability
+from logloom.session import materialize
 from logloom.sources.store import path_exists
 
 MODELS = {
@@ -67,10 +68,18 @@ class Detector:
         fitted = (self.model.score_min, self.model.score_max)
         if bounds == "fitted" and None in fitted:
             raise ValueError("the model was fitted without a score range")
-        scored = minmax_probability(
-            self.model.score(df), bounds=fitted if bounds == "fitted" else None
-        )
-        return scored.withColumns(
+        if bounds == "fitted":
+            return self._scaled(self.model.score(df), fitted)
+        # The range is taken from the scores: they are written first, so that the model runs once.
+        return self._scaled(materialize(self.model.score(df), "scores"), None)
+
+    def training_scores(self) -> DataFrame:
+        """What ``score`` gives for the training rows, from the scores that calibration left."""
+        return self._scaled(self.model.training_scores(), (self.model.score_min, self.model.score_max))
+
+    @staticmethod
+    def _scaled(scored: DataFrame, bounds: tuple | None) -> DataFrame:
+        return minmax_probability(scored, bounds=bounds).withColumns(
             {
                 "is_anomaly_detected": is_anomaly("anomaly_label"),
                 "confidence": confidence("anomaly_score"),
@@ -126,9 +135,10 @@ class Detector:
         row = rows[0]
         path = f"{base.rstrip('/')}/model={row['model_name']}/version={row['version']}"
         kind = MODELS[row["model_name"]]
-        tables = (
-            {"nodes": spark.read.parquet(f"{path}/nodes")} if kind is IsolationForest else {}
-        )
+        tables = {}
+        if kind is IsolationForest:
+            names = ("nodes", "branches", "top_cuts", "top_leaves", "top_closed")
+            tables = {n: spark.read.parquet(f"{path}/{n}") for n in names if path_exists(spark, f"{path}/{n}")}
         model = kind.from_tables(tables, json.loads(row["state"]))
         return cls(row["model_name"], model, row["version"], row["trained_at"])
 

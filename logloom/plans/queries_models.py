@@ -34,10 +34,27 @@ def iforest_scores(spark, sf):
 
 @query()
 def iforest_tuning(spark, sf):
-    """Separation of every setting of the grid; the refit forest scores the rows."""
+    """Separation of the scores of every setting of the grid."""
     rows = src.vectors(spark, sf)
-    model = iforest.tune(rows)
-    return model.score(rows)
+    return iforest.tuning_table(spark, iforest.tune(rows))
+
+
+@query(
+    """SELECT CAST(t AS INTEGER) AS n_estimators, m AS max_samples, TRUE AS separated,
+    CAST(greatest(ceil(0.05 * ((SELECT count(*) FROM embeddings) - 1)), 1) AS BIGINT) AS n_low
+    FROM (VALUES (20), (40)) a(t), (VALUES ('0.5'), ('1.0')) b(m)"""
+)
+def iforest_tuning_grid(spark, sf):
+    """A smaller grid: its settings, whether the lowest twentieth stands apart, and how many rows that is."""
+    rows = src.vectors(spark, sf)
+    n = rows.count()
+    tried = iforest.tuning_table(spark, iforest.tune(rows, n_estimators=(20, 40), max_samples=(0.5, 1.0)))
+    return tried.select(
+        "n_estimators",
+        "max_samples",
+        (F.col("separation_score") > 0).alias("separated"),
+        F.round(F.col("anomaly_ratio") * n).cast("bigint").alias("n_low"),
+    )
 
 
 @query()

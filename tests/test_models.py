@@ -59,7 +59,7 @@ def test_forest_does_not_depend_on_partitions(spark):
 
 
 def test_forest_samples_from_a_pool(spark):
-    """With more rows than twice the pool, every tree is still full."""
+    """With more rows than the pool holds, every tree is still full."""
     df = spark.range(20_000).select(
         F.col("id").alias("row_id"), F.array(F.rand(1), F.rand(2)).alias("features")
     )
