@@ -1,9 +1,8 @@
 """Dense autoencoder; a row that is rebuilt badly is anomalous.
 
-Training is parameter averaging (Zinkevich et al., 2010): in each round every
-shard runs mini-batch gradient descent over its own rows from the common
-weights, and the weights are averaged, weighted by rows.  With one shard this
-is plain mini-batch gradient descent.
+Training is synchronous: an epoch visits the mini-batches that parallel.py made, each in one
+Spark job that returns the mean gradient of all its rows, and the driver takes one Adam step
+(Kingma and Ba, 2015) per mini-batch.  The rows of a mini-batch grow with the table, the number of steps doesn't.
 """
 
 from __future__ import annotations
@@ -18,9 +17,10 @@ from pyspark.sql import functions as F
 from logloom.models.iforest import feature_size
 from logloom.models.matrix import chunks
 from logloom.models.ocsvm import apply_scores
-from logloom.models.parallel import scaled_rows, summed
+from logloom.models.parallel import Blocks
 from logloom.models.scaling import VectorScaler
 from logloom.operators.ordered import percentile_values
+from logloom.schema import ROW_ID
 from logloom.session import materialize
 
 # Defaults of the detector.
@@ -28,10 +28,11 @@ DEFAULTS = {
     "encoding_dim": 32,
     "hidden_layers": [128, 64],
     "epochs": 50,
-    "batch_size": 256,
     "learning_rate": 0.001,
     "threshold_percentile": 95.0,
 }
+# Mini-batches of an epoch; each holds this part of all rows.
+BATCHES = 4
 
 
 def layer_sizes(dims: int, hidden: list[int], encoding: int) -> list[int]:
@@ -66,20 +67,32 @@ def forward(x: np.ndarray, layers) -> list[np.ndarray]:
     return outs
 
 
-def train_batch(x: np.ndarray, layers, rate: float) -> float:
-    """One descent step on a batch, in place; returns the batch's mean squared error."""
+def gradient(x: np.ndarray, flat: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Sums over rows: the gradient of the squared error over all weights, then the mean squared error per row."""
+    layers = unpack(flat, sizes)
     outs = forward(x, layers)
     error = outs[-1] - x
-    loss = float(np.mean(error**2))
-    delta = 2.0 * error / len(x)
+    loss = float(np.mean(error**2, axis=1).sum())
+    delta, parts = 2.0 * error, []
     for k in range(len(layers) - 1, -1, -1):
-        w, b = layers[k]
-        grad_w, grad_b = outs[k].T @ delta, delta.sum(axis=0)
+        parts += [delta.sum(axis=0), (outs[k].T @ delta).ravel()]
         if k:
-            delta = (delta @ w.T) * (outs[k] > 0)
-        w -= rate * grad_w
-        b -= rate * grad_b
-    return loss
+            delta = (delta @ layers[k][0].T) * (outs[k] > 0)
+    return np.concatenate([*parts[::-1], [loss]])
+
+
+class Adam:
+    """Steps with running means of the gradient and of its square."""
+
+    def __init__(self, n: int, rate: float, decay: tuple = (0.9, 0.999)) -> None:
+        self.m, self.v, self.t, self.rate, self.decay = np.zeros(n), np.zeros(n), 0, rate, decay
+
+    def step(self, flat: np.ndarray, g: np.ndarray) -> np.ndarray:
+        a, b = self.decay
+        self.t += 1
+        self.m, self.v = a * self.m + (1 - a) * g, b * self.v + (1 - b) * g * g
+        m, v = self.m / (1 - a**self.t), self.v / (1 - b**self.t)
+        return flat - self.rate * m / (np.sqrt(v) + 1e-8)
 
 
 @dataclass
@@ -93,6 +106,7 @@ class Autoencoder:
     score_min: float | None = None
     score_max: float | None = None
     n_rows: int = 0
+    training_errors: DataFrame | None = field(default=None, repr=False)
 
     @classmethod
     def fit(
@@ -101,42 +115,37 @@ class Autoencoder:
         size: int | None = None,
         max_dims: int | None = None,
         random_state: int = 42,
-        shards: int | None = None,
+        batches: int = BATCHES,
         **params,
     ) -> "Autoencoder":
         settings = {**DEFAULTS, **params}
         size = size or feature_size(df)
-        shards = shards or df.sparkSession.sparkContext.defaultParallelism
         scaler = VectorScaler.fit(df, size, max_dims)
-        rows = scaled_rows(df, scaler, shards)
+        blocks = Blocks.pack(df, size, batches)
         sizes = layer_sizes(scaler.dims, list(settings["hidden_layers"]), settings["encoding_dim"])
         flat = initial_weights(sizes, random_state)
-        history, n = [], 0.0
-        for epoch in range(int(settings["epochs"])):
-
-            def round_(blocks, flat=flat, epoch=epoch):
-                mine = flat.copy()
-                layers = unpack(mine, sizes)
-                rng = np.random.default_rng([random_state, epoch])
-                loss, count = 0.0, 0
-                for x in blocks:
-                    x = x[rng.permutation(len(x))]
-                    for at in range(0, len(x), settings["batch_size"]):
-                        part = x[at : at + settings["batch_size"]]
-                        loss += train_batch(part, layers, settings["learning_rate"]) * len(part)
-                        count += len(part)
-                return np.concatenate([mine * count, [loss, count]])
-
-            total = summed(rows, round_, len(flat) + 2)
-            n = max(1.0, total[-1])
-            flat = total[:-2] / n
-            history.append(total[-2] / n)
-        model = cls(scaler, sizes, flat, settings, history=history, n_rows=int(n))
-        errors = materialize(model.errors(df).select("error"), "errors")
+        adam = Adam(len(flat), float(settings["learning_rate"]))
+        spark, history = df.sparkSession, []
+        filled = [g for g in range(batches) if blocks.counts[g]]
+        for _ in range(int(settings["epochs"])):
+            loss = 0.0
+            for group in filled:
+                shared = spark.sparkContext.broadcast(flat)
+                total = blocks.sum(
+                    lambda x, shared=shared: gradient(scaler.scaled(x), shared.value, sizes),
+                    len(flat) + 1, scaler.positions, scaler.dims, group,
+                )
+                shared.destroy()
+                flat = adam.step(flat, total[:-1])
+                loss += total[-1] * blocks.counts[group]
+            history.append(loss / max(1, blocks.n_rows))
+        model = cls(scaler, sizes, flat, settings, history=history, n_rows=blocks.n_rows)
+        errors = materialize(model.errors(df).select(ROW_ID, "error"), "errors")
         q = settings["threshold_percentile"] / 100.0
         model.threshold = percentile_values(errors, "error", [q])[0]
         ends = errors.agg(F.min("error").alias("lo"), F.max("error").alias("hi")).first()
         model.score_min, model.score_max = -ends["hi"], -ends["lo"]
+        model.training_errors = errors
         return model
 
     def _error_function(self, spark: SparkSession):
@@ -158,7 +167,13 @@ class Autoencoder:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Replaces ``features`` by ``score`` (minus the error) and ``anomaly_label``."""
-        scored = self.errors(df)
+        return self._judged(self.errors(df))
+
+    def training_scores(self) -> DataFrame:
+        """``(row_id, score, anomaly_label)`` of the training rows, from the errors that set the threshold."""
+        return self._judged(self.training_errors)
+
+    def _judged(self, scored: DataFrame) -> DataFrame:
         return scored.withColumn(
             "anomaly_label", F.when(F.col("error") > self.threshold, -1).otherwise(1)
         ).select(*[c for c in scored.columns if c != "error"], (-F.col("error")).alias("score"), "anomaly_label")

@@ -26,7 +26,7 @@ MODELS = {
 TUNERS = {"isolation_forest": iforest.tune, "one_class_svm": ocsvm.tune}
 TUNED = {
     "isolation_forest": {"n_estimators", "max_samples"},
-    "one_class_svm": {"nu", "gamma"},
+    "one_class_svm": {"kernel", "nu", "gamma"},
 }
 
 # Settings a training run uses unless told otherwise.

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.models.matrix import feature_block, hashed_positions
+from logloom.models.matrix import chunks, feature_block, hashed_positions
 from logloom.session import ship_package
 
 
@@ -58,57 +58,66 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> Da
 class VectorScaler:
     """Standardises features, folded to at most ``max_dims`` columns if that is given.
 
-    The sums are taken per partition in NumPy and added up by Spark, one row
-    per column, so what reaches the driver is the width of the matrix.
+    Sums are exact (parallel.py), so the figures don't depend on partitions; what reaches the driver is the
+    width of the matrix.
     """
 
-    def __init__(self, size: int, dims: int, mean: np.ndarray, sd: np.ndarray) -> None:
+    def __init__(self, size: int, dims: int, mean: np.ndarray, sd: np.ndarray, varying: int | None = None) -> None:
         self.size, self.dims, self.mean, self.sd = size, dims, mean, sd
+        self.varying = dims if varying is None else varying
 
     @classmethod
     def fit(cls, df: DataFrame, size: int, max_dims: int | None = None) -> "VectorScaler":
+        import pandas as pd
+
+        from logloom.models.parallel import exact_sums
+
         ship_package(df.sparkSession)
         dims = min(size, max_dims or size)
         positions = hashed_positions(size, dims)
-        pivot = None
-
-        def sums(shift):
-            def run(batches):
-                import pandas as pd
-
-                n, s, q = 0, np.zeros(dims), np.zeros(dims)
-                for pdf in batches:
-                    x = feature_block(pdf["features"], size, positions=positions, width=dims)
-                    if shift is not None:
-                        x = x - shift
-                    n += len(x)
-                    s += x.sum(axis=0)
-                    q += (x * x).sum(axis=0)
-                yield pd.DataFrame({"i": np.arange(dims), "n": n, "s": s, "q": q})
-
-            rows = (
-                df.select("features")
-                .mapInPandas(run, "i int, n long, s double, q double")
-                .groupBy("i")
-                .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
-                .orderBy("i")
-                .collect()
-            )
-            n = max(1, rows[0]["n"])
-            return n, np.array([r["s"] for r in rows]), np.array([r["q"] for r in rows])
-
-        # Second pass about the mean: a plain sum of squares loses digits when
-        # the mean is large against the spread.
-        n, s, _ = sums(pivot)
-        mean = s / n
-        _, d, q = sums(mean)
-        sd = np.sqrt(np.maximum(q / n - (d / n) ** 2, 0.0))
+
+        def block(pdf) -> np.ndarray:
+            return feature_block(pdf["features"], size, positions=positions, width=dims)
+
+        def ends(batches):
+            n, low, high = 0, np.full(dims, np.inf), np.full(dims, -np.inf)
+            for pdf in batches:
+                for part in chunks(pdf):
+                    x = block(part)
+                    n, low, high = n + len(x), np.minimum(low, x.min(axis=0)), np.maximum(high, x.max(axis=0))
+            yield pd.DataFrame({"n": [n], "low": [low.tolist()], "high": [high.tolist()]})
+
+        def widest(batches):
+            n, low, high = 0, np.full(dims, np.inf), np.full(dims, -np.inf)
+            for pdf in batches:
+                n += int(pdf["n"].sum())
+                low, high = np.minimum.reduce([low, *pdf["low"]]), np.maximum.reduce([high, *pdf["high"]])
+            yield pd.DataFrame({"n": [n], "low": [low.tolist()], "high": [high.tolist()]})
+
+        kind = "n bigint, low array<double>, high array<double>"
+        found = df.select("features").mapInPandas(ends, kind).coalesce(32).mapInPandas(widest, kind).collect()
+        n = sum(r["n"] for r in found)
+        if n == 0:
+            return cls(size, dims, np.zeros(dims), np.ones(dims), 0)
+        low, high = np.min([r["low"] for r in found], axis=0), np.max([r["high"] for r in found], axis=0)
+        # Sums about the middle of the range, then squares about the mean: plain sums
+        # lose digits when values are large against their spread.
+        middle = low + (high - low) / 2
+        mean = middle + exact_sums(df, lambda pdf: block(pdf) - middle, high - low, n) / n
+        widest_square = np.maximum(high - mean, mean - low) ** 2
+        sd = np.sqrt(exact_sums(df, lambda pdf: (block(pdf) - mean) ** 2, widest_square, n) / n)
+        varying = int((sd > 0).sum())
         sd[sd == 0] = 1.0
-        return cls(size, dims, mean, sd)
+        return cls(size, dims, mean, sd, varying)
+
+    @property
+    def positions(self) -> np.ndarray:
+        return hashed_positions(self.size, self.dims)
 
     def block(self, col) -> np.ndarray:
-        positions = hashed_positions(self.size, self.dims)
-        x = feature_block(col, self.size, positions=positions, width=self.dims)
+        return self.scaled(feature_block(col, self.size, positions=self.positions, width=self.dims))
+
+    def scaled(self, x: np.ndarray) -> np.ndarray:
         return (x - self.mean) / self.sd
 
     def meta(self) -> dict:
@@ -117,8 +126,9 @@ class VectorScaler:
             "dims": self.dims,
             "mean": self.mean.tolist(),
             "sd": self.sd.tolist(),
+            "varying": self.varying,
         }
 
     @classmethod
     def from_meta(cls, meta: dict) -> "VectorScaler":
-        return cls(meta["size"], meta["dims"], np.array(meta["mean"]), np.array(meta["sd"]))
+        return cls(meta["size"], meta["dims"], np.array(meta["mean"]), np.array(meta["sd"]), meta.get("varying"))

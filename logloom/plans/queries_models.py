@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logloom.functions.parsing import parse_lines
-from logloom.models import iforest
+from logloom.models import iforest, ocsvm
 from logloom.models.registry import batch_summary, train
 from logloom.operators.report import service_health
 from logloom.plans import inputs as src
@@ -65,8 +65,8 @@ def ocsvm_scores(spark, sf):
 
 @query()
 def ocsvm_tuning(spark, sf):
-    rows = src.vectors(spark, sf)
-    return train(rows, "one_class_svm", tune=True).score(rows)
+    """Spread of the scores of every setting of the grid: two kernels, three nu, two gamma."""
+    return ocsvm.tuning_table(spark, ocsvm.tune(src.vectors(spark, sf)))
 
 
 @query()

@@ -60,7 +60,7 @@ def train_run(
     # tables gives the batch-relative figures without counting again.
     rows = materialize(features.transform(clean, stats="training"), "feature-rows")
     detector = train(rows, model, tune=tune, size=len(features.names), **params)
-    scored = clean.join(detector.score(rows), ROW_ID)
+    scored = clean.join(detector.training_scores(), ROW_ID)
     return TrainingRun(clean, checked.quarantined, checked.report, features, detector, scored, clean_options or {})
 
 
