@@ -126,7 +126,7 @@ def vector_sum(vectors: DataFrame, parts: int, width: int) -> np.ndarray:
         parts = math.ceil(parts / FAN_IN)
         vectors = vectors.repartition(parts).mapInPandas(add, "v binary")
     total = np.zeros(width, np.int64)
-    for row in vectors.toLocalIterator():
+    for row in vectors.collect():  # a few vectors
         total += np.frombuffer(row["v"], np.int64)
     return total
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.functions.kolmogorov import ks_p_value
 from logloom.functions.text import safe_divide
 from logloom.operators.ordered import cut_points, exact_percentiles, prefix_sums
+from logloom.session import materialize, ship_package
 
 # Fixed values.
 THRESHOLD_PERCENTILES = [90.0, 95.0, 97.0, 99.0, 99.5]
@@ -223,19 +226,6 @@ def histogram(df: DataFrame, score: str = "score", bins: int = HISTOGRAM_BINS) -
     )
 
 
-def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sided p-value of the two-sample statistic."""
-    en = n.cast("double") * m.cast("double") / (n + m)
-    lam = F.sqrt(en) * d
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)),
-        F.lit(0.0),
-        lambda acc, k: acc
-        + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * lam * lam),
-    )
-    return F.when(lam < 0.1, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
-
-
 def ks_drift(
     reference: DataFrame,
     current: DataFrame,
@@ -245,18 +235,30 @@ def ks_drift(
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test of two score columns, one row.
 
-    Both sides are counted per distinct score in one aggregate; the largest
+    Both sides are counted per distinct score in one aggregate, which is written once: cuts,
+    totals and running counts are taken from that table.  The largest
     gap of the two distribution functions comes from bucketed running counts.
     """
+    return ks_of_counts(materialize(score_counts(reference, current, score), "score-counts"), threshold, cuts)
+
+
+def score_counts(reference: DataFrame, current: DataFrame, score: str = "score") -> DataFrame:
+    """``(v, n, m)``: rows of either side per distinct score."""
+
     def side(df, flag):
         return df.select(F.col(score).cast("double").alias("v"), F.lit(flag).alias("cur"))
 
     rows = side(reference, 0).unionByName(side(current, 1)).where("v IS NOT NULL")
-    if cuts is None:
-        cuts = cut_points(rows, "v")
-    counts = rows.groupBy("v").agg(
+    return rows.groupBy("v").agg(
         F.count_if(F.col("cur") == 0).alias("n"), F.count_if(F.col("cur") == 1).alias("m")
     )
+
+
+def ks_of_counts(counts: DataFrame, threshold: float = DRIFT_P_VALUE, cuts: Sequence[float] | None = None) -> DataFrame:
+    """The test from a table of ``(v, n, m)``, read several times."""
+    ship_package(counts.sparkSession)
+    if cuts is None:
+        cuts = cut_points(counts, "v")
     totals = counts.agg(
         F.struct(
             F.sum("n").alias("n"),
@@ -269,8 +271,10 @@ def ks_drift(
     gap = F.abs(
         F.try_divide("cum_n", F.col("t.n")) - F.try_divide("cum_m", F.col("t.m"))
     )
-    worst = cum.agg(F.max(gap).alias("statistic"), F.first("t").alias("t"))
-    p = ks_p_value(F.col("statistic"), F.col("t.n"), F.col("t.m"))
+    worst = cum.agg(F.max(gap).alias("statistic"), F.first("t").alias("t")).withColumn(
+        "p", ks_p_value(F.col("statistic"), F.col("t.n"), F.col("t.m"))
+    )
+    p = F.col("p")
     ref_mean = F.try_divide("t.sn", F.col("t.n"))
     cur_mean = F.try_divide("t.sm", F.col("t.m"))
     return worst.select(
@@ -285,6 +289,39 @@ def ks_drift(
     )
 
 
+@dataclass
+class ScoreReference:
+    """Reference scores as a written table of ``(v, n)`` with cut points taken once.
+
+    A test against it reads distinct scores, never the raw reference rows.
+    """
+
+    counts: DataFrame
+    cuts: list[float]
+
+    @classmethod
+    def build(cls, scores: DataFrame, path: str, score: str = "score") -> "ScoreReference":
+        spark = scores.sparkSession
+        rows = scores.select(F.col(score).cast("double").alias("v")).where("v IS NOT NULL")
+        rows.groupBy("v").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/counts")
+        saved = spark.read.parquet(f"{path}/counts")
+        cuts = cut_points(saved, "v")
+        spark.createDataFrame([(cuts,)], "cuts array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/cuts")
+        return cls(saved, cuts)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "ScoreReference":
+        return cls(spark.read.parquet(f"{path}/counts"), list(spark.read.parquet(f"{path}/cuts").first()["cuts"]))
+
+    def drift(self, current: DataFrame, score: str = "score", threshold: float = DRIFT_P_VALUE) -> DataFrame:
+        """The two-sample test of ``current`` against this reference, one row."""
+        rows = current.select(F.col(score).cast("double").alias("v")).where("v IS NOT NULL")
+        new = rows.groupBy("v").agg(F.lit(0).cast("bigint").alias("n"), F.count("*").alias("m"))
+        both = self.counts.select("v", "n", F.lit(0).cast("bigint").alias("m")).unionByName(new)
+        counts = both.groupBy("v").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+        return ks_of_counts(materialize(counts, "score-counts"), threshold, self.cuts)
+
+
 def evaluate_labeled(
     df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", score: str | None = "score"
 ) -> dict[str, DataFrame]:

@@ -206,6 +206,29 @@ def ks_drift_decision(spark, sf):
     return ev.ks_drift(*_halves(spark, sf)).select("p_value", "drift_detected")
 
 
+KS_ROWS = 1000
+
+
+@query(
+    f"""WITH {src.LOGS}, r AS (SELECT score FROM logs ORDER BY "timestamp", row_id LIMIT {KS_ROWS}),
+    c AS (SELECT score FROM logs ORDER BY "timestamp" DESC, row_id DESC LIMIT {KS_ROWS}),
+    v AS (SELECT score, sum(x) AS n, sum(y) AS m FROM
+      (SELECT score, 1 AS x, 0 AS y FROM r UNION ALL SELECT score, 0, 1 FROM c) GROUP BY score),
+    g AS (SELECT max(abs(d)) AS h FROM (SELECT sum(n - m) OVER (ORDER BY score) AS d FROM v)),
+    k AS (SELECT h, unnest(range(1, {KS_ROWS} // CAST(h AS BIGINT) + 1)) AS k FROM g)
+    SELECT CAST({KS_ROWS} AS BIGINT) AS reference_n, CAST({KS_ROWS} AS BIGINT) AS current_n, round(max(h) / {KS_ROWS}, 6) AS statistic,
+      round(least(1.0, 2 * sum(CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END
+        * exp(2 * lgamma({KS_ROWS} + 1) - lgamma({KS_ROWS} - k * h + 1) - lgamma({KS_ROWS} + k * h + 1)))), 6) AS p_value
+    FROM k"""
+)
+def ks_exact(spark, sf):
+    """The exact p-value of two windows of equal size, for which it has a closed form."""
+    logs = src.logs(spark, sf)
+    oldest = logs.orderBy("timestamp", "row_id").limit(KS_ROWS)
+    newest = logs.orderBy(F.desc("timestamp"), F.desc("row_id")).limit(KS_ROWS)
+    return rounded(ev.ks_drift(oldest, newest)).select("reference_n", "current_n", "statistic", "p_value")
+
+
 @query(
     f"""WITH {src.LOGS}, e AS (SELECT service AS model_name, CAST(substring(service, 5) AS INTEGER) AS pos,
       count_if(is_anomaly = 1 AND level = 'CRITICAL') AS tp, count_if(level = 'CRITICAL') AS p,

@@ -9,6 +9,7 @@ from logloom.plans.catalog import query
 from logloom.plans.queries_ingest import parsed_sql
 from logloom.models.registry import train
 from logloom.operators.assemble import FeatureModel
+from logloom.operators.evaluate import ScoreReference
 from logloom.session import materialize, scratch_dir
 from logloom.streaming import model_stream as ms
 from logloom.streaming import streams as st
@@ -172,16 +173,30 @@ def stream_totals(spark, sf):
     )
 
 
-@query()
+DRIFT_DAYS = "least(floor(date_diff('day', DATE '2024-01-01', CAST(\"timestamp\" AS DATE)) / 10), 2)"
+
+
+@query(
+    f"""WITH {src.LOGS}, r AS (SELECT score FROM logs WHERE "timestamp" < TIMESTAMP '2024-01-16'),
+    b AS (SELECT CAST({DRIFT_DAYS} AS INTEGER) AS batch, score FROM logs),
+    v AS (SELECT batch, score, sum(x) AS n, sum(y) AS m FROM (SELECT batch, score, 0 AS x, 1 AS y FROM b
+      UNION ALL SELECT k, score, 1, 0 FROM r, (SELECT DISTINCT batch AS k FROM b)) GROUP BY batch, score),
+    t AS (SELECT batch, sum(n) AS n, sum(m) AS m FROM v GROUP BY batch),
+    g AS (SELECT batch, sum(n) OVER w AS cn, sum(m) OVER w AS cm FROM v WINDOW w AS (PARTITION BY batch ORDER BY score))
+    SELECT batch, CAST(any_value(t.n) AS BIGINT) AS reference_n, CAST(any_value(t.m) AS BIGINT) AS current_n,
+      round(max(abs(cn / t.n - cm / t.m)), 6) AS statistic FROM g JOIN t USING (batch) GROUP BY batch"""
+)
 def stream_drift(spark, sf):
-    """Each micro-batch of scores against the first half of the scores."""
-    reference = src.logs(spark, sf).where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp"))
+    """Three deliveries of scores, each against the scores of the first half, saved as counts."""
+    logs = src.logs(spark, sf)
+    reference = logs.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp"))
     base = scratch_dir(spark, "stream-drift")
-    scores = log_stream(spark, sf).select("score")
-    st.write_drift(
-        scores, reference, f"{base}/out", f"{base}/state", available_now=True
-    ).awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    part = F.least(F.floor(F.datediff("timestamp", F.lit("2024-01-01").cast("date")) / 10), F.lit(2))
+    scores = arriving(logs.select("timestamp", "score"), "scores", part, 3).select("score")
+    saved = ScoreReference.build(reference, f"{base}/reference")
+    st.write_drift(scores, saved, f"{base}/out", f"{base}/state", available_now=True).awaitTermination()
+    rows = spark.read.parquet(f"{base}/out")
+    return rows.select("batch", "reference_n", "current_n", F.round("statistic", 6).alias("statistic"))
 
 
 HALFWAY = "2024-01-16"

@@ -55,6 +55,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def write_text(spark: SparkSession, path: str, body: str, overwrite: bool = True) -> None:
+    """A small file in the table's own file system.  Without ``overwrite`` an existing file is an error."""
+    fs, hadoop = _file_system(spark, path)
+    out = fs.create(hadoop, overwrite)
+    try:
+        out.write(bytearray(body.encode()))
+    finally:
+        out.close()
+
+
 def write_quarantine(rows: DataFrame, path: str, ingest_date: str | None = None) -> None:
     """Append dead letters with their reasons, one folder per ingest date."""
     day = ingest_date or _now().strftime("%Y-%m-%d")

@@ -8,19 +8,22 @@ sinks that repeat nothing after a restart.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from logloom.functions.parsing import LinePattern, parse_lines
 from logloom.functions.text import strip
 from logloom.functions.timestamps import to_timestamp_any
 from logloom.operators.clean import clean_messages, derive, impute, normalize_timestamps
-from logloom.operators.evaluate import ks_drift
+from logloom.operators.evaluate import ScoreReference
 from logloom.operators.validate import quarantined_rows, valid_rows
 from logloom.schema import ROW_ID
+from logloom.sources.store import write_text
 
 # Micro-batch settings and the alert threshold.
 BATCH_SECONDS = 5
@@ -210,12 +213,21 @@ def write_scored_and_alerts(
 
 
 def write_drift(
-    scores: DataFrame, reference: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    scores: DataFrame,
+    reference: ScoreReference | DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
 ):
-    """Compare each micro-batch of scores with a fixed reference; one row per batch."""
+    """Compare each micro-batch of scores with a fixed reference; one row per batch.
+
+    Raw reference scores are counted once, into a table beside the checkpoint.
+    """
+    if isinstance(reference, DataFrame):
+        reference = ScoreReference.build(reference, f"{checkpoint}-reference")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = ks_drift(reference, batch, "score").where("current_n > 0")
+        result = reference.drift(batch).where("current_n > 0")
         result.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{path}/batch_id={batch_id}"
         )
@@ -243,12 +255,43 @@ def observed_totals(scored: DataFrame, name: str = "totals") -> DataFrame:
     )
 
 
-def progress_totals(query, name: str = "totals") -> dict[str, int]:
-    """Sum the observed figures over a query's progress events."""
-    out = {"consumed": 0, "anomalies_detected": 0}
-    for event in query.recentProgress:
-        row = event.observedMetrics.get(name)
-        if row is not None:
-            for key in out:
-                out[key] += row[key]
-    return out
+class TotalsListener(StreamingQueryListener):
+    """Keeps the observed figures of every micro-batch, and the rows a watermark dropped, in a folder.
+
+    One small file per (query, micro-batch), replaced when the micro-batch is repeated: totals hold over any number of
+    micro-batches and restarts, while a query's own list of progress events is short.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str = "totals") -> None:
+        self.spark, self.path, self.name = spark, path, name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        row = progress.observedMetrics.get(self.name)
+        figures = row.asDict() if row is not None else {}
+        dropped = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        body = {"query_id": str(progress.id), "batch_id": progress.batchId, "rows": progress.numInputRows, "late_rows": dropped}
+        write_text(self.spark, f"{self.path}/{progress.id}-{progress.batchId}.json", json.dumps(body | {"figures": figures}))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_TOTALS = "query_id string, batch_id bigint, rows bigint, late_rows bigint, figures map<string, bigint>"
+
+
+def recorded_totals(spark: SparkSession, path: str, query_id: str | None = None) -> DataFrame:
+    """Per query: micro-batches, rows read, rows dropped as late, and the observed figures."""
+    rows = spark.read.schema(_TOTALS).json(path)
+    if query_id is not None:
+        rows = rows.where(F.col("query_id") == query_id)
+    figures = {c: F.coalesce(F.sum(F.col("figures")[c]), F.lit(0)).alias(c) for c in ("consumed", "anomalies_detected")}
+    return rows.groupBy("query_id").agg(
+        F.count("*").alias("batches"), F.sum("rows").alias("rows"), F.sum("late_rows").alias("late_rows"), *figures.values()
+    )

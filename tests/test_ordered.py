@@ -118,11 +118,11 @@ def test_ks(spark):
     assert same.statistic == 0 and same.p_value == 1.0 and not same.drift_detected
 
 
-def test_ks_p_value(spark):
+def test_ks_p_value_of_large_samples(spark):
     # The Kolmogorov distribution at 1.0 and 1.36.
     for lam, want in ((1.0, 0.27), (1.36, 0.0495)):
         n = 2.0 * 10_000
-        p = spark.range(1).select(ev.ks_p_value(F.lit(lam / 100.0), F.lit(n), F.lit(n))).first()[0]
+        p = spark.range(1).select(ev.ks_p_value(F.lit(lam / 100.0), F.lit(n), F.lit(n))).first()[0]  # beyond the exact range
         assert p == pytest.approx(want, abs=2e-3)
 
 

@@ -1,3 +1,6 @@
+import shutil
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +142,47 @@ def test_totals_and_drift(spark, tmp_path):
     st.write_drift(stream(spark, src).select("score"), reference, str(tmp_path / "drift"), str(tmp_path / "s1"), True).awaitTermination()
     drift = {r.batch: r.drift_detected for r in spark.read.parquet(str(tmp_path / "drift")).collect()}
     assert len(drift) == 2 and sorted(drift.values()) == [False, True]
+
+
+def wait_for(totals, batches):
+    """Progress events come a little after the micro-batch."""
+    for _ in range(60):
+        rows = totals().collect()
+        if rows and rows[0].batches >= batches:
+            return rows[0]
+        time.sleep(0.5)
+    raise AssertionError(rows)
+
+
+def test_totals_over_many_batches_and_a_restart(spark, tmp_path):
+    src, n = tmp_path / "in", 105
+    write(spark, src, [(0, minute(0), "a", "INFO", 500.0)])
+    one = next(p for p in src.iterdir() if p.suffix == ".parquet")
+    for i in range(1, n):
+        shutil.copy(one, src / f"copy-{i}.parquet")
     flagged = stream(spark, src).withColumn("is_anomaly_detected", F.col("score") > 100)
-    q = run(st.observed_totals(flagged), tmp_path / "out", tmp_path / "s2")
-    assert st.progress_totals(q) == {"consumed": 80, "anomalies_detected": 40}
+    listener = st.TotalsListener(spark, str(tmp_path / "totals"))
+    spark.streams.addListener(listener)
+    try:
+        run(st.observed_totals(flagged), tmp_path / "out", tmp_path / "state")
+        shutil.copy(one, src / "later.parquet")
+        q = run(st.observed_totals(flagged), tmp_path / "out", tmp_path / "state")
+        row = wait_for(lambda: st.recorded_totals(spark, str(tmp_path / "totals"), str(q.id)), n + 1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert (row.rows, row.consumed, row.anomalies_detected, row.late_rows) == (n + 1, n + 1, n + 1, 0)
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    src = tmp_path / "in"
+    listener = st.TotalsListener(spark, str(tmp_path / "totals"))
+    spark.streams.addListener(listener)
+    try:
+        for k, m in enumerate((0, 90, 95, 1, 200)):
+            write(spark, src, [(k, minute(m), "a", "INFO", 0.1)])
+        rates = st.window_rates(stream(spark, src), "5 minutes", delay="2 minutes", flag=F.lit(False))
+        q = run(rates, tmp_path / "out", tmp_path / "state")
+        row = wait_for(lambda: st.recorded_totals(spark, str(tmp_path / "totals"), str(q.id)), 5)
+    finally:
+        spark.streams.removeListener(listener)
+    assert row.late_rows == 1 and row.rows == 5
