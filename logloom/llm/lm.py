@@ -4,20 +4,19 @@ The model is a bigram model over words and a unigram model below it.
 
 1. Words of the training documents are counted exactly, block by block
    (blocks.py) and then by word.
-2. Word pairs of the training documents are counted exactly by their 64-bit
-   hash.  A pair with count c has the level 1 + floor(log(c) / log(BASE)), and enters the
-   filter once for each level up to its own.
-3. The filter holds every pair of at least ``MIN_COUNT``, at any input size: it has ``BITS_PER_ENTRY``
-   for each of the counted entries, in shards of at most ``SHARD_BYTES``, each built by one task.
-4. A pair's count is read by probing level after level until one is missing.  Up to ``FILTER_BYTES``
-   the shards are broadcast.  A larger filter stays where it was built: every block sends each of
-   its distinct pairs to the task of the shard once, and the levels come back by block.
-5. Smoothing interpolates with the unigram model.  The weight of the unigram model depends on
-   how often the context was seen: for each power of two, it is the share of the training tokens
-   in such contexts that the discounted pair counts leave over, measured by a scan of the training documents
-   (1 - DISCOUNT without a scan while pairs seen once are held).
-
-    P(w | v) = DISCOUNT * count(v w) / count(v) + left(v) * (count(w) + 1) / (N + V + 1)
+2. Every block sends its distinct word pairs, as 64-bit hashes with their training counts, packed, to the
+   tasks of their shards, once.  A shard so has the exact counts of its pairs.  A pair with count c has the
+   level 1 + floor(log(c) / log(BASE)), and enters the filter once for each level up to its own.
+3. The filter holds every pair that was seen, at any input size: a shard has ``BITS_PER_ENTRY``
+   for each of its entries.  The number of shards follows the tokens, so a task holds a bounded part.
+4. A pair's count is read by probing level after level until one is missing.  While the filter of all shards is
+   sure to fit ``FILTER_BYTES`` it is broadcast, and blocks probe it.  A larger filter is probed in the task that built it, for
+   the pairs that came there, and the levels go back by block.  Both ways probe the same bits.
+5. Smoothing interpolates with the unigram model:
+
+    P(w | v) = DISCOUNT * count(v w) / count(v) + (1 - DISCOUNT) * (count(w) + 1) / (N + V + 1)
+
+   The filter holds the pair of every training token, so what the pairs leave over is the same for every context.
 
 Unigram counts are exact, since the words of every block meet their counts anyway.
 
@@ -34,6 +33,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,11 +42,10 @@ from logloom.llm.blocks import WordNumbers, block_table, documents_of, words_of
 from logloom.llm.common import materialize, prepare
 
 # The number of shards is a power of two (SHARDS at least): a shard is the low bits of a key.
-# FILTER_BYTES bounds what is broadcast, the others what one task holds of a filter that is not.
+# FILTER_BYTES bounds what is broadcast, SHARD_PAIRS what one task receives.
 FILTER_BYTES, BITS_PER_ENTRY, PROBES, SHARDS = 48 * 1024 * 1024, 20, 13, 64
-SHARD_BYTES, LEAST_SHARD_BYTES, SHARD_PROBES = 4 * 1024 * 1024, 1024, 4_000_000
-BASE, MIN_COUNT, DISCOUNT = 1.5, 1, 0.85
-BUCKETS = 64
+SHARD_PAIRS, LEAST_SHARD_BYTES = 2_000_000, 1024
+BASE, DISCOUNT = 1.5, 0.85
 START, END = np.uint64(0x51ED270B35C6D8A1), np.uint64(0xA24BAED4963EE407)
 
 
@@ -78,50 +77,73 @@ def count_of(levels: np.ndarray) -> np.ndarray:
 
 
 class LogFrequencyFilter:
-    """Bit array that holds (key, level) entries, in equal shards by key."""
+    """Bits of (key, level) entries in shards by key; a shard has a size of its own."""
 
-    def __init__(self, bits: np.ndarray, first_level: int, last_level: int):
-        self.bits, self.first, self.last, self.size = bits, first_level, last_level, bits.shape[1] * 8
+    def __init__(self, shards: list[np.ndarray]):
+        self.bits = np.concatenate(shards)
+        self.sizes = np.array([8 * len(b) for b in shards], np.uint64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
 
     @staticmethod
-    def places(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
+    def places(keys: np.ndarray, level: int, probe: int, size) -> np.ndarray:
         x = _mixed(keys + np.uint64((0x9E3779B97F4A7C15 * (level * 64 + probe + 1)) & 0xFFFFFFFFFFFFFFFF))
-        return (x % np.uint64(size)).astype(np.int64)
+        return (x % size).astype(np.int64)
+
+    @classmethod
+    def shard(cls, keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
+        """The bits of one shard."""
+        entries = int(levels.sum())
+        bits = np.zeros(max(LEAST_SHARD_BYTES, -(-entries * BITS_PER_ENTRY // 8)), np.uint8)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            some = keys[levels >= level]
+            for probe in range(PROBES):
+                at = cls.places(some, level, probe, np.uint64(8 * len(bits)))
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        return bits
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Highest level of each key; 0 if it isn't held."""
         out = np.zeros(len(keys), np.int64)
         open_ = np.arange(len(keys))
-        shard = (keys % np.uint64(len(self.bits))).astype(np.int64)
-        for level in range(self.first, self.last + 1):
+        shard = (keys % np.uint64(len(self.sizes))).astype(np.int64)
+        size, start = self.sizes[shard], self.starts[shard]
+        level = 1
+        while len(open_):
             for probe in range(PROBES):
-                at = self.places(keys[open_], level, probe, self.size)
-                there = (self.bits[shard[open_], at >> 3] >> (at & 7).astype(np.uint8)) & 1
-                open_ = open_[there == 1]
-                if not len(open_):
-                    return out
+                at = start[open_] + self.places(keys[open_], level, probe, size[open_])
+                open_ = open_[(self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
             out[open_] = level
+            level += 1
         return out
 
 
-def _shard(group: pa.Table, size: int, first: int) -> pa.Table:
-    keys = group["pair"].to_numpy().astype(np.int64).view(np.uint64)
-    levels = level_of(group["n"].to_numpy())
-    bits = np.zeros(size // 8, np.uint8)
-    for level in range(first, int(levels.max()) + 1):
-        some = keys[levels >= level]
-        for probe in range(PROBES):
-            at = LogFrequencyFilter.places(some, level, probe, size)
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    return pa.table({"shard": pa.array([group["shard"][0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
-
-
-def _shape(entries: int, probes: int = 0) -> tuple[int, int]:
-    """Number of shards and bits of each, for so many entries and, where pairs are sent, so many probes."""
+def shard_count(pairs: int) -> int:
+    """Shards for so many pair occurrences."""
     shards = SHARDS
-    while entries * BITS_PER_ENTRY > SHARD_BYTES * 8 * shards or probes > SHARD_PROBES * shards:
+    while pairs > SHARD_PAIRS * shards:
         shards *= 2
-    return shards, 8 * max(LEAST_SHARD_BYTES, -(-entries * BITS_PER_ENTRY // (8 * shards)))
+    return shards
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Whole numbers by byte planes, compressed: upper planes of small numbers are empty."""
+    numbers = np.ascontiguousarray(numbers)
+    return zstandard.compress(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes(), 1)
+
+
+def _from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray, shards: int) -> bytes:
+    """Ascending keys of one shard as differences; the low bits are the shard's number."""
+    return _planes(np.diff(keys >> np.uint64(shards.bit_length() - 1), prepend=np.uint64(0)).astype("<u8"))
+
+
+def unpack_keys(data: bytes, shard: int, shards: int) -> np.ndarray:
+    high = np.cumsum(_from_planes(data, "<u8"), dtype=np.uint64)
+    return (high << np.uint64(shards.bit_length() - 1)) | np.uint64(shard)
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
@@ -132,21 +154,6 @@ def _with_end(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return np.append(hashes[codes], END)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of the training documents of each block, with counts."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            rows, codes = documents_of(batch, i)
-            hashes = _word_hashes(batch.column(batch.schema.get_field_index("words")).slice(i, 1).flatten())
-            train = rows.field("_train").to_pylist()
-            keys = [pair_keys(_with_end(hashes, c)) for c, t in zip(codes, train) if t]
-            keys, n = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.uint64), return_counts=True)
-            for at in range(0, len(keys), 500_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at : at + 500_000].view(np.int64)), pa.array(n[at : at + 500_000])], names=["pair", "n"]
-                )
-
-
 def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """Places of the keys of each shard that has any."""
     shard = (keys % np.uint64(shards)).astype(np.int64)
@@ -156,26 +163,46 @@ def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]
         yield s, at
 
 
-def _distinct(hashes: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
-    """Distinct pair keys of all documents of a block, in order."""
-    return np.unique(np.concatenate([pair_keys(_with_end(hashes, c)) for c in codes]))
+def _keys_of(hashes: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
+    """Pair keys of all documents of a block, one after the other."""
+    keys, at = np.empty(sum(len(c) + 1 for c in codes), np.uint64), 0
+    for c in codes:
+        keys[at : at + len(c) + 1] = pair_keys(_with_end(hashes, c))
+        at += len(c) + 1
+    return keys
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of an ordered array begins."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
 
 
 def _sent(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """The distinct pairs of each block, a row per shard."""
+    """The distinct pairs of each block with their counts in training documents, a row per shard."""
     for batch in batches:
         for i in range(batch.num_rows):
-            _, codes = documents_of(batch, i)
-            keys = _distinct(_word_hashes(batch.column(batch.schema.get_field_index("words")).slice(i, 1).flatten()), codes)
+            rows, codes = documents_of(batch, i)
+            hashes = _word_hashes(batch.column(batch.schema.get_field_index("words")).slice(i, 1).flatten())
+            keys = _keys_of(hashes, codes)
+            train = np.repeat(np.array(rows.field("_train").to_pylist(), bool), [len(c) + 1 for c in codes])
+            order = np.argsort(keys)
+            keys, train = keys[order], train[order]
+            del order
+            first = _starts(keys)
+            counts = np.add.reduceat(train, first, dtype="<u4")
+            keys = keys[first]
             block = batch.column(batch.schema.get_field_index("block"))[i].as_py()
             for some in _runs(_by_shard(keys, shards)):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block] * len(some), pa.int64()),
                         pa.array([s for s, _ in some], pa.int64()),
-                        pa.array([keys[at].tobytes() for _, at in some], pa.binary()),
+                        pa.array([pack_keys(keys[at], shards) for _, at in some], pa.binary()),
+                        pa.array([_planes(counts[at]) for _, at in some], pa.binary()),
                     ],
-                    names=["block", "shard", "keys"],
+                    names=["block", "shard", "keys", "counts"],
                 )
 
 
@@ -184,37 +211,43 @@ def _runs(parts: Iterator, most: int = 256) -> Iterator[list]:
         yield some
 
 
-def _probed(sent: pa.Table, held: pa.Table, first: int, last: int) -> pa.Table:
-    """Levels of the pairs that blocks sent to one shard."""
-    keys = [np.frombuffer(k, np.uint64) for k in sent["keys"].to_pylist()]
-    if not keys:
-        levels = []
-    elif held.num_rows:
-        filter_ = LogFrequencyFilter(np.frombuffer(held["bits"][0].as_py(), np.uint8)[None, :], first, last)
-        levels = np.split(_levels(filter_, np.concatenate(keys)), np.cumsum([len(k) for k in keys])[:-1])
-    else:
-        levels = [np.zeros(len(k)) for k in keys]
-    return pa.table(
-        {
-            "block": sent["block"].cast(pa.int64()),
-            "shard": sent["shard"].cast(pa.int64()),
-            "levels": pa.array([x.astype(np.uint8).tobytes() for x in levels], pa.binary()),
-        }
-    )
+_SHARD = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("bits", pa.binary()), ("levels", pa.binary())])
+
+
+def _shard(group: pa.Table, shards: int, shared: bool) -> pa.Table:
+    """The filter of one shard, or what it says about the pairs that each block sent."""
+    shard = group["shard"][0].as_py()
+    sent = [unpack_keys(k, shard, shards) for k in group["keys"].to_pylist()]
+    counts = [_from_planes(c, "<u4") for c in group["counts"].to_pylist()]
+    keys, at = np.unique(np.concatenate(sent), return_inverse=True)
+    seen = np.bincount(at, weights=np.concatenate(counts))
+    held = seen > 0
+    bits = LogFrequencyFilter.shard(keys[held], level_of(seen[held]))
+    if shared:
+        return pa.Table.from_pylist([{"shard": shard, "block": None, "bits": bits.tobytes(), "levels": None}], _SHARD)
+    # A filter of one shard: all of these keys belong to it.
+    levels = LogFrequencyFilter([bits]).levels(keys).astype(np.uint8)[at]
+    parts = np.split(levels, np.cumsum([len(k) for k in sent])[:-1])
+    rows = [
+        {"shard": shard, "block": b, "bits": None, "levels": zstandard.compress(x.tobytes(), 1)}
+        for b, x in zip(group["block"].to_pylist(), parts)
+    ]
+    return pa.Table.from_pylist(rows, _SHARD)
 
 
 def _prober(shared, shards: int, batch: pa.RecordBatch, i: int, hashes: np.ndarray, codes: list[np.ndarray]):
     """Function from pair keys of a block row to their levels."""
     if shared is not None:
-        filter_ = LogFrequencyFilter(*shared.value)
-        return lambda keys: _levels(filter_, keys)
-    distinct = _distinct(hashes, codes)
+        return lambda keys: _levels(shared.value, keys)
+    distinct = _keys_of(hashes, codes)
+    distinct.sort()
+    distinct = distinct[_starts(distinct)]
     came = batch.column(batch.schema.get_field_index("levels")).slice(i, 1).flatten()
     came = dict(zip(came.field("shard").to_pylist(), came.field("levels").to_pylist()))
-    levels = np.zeros(len(distinct), np.int64)
+    levels = np.zeros(len(distinct), np.uint8)
     for s, at in _by_shard(distinct, shards):
-        levels[at] = np.frombuffer(came[s], np.uint8)
-    return lambda keys: levels[np.searchsorted(distinct, keys)]
+        levels[at] = np.frombuffer(zstandard.decompress(came[s]), np.uint8)
+    return lambda keys: levels[np.searchsorted(distinct, keys)].astype(np.int64)
 
 
 def _block_counts(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +259,7 @@ def _block_counts(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray
     return hashes, counts
 
 
-def _chunks(codes: list[np.ndarray], most: int = 300_000) -> Iterator[tuple[int, int]]:
+def _chunks(codes: list[np.ndarray], most: int = 100_000) -> Iterator[tuple[int, int]]:
     """Runs of documents of about ``most`` tokens together."""
     first = size = 0
     for i, code in enumerate(codes):
@@ -261,29 +294,8 @@ def _levels(filter_: LogFrequencyFilter, keys: np.ndarray) -> np.ndarray:
     return filter_.levels(distinct)[at]
 
 
-def _bucket(context: np.ndarray) -> np.ndarray:
-    return np.floor(np.log2(np.maximum(context, 1))).astype(np.int64)
-
-
-def _leftover(batches: Iterator[pa.RecordBatch], shared, shards: int, n_docs: int) -> Iterator[pa.RecordBatch]:
-    """Training tokens by size of context: how many, and the part of them that the pairs hold."""
-    for batch in batches:
-        total, held = np.zeros(BUCKETS), np.zeros(BUCKETS)
-        for i in range(batch.num_rows):
-            rows, codes = documents_of(batch, i)
-            hashes, counts = _block_counts(batch, i)
-            levels = _prober(shared, shards, batch, i, hashes, codes)
-            mine = [c for c, t in zip(codes, rows.field("_train").to_pylist()) if t]
-            for first, last in _chunks(mine):
-                _, _, context, keys = _tokens(mine[first:last], hashes, counts, n_docs)
-                b = _bucket(context)
-                total += np.bincount(b, minlength=BUCKETS)
-                held += np.bincount(b, weights=levels(keys) > 0, minlength=BUCKETS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total), pa.array(held)], names=["bucket", "total", "held"])
-
-
 def _scored(batches: Iterator[pa.RecordBatch], shared, shards: int, model: dict) -> Iterator[pa.RecordBatch]:
-    n_docs, tokens, kinds, left = model["docs"], model["tokens"], model["kinds"], model["left"]
+    n_docs, tokens, kinds = model["docs"], model["tokens"], model["kinds"]
     for batch in batches:
         for i in range(batch.num_rows):
             rows, codes = documents_of(batch, i)
@@ -294,7 +306,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, shards: int, model: dict)
                 unigram = (own + 1) / (tokens + kinds + 1)
                 # A pair is never seen more often than either of its words.
                 seen = np.minimum(count_of(levels(keys)), np.minimum(own, context))
-                p = DISCOUNT * seen / np.maximum(context, 1) + left[_bucket(context)] * unigram
+                p = DISCOUNT * seen / np.maximum(context, 1) + (1 - DISCOUNT) * unigram
                 p = np.where(context > 0, p, unigram)
                 sizes = np.diff(np.append(starts, len(own)))
                 sums = [np.add.reduceat(x, starts) for x in ((own > 0).astype(np.int64), np.log10(unigram), np.log10(p))]
@@ -323,48 +335,30 @@ def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), t
     n_docs = docs.where(flag).count()
     model = {"docs": n_docs, "tokens": words["n"] + n_docs, "kinds": words["v"] + (n_docs > 0)}
 
-    # Pairs: counts, and a filter with room for all of their entries.
-    pairs = blocks.select("words", "docs", "runs").mapInArrow(_pairs, "pair bigint, n bigint")
-    pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
-    pairs = materialize(pairs, "pairs")
-    level = F.floor(F.log("n") / F.log(F.lit(BASE)) + 1e-9).cast("int") + 1
-    held = dict(pairs.groupBy(level.alias("level")).count().collect())  # one row per level
-    first, last = int(level_of(np.array([MIN_COUNT]))[0]), max(held, default=0)
-    entries = sum(n * (lv - first + 1) for lv, n in held.items())
-    n_shards, size = _shape(entries)
-    local = n_shards * size <= filter_bytes * 8
-    if not local:
-        probes = blocks.agg(F.sum(F.aggregate("docs.size", F.lit(0).cast("bigint"), lambda a, x: a + x + 1))).first()[0] or 0
-        n_shards, size = _shape(entries, probes)
-    shards = pairs.withColumn("shard", F.col("pair").bitwiseAND(F.lit(n_shards - 1).cast("bigint")))
-    made = shards.groupBy("shard").applyInArrow(lambda g: _shard(g, size, first), "shard bigint, bits binary")
-    shared, came = None, None
-    if local:
-        bits = np.zeros((n_shards, size // 8), np.uint8)
-        # As many rows as shards, as many bytes as the filter.
-        for row in made.toLocalIterator():
-            bits[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
-        shared = spark.sparkContext.broadcast((bits, first, last))
-    else:
-        sent = blocks.select("block", "words", "docs", "runs").mapInArrow(lambda b: _sent(b, n_shards), "block bigint, shard bigint, keys binary")
-        probed = sent.groupBy("shard").cogroup(made.groupBy("shard")).applyInArrow(
-            lambda a, b: _probed(a, b, first, last), "block bigint, shard bigint, levels binary"
-        )
-        came = materialize(probed.groupBy("block").agg(F.collect_list(F.struct("shard", "levels")).alias("levels")), "pair-levels")
-
+    # Pairs: a pair has no more levels than occurrences, so the tokens bound the filter.
+    size_of = F.aggregate("docs.size", F.lit(0).cast("bigint"), lambda a, x: a + x + 1)
+    pairs = blocks.agg(F.sum(size_of)).first()[0] or 0
+    n_shards = shard_count(pairs)
+    local = pairs * BITS_PER_ENTRY <= filter_bytes * 8
+    sent = blocks.select("block", "words", "docs", "runs").mapInArrow(
+        lambda b: _sent(b, n_shards), "block bigint, shard bigint, keys binary, counts binary"
+    )
+    made = sent.groupBy("shard").applyInArrow(
+        lambda g: _shard(g, n_shards, local), "shard bigint, block bigint, bits binary, levels binary"
+    )
     back = figures.groupBy("block").agg(F.collect_list(F.struct("no", "c")).alias("figures"))
-    ready = materialize(back, "figures")
-    joined = blocks.select("block", "words", "docs", "runs").join(ready, "block", "left")
-    joined = (joined if came is None else joined.join(came, "block", "left")).drop("block")
-    if MIN_COUNT == 1:
-        # The filter holds the pair of every training token, so no scan is needed.
-        left = np.full(BUCKETS, 1 - DISCOUNT)
+    joined = blocks.select("block", "words", "docs", "runs").join(back, "block", "left")
+    shared = None
+    if local:
+        parts = [np.zeros(LEAST_SHARD_BYTES, np.uint8)] * n_shards
+        # As many rows as shards, at most FILTER_BYTES and the least size of each.
+        for row in made.select("shard", "bits").collect():
+            parts[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
+        shared = spark.sparkContext.broadcast(LogFrequencyFilter(parts))
     else:
-        left = np.ones(BUCKETS)
-        parts = joined.mapInArrow(lambda b: _leftover(b, shared, n_shards, n_docs), "bucket bigint, total double, held double")
-        for r in parts.groupBy("bucket").agg(F.sum("total").alias("t"), F.sum("held").alias("h")).where("t > 0").collect():
-            left[r["bucket"]] = 1 - DISCOUNT * r["h"] / r["t"]
-    model["left"] = left
+        came = made.groupBy("block").agg(F.collect_list(F.struct("shard", "levels")).alias("levels"))
+        joined = joined.join(came, "block", "left")
+    joined = joined.drop("block")
     row_type = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_train", T.BooleanType())])
     schema = T.StructType(
         [T.StructField("row", row_type), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")]]

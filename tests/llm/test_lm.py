@@ -18,7 +18,7 @@ def tokens(text):
 
 def plain(rows, train):
     """Base figures and the model with exact pair counts."""
-    words, pairs, kept = Counter(), Counter(), {}
+    words, pairs = Counter(), Counter()
     for r, t in zip(rows, train):
         if t:
             w = tokens(r[1])
@@ -26,27 +26,20 @@ def plain(rows, train):
             pairs.update(zip(["start", *w], w))
     n_docs = words[None]
     n, v = sum(words.values()), len(words)
-    kept = {p: c for p, c in pairs.items() if c >= lm.MIN_COUNT}
 
     def seen(context):
         return n_docs if context == "start" else words[context]
 
-    total, held = Counter(), Counter()
-    for (a, b), c in pairs.items():
-        k = int(math.log2(max(seen(a), 1)))
-        total[k] += c
-        held[k] += c * ((a, b) in kept)
-    left = {k: 1 - lm.DISCOUNT * held[k] / total[k] for k in total}
     out = []
     for doc, text in rows:
         w = tokens(text)
         base = score = 0.0
         for a, b in zip(["start", *w], w):
             uni = (words[b] + 1) / (n + v + 1)
-            c = kept.get((a, b), 0)
+            c = pairs[a, b]
             c = float(lm.count_of(lm.level_of(np.array([c])))[0]) if c else 0.0
             c = min(c, words[b], seen(a))
-            p = uni if not seen(a) else lm.DISCOUNT * c / seen(a) + left.get(int(math.log2(seen(a))), 1) * uni
+            p = uni if not seen(a) else lm.DISCOUNT * c / seen(a) + (1 - lm.DISCOUNT) * uni
             base, score = base + math.log10(uni), score + math.log10(p)
         out.append((doc, len(w), sum(words[x] > 0 for x in w), n, base, score))
     return out
@@ -75,10 +68,13 @@ def test_levels():
     assert (np.abs(lm.count_of(q) - c) <= 0.26 * c).all() and lm.count_of(np.array([0]))[0] == 0
 
 
-def test_a_small_filter_drops_the_rarest_pairs_only(odd):
-    full = {r.doc_id: r.score for r in lm.score(odd, F.lit(True)).collect()}
-    small = {r.doc_id: r.score for r in lm.score(odd, F.lit(True), filter_bytes=lm.SHARDS * 8).collect()}
-    assert small.keys() == full.keys() and all(math.isfinite(x) for x in small.values())
+def test_both_ways_probe_the_same_bits(spark, sf):
+    """Broadcast, or probed where it was built: the same scores, false positives included."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    shared, stayed = (
+        {r.doc_id: r.score for r in lm.score(docs, F.col("doc_id") % 3 != 0, filter_bytes=b).collect()} for b in (lm.FILTER_BYTES, 0)
+    )
+    assert shared == stayed
 
 
 @pytest.mark.parametrize("size", [300, 10**7])
@@ -86,7 +82,7 @@ def test_no_pair_is_left_out_of_a_filter_too_large_to_broadcast(odd, monkeypatch
     monkeypatch.setattr(blocks, "BLOCK_BYTES", size)
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     train = [bool(i is not None and i % 3) for i, _ in rows]
-    got = lm.score(odd, F.col("doc_id") % 3 != 0, filter_bytes=lm.SHARDS * 8).collect()
+    got = lm.score(odd, F.col("doc_id") % 3 != 0, filter_bytes=0).collect()
     show = lambda rs: sorted(str((*r[:4], round(r[4], 4), round(r[5], 4))) for r in rs)
     assert show(tuple(r) for r in got) == show(plain(rows, train))
 
@@ -98,10 +94,20 @@ def test_a_pair_seen_once_counts(spark):
 
 
 def test_the_filter_grows_with_the_pairs():
-    for entries in (10**6, 10**8, 10**10):
-        shards, size = lm._shape(entries)
-        assert shards * size >= entries * lm.BITS_PER_ENTRY and size <= lm.SHARD_BYTES * 8
-    assert lm._shape(10, lm.SHARDS * lm.SHARD_PROBES * 2)[0] == 2 * lm.SHARDS
+    for n in (10, 10**4, 10**5):
+        keys = np.random.default_rng(n).integers(2**63, size=n).astype(np.uint64)
+        levels = np.ones(n, np.int64)
+        bits = lm.LogFrequencyFilter.shard(keys, levels)
+        assert len(bits) == max(lm.LEAST_SHARD_BYTES, -(-n * lm.BITS_PER_ENTRY // 8))
+        assert (lm.LogFrequencyFilter([bits]).levels(keys) >= 1).all()
+        assert (lm.LogFrequencyFilter([bits]).levels(keys + np.uint64(1)) > 0).mean() < 0.001
+    assert lm.shard_count(10) == lm.SHARDS and lm.shard_count(lm.SHARDS * lm.SHARD_PAIRS * 2) == 2 * lm.SHARDS
+
+
+def test_packed_keys():
+    keys = np.unique(np.random.default_rng(0).integers(2**63, size=5000).astype(np.uint64) * np.uint64(2))
+    for shard, at in lm._by_shard(keys, 64):
+        assert (lm.unpack_keys(lm.pack_keys(keys[at], 64), shard, 64) == keys[at]).all()
 
 
 def test_given_documents(spark, sf):
