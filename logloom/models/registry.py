@@ -16,7 +16,7 @@ from logloom.models.iforest import IsolationForest
 from logloom.models.ocsvm import OneClassSVM
 from logloom.models.scaling import minmax_probability
 from logloom.session import materialize
-from logloom.sources.store import path_exists
+from logloom.sources.versions import VersionedTables
 
 MODELS = {
     "isolation_forest": IsolationForest,
@@ -97,24 +97,16 @@ class Detector:
         }
 
     def save(self, spark: SparkSession, base: str, version: str | None = None) -> str:
-        version = version or self.version
-        path = f"{base.rstrip('/')}/model={self.name}/version={version}"
-        for name, table in self.model.tables(spark).items():
-            table.write.mode("overwrite").parquet(f"{path}/{name}")
-        row = (
-            self.name,
-            version,
-            int(self.model.n_rows),
-            int(self.model.size),
-            json.dumps(self.model.params, default=str),
-            json.dumps(getattr(self.model, "tuning", None) or [], default=str),
-            self.trained_at,
-            json.dumps(self.model.meta()),
-        )
-        spark.createDataFrame([row], MODEL_META).coalesce(1).write.mode("append").parquet(
-            f"{base.rstrip('/')}/metadata"
-        )
-        return path
+        """Write the model as one version under its name; returns the version."""
+        body = {
+            "training_samples": int(self.model.n_rows),
+            "feature_count": int(self.model.size),
+            "params": json.dumps(self.model.params, default=str),
+            "tuning": json.dumps(getattr(self.model, "tuning", None) or [], default=str),
+            "trained_at": self.trained_at.isoformat(),
+            "state": json.dumps(self.model.meta()),
+        }
+        return VersionedTables(spark, base).save(self.name, self.model.tables(spark), body, version or self.version)
 
     @classmethod
     def load(
@@ -133,13 +125,8 @@ class Detector:
         if not rows:
             raise FileNotFoundError(f"no model {name or ''} {version} under {base}")
         row = rows[0]
-        path = f"{base.rstrip('/')}/model={row['model_name']}/version={row['version']}"
-        kind = MODELS[row["model_name"]]
-        tables = {}
-        if kind is IsolationForest:
-            names = ("nodes", "branches", "top_cuts", "top_leaves", "top_closed")
-            tables = {n: spark.read.parquet(f"{path}/{n}") for n in names if path_exists(spark, f"{path}/{n}")}
-        model = kind.from_tables(tables, json.loads(row["state"]))
+        tables, body, _ = VersionedTables(spark, base).load(row["model_name"], row["version"])
+        model = MODELS[row["model_name"]].from_tables(tables, json.loads(body["state"]))
         return cls(row["model_name"], model, row["version"], row["trained_at"])
 
 
@@ -159,14 +146,15 @@ def train(
     else:
         model = MODELS[name].fit(df, **settings)
     now = datetime.now(timezone.utc).replace(tzinfo=None)
-    return Detector(name, model, now.strftime("v%Y%m%d_%H%M%S"), now)
+    return Detector(name, model, now.strftime("v%Y%m%d_%H%M%S_%f"), now)
 
 
 def model_versions(spark: SparkSession, base: str) -> DataFrame:
-    path = f"{base.rstrip('/')}/metadata"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], MODEL_META)
-    return spark.read.schema(MODEL_META).parquet(path)
+    """Committed models, a row per version."""
+    wanted = [f for f in MODEL_META.fields if f.name not in ("model_name", "version")]
+    figures = F.from_json("body", T.StructType(wanted))
+    rows = VersionedTables(spark, base).versions()
+    return rows.select(F.col("group_name").alias("model_name"), "version", F.inline(F.array(figures)))
 
 
 def batch_summary(scored: DataFrame, flag: str = "is_anomaly_detected") -> DataFrame:

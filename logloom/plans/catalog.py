@@ -31,5 +31,6 @@ def load_all() -> None:
         queries_ingest,
         queries_models,
         queries_reports,
+        queries_sources,
         queries_streams,
     )

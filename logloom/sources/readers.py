@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from logloom.functions.parsing import LinePattern, parse_lines
 from logloom.functions.text import col, extract_ip, sha256_hex, strip
+from logloom.sources.csvrecords import read_csv_records
 from logloom.schema import LOG_COLUMNS, ROW_ID
 
 # Accepted names of each field of a structured entry, best first.
@@ -189,9 +190,12 @@ def read_csv_table(
 ) -> DataFrame:
     """CSV with normalised header; rows with too many cells are dropped.
 
-    Short rows are padded with NULL and kept.
+    Short rows are padded with NULL and kept.  ``multi_line`` is for cells with line breaks: records are then
+    found from the splits of the files (csvrecords.py), and every file has a header of its own.
     """
-    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    if multi_line:
+        return read_csv_records(spark, paths if isinstance(paths, str) else list(paths))
+    options = {"header": True, "escape": '"'}
     header = spark.read.options(**options).csv(paths).columns
     corrupt = "_corrupt_record"
     schema = T.StructType(

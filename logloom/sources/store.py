@@ -81,11 +81,13 @@ def write_clean(rows: DataFrame, path: str, mode: str = "append") -> None:
 
 
 class FeatureStore:
-    """Feature tables at ``base/data/dataset=…/version=…`` with a metadata table."""
+    """Feature tables by dataset and version; a save is visible as a whole or not at all."""
 
     def __init__(self, spark: SparkSession, base: str) -> None:
+        from logloom.sources.versions import VersionedTables
+
         self.spark = spark
-        self.base = base.rstrip("/")
+        self.tables = VersionedTables(spark, base)
 
     def save(
         self,
@@ -95,50 +97,27 @@ class FeatureStore:
         version: str | None = None,
         extra: dict | None = None,
     ) -> str:
-        version = version or _now().strftime("v_%Y%m%d_%H%M%S")
-        path = self._path(dataset, version)
-        features.write.mode("overwrite").parquet(path)
-        n_rows = self.spark.read.parquet(path).count()
-        row = (
-            dataset,
-            version,
-            n_rows,
-            len(feature_names),
-            list(feature_names),
-            json.dumps(extra or {}, default=str),
-            _now(),
-        )
-        self.spark.createDataFrame([row], FEATURE_META).coalesce(1).write.mode("append").parquet(
-            self._meta
-        )
-        return version
+        def figures(paths: dict) -> dict:
+            n_rows = self.spark.read.parquet(paths["features"]).count()
+            names = list(feature_names)
+            return {"n_rows": n_rows, "n_features": len(names), "feature_names": names, "extra": json.dumps(extra or {}, default=str)}
+
+        return self.tables.save(dataset, {"features": features}, figures, version)
 
     def load(self, dataset: str = "training", version: str | None = None):
         """(features, names); the newest version is the lexicographic maximum."""
-        meta = self.metadata().where(F.col("dataset") == dataset)
-        if version is not None:
-            meta = meta.where(F.col("version") == version)
-        rows = meta.orderBy(F.desc("version"), F.desc("created_at")).limit(1).collect()
-        if not rows:
-            raise FileNotFoundError(f"no features for {dataset}/{version or 'latest'}")
-        table = self.spark.read.parquet(self._path(dataset, rows[0]["version"]))
-        return table, list(rows[0]["feature_names"])
+        tables, figures, _ = self.tables.load(dataset, version)
+        return tables["features"], list(figures["feature_names"])
 
     def metadata(self) -> DataFrame:
-        if not path_exists(self.spark, self._meta):
-            return self.spark.createDataFrame([], FEATURE_META)
-        return self.spark.read.schema(FEATURE_META).parquet(self._meta)
+        figures = F.from_json("body", "n_rows bigint, n_features bigint, feature_names array<string>, extra string")
+        return self.tables.versions().select(
+            F.col("group_name").alias("dataset"), "version", F.inline(F.array(figures)), "created_at"
+        ).select(*FEATURE_META.names)
 
     def versions(self, dataset: str | None = None) -> DataFrame:
         return list_versions(self.metadata(), dataset)
 
-    @property
-    def _meta(self) -> str:
-        return f"{self.base}/metadata"
-
-    def _path(self, dataset: str, version: str) -> str:
-        return f"{self.base}/data/dataset={dataset}/version={version}"
-
 
 def list_versions(meta: DataFrame, dataset: str | None = None) -> DataFrame:
     """Stored versions, newest first."""

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +32,31 @@ def test_feature_versions(spark, tmp_path):
     assert fs.versions("other").first().version.startswith("v_")
 
 
+def test_two_writers_and_a_lost_one(spark, tmp_path):
+    """Each save is a version of its own; what was not committed is not seen."""
+    fs = store.FeatureStore(spark, str(tmp_path / "fs"))
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda n: fs.save(features(spark, n), ["a"]), (2, 3, 4, 5)))
+    assert len(set(made)) == 4
+    assert sorted(fs.load("training", v)[0].count() for v in made) == [2, 3, 4, 5]
+
+    def lost(paths):
+        raise RuntimeError("lost before the commit")
+
+    with pytest.raises(RuntimeError):
+        fs.tables.save("training", {"features": features(spark, 9)}, lost)
+    store.write_text(spark, str(tmp_path / "fs/manifests/training/v_z.json"), '{"group_name": "training", "version": "v_z", "pa')
+    assert {r.version for r in fs.versions("training").collect()} == set(made)
+    assert fs.load("training")[0].count() == fs.load("training", max(made))[0].count()
+
+    fs.save(features(spark, 6), ["a"], version="v_same")
+    with pytest.raises(FileExistsError):
+        fs.save(features(spark, 7), ["a"], version="v_same")
+    assert fs.load("training", "v_same")[0].count() == 6
+    with pytest.raises(ValueError):
+        fs.save(features(spark, 1), ["a"], version="../outside")
+
+
 def test_partitioned_sinks(spark, sf, tmp_path):
     rows = src.logs(spark, sf)
     store.write_clean(rows, str(tmp_path / "clean"))
