@@ -46,6 +46,8 @@ from logloom.llm.common import materialize, prepare
 FILTER_BYTES, BITS_PER_ENTRY, PROBES, SHARDS = 48 * 1024 * 1024, 20, 13, 64
 SHARD_PAIRS, LEAST_SHARD_BYTES = 2_000_000, 1024
 BASE, DISCOUNT = 1.5, 0.85
+# All pairs of a block are in a task's memory at once, so blocks are smaller than those of blocks.py.
+PAIR_BLOCK_BYTES = 8 * 1024 * 1024
 START, END = np.uint64(0x51ED270B35C6D8A1), np.uint64(0xA24BAED4963EE407)
 
 
@@ -316,7 +318,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, shards: int, model: dict)
                 )
 
 
-def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), text: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), text: str = "text", filter_bytes: int = FILTER_BYTES, block_bytes: int = PAIR_BLOCK_BYTES) -> DataFrame:
     """``keep``, token counts, N, and log10 probabilities under the unigram base and the model, per input row.
 
     ``train`` says which rows the model learns from; ``filter_bytes`` is the largest filter that is broadcast.
@@ -325,7 +327,7 @@ def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), t
     prepare(spark)
     flag = F.coalesce(train, F.lit(False))
     rows = docs.select(*keep, F.col(text).alias("_text"), flag.alias("_train"))
-    blocks = block_table(rows, lambda: WordNumbers(_split), (*keep, "_train"), "_text", counted=F.col("_train"))
+    blocks = block_table(rows, lambda: WordNumbers(_split), (*keep, "_train"), "_text", counted=F.col("_train"), block_bytes=block_bytes)
 
     # Words: count over all blocks, and the way back.
     by_word = Window.partitionBy("word")

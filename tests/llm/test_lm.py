@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.llm import blocks, lm
+from logloom.llm import lm
 from logloom.llm.queries_corpus import op5_lm_scoring
 
 
@@ -46,11 +46,10 @@ def plain(rows, train):
 
 
 @pytest.mark.parametrize("size", [300, 10**7])
-def test_odd_rows(odd, monkeypatch, size):
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", size)
+def test_odd_rows(odd, size):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     train = [bool(i is not None and i % 3) for i, _ in rows]
-    got = lm.score(odd, F.col("doc_id") % 3 != 0).collect()
+    got = lm.score(odd, F.col("doc_id") % 3 != 0, block_bytes=size).collect()
     show = lambda rs: sorted(str((*r[:4], round(r[4], 4), round(r[5], 4))) for r in rs)
     assert show(tuple(r) for r in got) == show(plain(rows, train))
 
@@ -78,11 +77,10 @@ def test_both_ways_probe_the_same_bits(spark, sf):
 
 
 @pytest.mark.parametrize("size", [300, 10**7])
-def test_no_pair_is_left_out_of_a_filter_too_large_to_broadcast(odd, monkeypatch, size):
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", size)
+def test_no_pair_is_left_out_of_a_filter_too_large_to_broadcast(odd, size):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     train = [bool(i is not None and i % 3) for i, _ in rows]
-    got = lm.score(odd, F.col("doc_id") % 3 != 0, filter_bytes=0).collect()
+    got = lm.score(odd, F.col("doc_id") % 3 != 0, filter_bytes=0, block_bytes=size).collect()
     show = lambda rs: sorted(str((*r[:4], round(r[4], 4), round(r[5], 4))) for r in rs)
     assert show(tuple(r) for r in got) == show(plain(rows, train))
 
