@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from logloom.plans import inputs as src
-from logloom.plans.catalog import query
-from logloom.plans.queries_ingest import parsed_sql
 from logloom.models.registry import train
 from logloom.operators.assemble import FeatureModel
 from logloom.operators.evaluate import ScoreReference
+from logloom.plans import inputs as src
+from logloom.plans.catalog import query
+from logloom.plans.queries_ingest import parsed_sql
 from logloom.session import materialize, scratch_dir
 from logloom.streaming import model_stream as ms
 from logloom.streaming import streams as st
+from logloom.streaming.keep_first import keep_first_stream
 
 
 def event_stream(spark, sf):
@@ -245,3 +247,40 @@ def stream_model_scores(spark, sf):
     return got.join(want, "row_id").join(counts, "row_id").select(
         "row_id", *[F.col(c).cast("bigint").alias(c) for c in names], same.alias("same_score")
     )
+
+
+@query(
+    f"""WITH {src.DOCUMENT_LOGS} SELECT row_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", log_hash
+    FROM document_logs QUALIFY row_number() OVER (PARTITION BY log_hash ORDER BY "timestamp", row_id) = 1"""
+)
+def stream_keep_first(spark, sf):
+    """Documents in shuffled deliveries: the earliest row of every hash, whichever arrives first."""
+    rows = src.document_logs(spark, sf).select("row_id", "timestamp", "log_hash")
+    # Two rows far ahead close the time of all others.
+    ahead = F.make_timestamp(F.lit(2100), F.lit(1), F.col("id") + 1, F.lit(0), F.lit(0), F.lit(0))
+    ends = spark.range(2).select((-1 - F.col("id")).alias("row_id"), ahead.alias("timestamp"), F.col("id").cast("string").alias("log_hash"))
+    part = F.when(F.col("row_id") < 0, 2 - F.col("row_id")).otherwise(F.pmod(F.xxhash64("row_id"), F.lit(3)))
+    stream = arriving(rows.unionByName(ends), "shuffled", part, 5)
+    kept = drain(keep_first_stream(stream, ["log_hash"], "2 days"), "stream-first").where("row_id >= 0")
+    return kept.select("row_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "log_hash")
+
+
+@query(HEURISTIC)
+def stream_restarted(spark, sf):
+    """Five deliveries scored; the stream fails after the third was written, and goes on from its checkpoint."""
+    stream = arriving(src.logs(spark, sf), "restarted", F.pmod("row_id", F.lit(5)), 5)
+    scored = st.heuristic_scores(stream).select(
+        "row_id", F.round("anomaly_score", 6).alias("anomaly_score"), "is_anomaly_detected"
+    )
+    base = scratch_dir(spark, "stream-restarted")
+    paths = (f"{base}/scored", f"{base}/alerts", f"{base}/state")
+    failed = st.write_scored_and_alerts(scored, *paths, available_now=True, fail_after=2)
+    try:
+        failed.awaitTermination()
+    except StreamingQueryException:
+        pass
+    st.write_scored_and_alerts(scored, *paths, available_now=True).awaitTermination()
+    rows = spark.read.parquet(f"{base}/scored").select(*scored.columns)
+    alerts = spark.read.parquet(f"{base}/alerts").select("row_id", F.lit(True).alias("alert"))
+    checked = rows.join(alerts, "row_id", "left")
+    return checked.where(F.coalesce("alert", F.lit(False)) == F.col("is_anomaly_detected")).drop("alert")

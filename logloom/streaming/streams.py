@@ -187,11 +187,13 @@ def write_scored_and_alerts(
     alerts_path: str,
     checkpoint: str,
     available_now: bool = False,
+    fail_after: int | None = None,
 ):
     """Write every scored row and, separately, the detections.
 
     Each micro-batch owns one folder per sink and overwrites it, so a batch
-    that is replayed after a failure leaves no second copy.
+    that is replayed after a failure leaves no second copy.  ``fail_after`` names a micro-batch
+    that fails after its writes, to try that out.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -202,6 +204,8 @@ def write_scored_and_alerts(
         written.where("is_anomaly_detected").write.mode("overwrite").parquet(
             f"{alerts_path}/batch_id={batch_id}"
         )
+        if batch_id == fail_after:
+            raise RuntimeError(f"micro-batch {batch_id} fails as asked")
 
     writer = scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = (
