@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom.schema import ROW_ID
 
@@ -14,14 +15,29 @@ MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
+def _held_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value beyond a cell's fixed 16: texts, and all that arrays, maps and structs hold."""
+    none = F.lit(0).cast("bigint")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value).cast("bigint"), none)
+    if isinstance(kind, T.ArrayType):
+        inner = lambda x: _held_bytes(x, kind.elementType) + 16
+        return F.coalesce(F.aggregate(value, none, lambda a, x: a + inner(x)), none)
+    if isinstance(kind, T.MapType):
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        return _held_bytes(F.map_entries(value), T.ArrayType(entry))
+    if isinstance(kind, T.StructType):
+        return sum((_held_bytes(value[f.name], f.dataType) + 16 for f in kind.fields), none)
+    return none
+
+
 def fits_broadcast(
     table: DataFrame, limit: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
     """Count the rows of a small table and the bytes they hold, stopping past ``limit`` rows."""
-    size = F.lit(16 * len(table.columns))
-    for name, dtype in table.dtypes:
-        if dtype == "string":
-            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    size = F.lit(16 * len(table.columns)).cast("bigint")
+    for field in table.schema.fields:
+        size = size + _held_bytes(F.col(f"`{field.name}`"), field.dataType)
     found = table.limit(limit + 1).agg(F.count("*").alias("n"), F.sum(size).alias("b")).first()
     return found["n"] <= limit and (found["b"] or 0) <= max_bytes
 

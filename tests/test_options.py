@@ -5,7 +5,10 @@ import subprocess
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from logloom.operators.evaluate import roc_auc
+from logloom.operators.lookup import fits_broadcast
 from logloom.operators.validate import validate
 from logloom.plans import inputs as src
 from logloom.plans import queries_models
@@ -72,3 +75,13 @@ def test_score_batch_trains_on_syslog_lines(spark, sf, monkeypatch):
     assert run.clean.where("parse_method = 'syslog'").join(old, "row_id").count() > 0
     years = scored.where("parse_method = 'syslog'").selectExpr("year(timestamp) AS y").distinct().collect()
     assert [r.y for r in years] == [2024]
+
+
+def test_arrays_count_as_bytes(spark):
+    """A few rows with long arrays are too large to broadcast, however short the table is."""
+    rows = spark.range(10).select("id", F.array_repeat(F.lit("x" * 100), 1000).alias("words"), F.struct(F.lit("y" * 50).alias("s")).alias("st"))
+    assert fits_broadcast(rows)
+    assert not fits_broadcast(rows, max_bytes=500_000) and fits_broadcast(rows, max_bytes=2_000_000)
+    maps = rows.select(F.create_map(F.lit("k"), "words").alias("m"))
+    assert not fits_broadcast(maps, max_bytes=500_000)
+    assert fits_broadcast(rows.where("false"), max_bytes=0)
