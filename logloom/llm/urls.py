@@ -8,8 +8,8 @@ log P(accepted) - log P(rejected); the cut is calibrated on other labelled URLs
 that the mean of both error rates is least.
 
 Fitting takes a bounded sample of the labelled rows: the ``SAMPLE`` smallest by
-a hash of the URL, per label; a fifth of them calibrate.  URLs count by their first
-``FIT_CHARS`` characters in fitting only; scoring reads whole URLs.
+a hash of the URL, per label, as far as they hold ``SAMPLE_CHARS`` characters together; a fifth of
+them calibrate.  URLs are read whole, in fitting as in scoring.
 
 Rules (host suffix/path prefix) decide first; the longest that fits wins (block
 wins a tie).  Their verdicts are the labels where no others are given.
@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 from logloom.llm.common import lower_ascii, prepare
 
 ORDER, MIN_CONTEXT = 5, 4
-SAMPLE, FIT_CHARS = 4000, 400
+# What the models learn from: so many distinct URLs of each label, and so many characters of them in all.
+SAMPLE, SAMPLE_CHARS = 4000, 2_000_000
 
 Rule = tuple[str, str]
 
@@ -124,13 +125,28 @@ def calibrated(good: list[float], bad: list[float]) -> float:
     return float(cuts[np.lexsort((np.abs(cuts), wrong))[0]])
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[Ratio, float] | None:
+def sampled(urls: DataFrame, sample: int, chars: int) -> list[str]:
+    """Whole distinct URLs in the order of their hashes: at most ``sample``, and ``chars`` characters together.
+
+    A URL that would not fit is passed over, so lengths are looked at before any text comes to the driver.
+    """
+    drawn = urls.select("url", F.xxhash64("url").alias("h"), F.length("url").alias("size"))
+    drawn = drawn.where(F.col("size") <= chars).groupBy("h").agg(F.min("url").alias("url"), F.min("size").alias("size"))
+    left, taken = chars, []
+    for row in drawn.select("h", "size").orderBy("h").limit(sample).collect():
+        if row["size"] <= left:
+            left -= row["size"]
+            taken.append(row["h"])
+    if not taken:
+        return []
+    return [r["url"] for r in drawn.where(F.col("h").isin(taken)).select("h", "url").orderBy("h").collect()]
+
+
+def fit(labelled: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> tuple[Ratio, float] | None:
     """Models and cut from (url, label) rows, label ``allow`` or ``block``."""
     texts: dict[str, list[str]] = {}
     for label in ("allow", "block"):
-        mine = labelled.where(F.col("label") == label).select(F.substring("url", 1, FIT_CHARS).alias("url"))
-        rows = mine.distinct().orderBy(F.xxhash64("url"), "url").limit(sample).collect()
-        texts[label] = [r[0] for r in rows]
+        texts[label] = sampled(labelled.where(F.col("label") == label), sample, chars)
     if not texts["allow"] or not texts["block"]:
         return None
     held = {k: v[:: 5] if len(v) >= 10 else v for k, v in texts.items()}
@@ -172,7 +188,7 @@ def judge(
         scored = made.select("row", F.lit(0.0).alias("score"))
     else:
         ratio, cut = fitted
-        shared = spark.sparkContext.broadcast((ratio.good, ratio.bad))  # bounded by SAMPLE * FIT_CHARS * (ORDER + 1)
+        shared = spark.sparkContext.broadcast((ratio.good, ratio.bad))  # bounded by SAMPLE_CHARS * (ORDER + 1)
         schema = T.StructType([made.schema["row"], T.StructField("score", T.DoubleType())])
         scored = made.mapInArrow(lambda b: _scores(b, shared), schema)
     by_model = F.when(F.col("score") >= cut, "allow").otherwise("block") if fitted else F.lit("allow")

@@ -53,6 +53,10 @@ def test_url_model_on_held_out_labels(spark, sf):
     rule, said = urls.rule_of(URL_RULES)
     rows = urls.parts(pages).select(F.col("_url").alias("url"), said.alias("label")).where("label IS NOT NULL")
     ratio, cut = urls.fit(rows.where("crc32(url) % 3 != 0"))
+    # The sample is bounded in URLs and characters; its URLs are whole.
+    few = urls.sampled(rows, 7, 10**6)
+    assert len(few) == 7 and urls.sampled(rows, 10**6, 300) and sum(map(len, urls.sampled(rows, 10**6, 300))) <= 300
+    assert set(few) <= {r.url for r in rows.collect()}
     other = rows.where("crc32(url) % 3 = 0").collect()
     right = sum((ratio.score(r.url) >= cut) == (r.label == "allow") for r in other)
     assert right >= 0.9 * len(other)
