@@ -33,7 +33,11 @@ def kpis(logs: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def hourly(logs: DataFrame, aggregates: dict, ts: str = "timestamp") -> DataFrame:
-    """Aggregates per hour with empty hours as 0: ``hour`` and the given columns."""
+    """Aggregates per hour with empty hours as 0: ``hour`` and the given columns.
+
+    The hours between first and last are made year by year in tasks of their own, so a stray time far
+    ahead makes many rows, but no large array.
+    """
     hour = F.date_trunc("hour", ts)
     counts = (
         logs.where(F.col(ts).isNotNull())
@@ -41,7 +45,11 @@ def hourly(logs: DataFrame, aggregates: dict, ts: str = "timestamp") -> DataFram
         .agg(*[a.alias(n) for n, a in aggregates.items()])
     )
     ends = counts.agg(F.min("hour").alias("a"), F.max("hour").alias("b")).where("a IS NOT NULL")
-    spine = ends.select(F.explode(F.expr("sequence(a, b, interval 1 hour)")).alias("hour"))
+    years = ends.select("a", "b", F.explode(F.sequence(F.year("a"), F.year("b"))).alias("y")).repartition("y")
+    january = F.make_timestamp(F.col("y"), *[F.lit(x) for x in (1, 1, 0, 0, 0)])
+    december = F.make_timestamp(F.col("y"), *[F.lit(x) for x in (12, 31, 23, 0, 0)])
+    hours = F.sequence(F.greatest("a", january), F.least("b", december), F.expr("interval 1 hour"))
+    spine = years.select(F.explode(hours).alias("hour"))
     return spine.join(counts, "hour", "left").select(
         "hour", *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in aggregates]
     )

@@ -50,10 +50,10 @@ def train_run(
 ) -> TrainingRun:
     """Validate, clean, build features, fit and score.
 
-    Cleaned rows and features are written once each: every later step reads
+    Parsed rows, cleaned rows and features are written once each: every later step reads
     those tables instead of parsing the lines again.
     """
-    clean, checked = clean_logs(parsed, dedup, **(clean_options or {}))
+    clean, checked = clean_logs(materialize(parsed, "parsed"), dedup, **(clean_options or {}))
     clean = materialize(clean, "clean")
     features = FeatureModel.fit(clean, max_features=max_features)
     # The counts of this very table were just fitted: taking them from the saved
@@ -74,7 +74,7 @@ def score_batch(
     clean_options: dict | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(scored rows, one summary row) of new log rows, cleaned with the options of the training run."""
-    clean = preprocess(parsed, dedup=dedup, **(clean_options or {}))
+    clean = materialize(preprocess(parsed, dedup=dedup, **(clean_options or {})), "clean")
     scored = clean.join(detector.score(features.transform(clean, stats), bounds), ROW_ID)
     return scored, batch_summary(scored)
 
