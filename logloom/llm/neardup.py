@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.common import materialize, prepare
 from logloom.llm.components import UnionFind, components
-from logloom.operators.lookup import fits_broadcast
+from logloom.operators.lookup import fits_broadcast, lookup
 
 SLOTS, BANDS = 128, 32
 BLOCK = 256
@@ -182,7 +182,10 @@ def groups(
     cells = classes.select("key", "n", F.posexplode("bands").alias("band", "value"))
     centers = cells.groupBy("band", "value").agg(F.min(F.struct("key", "n")).alias("c"), F.count("*").alias("members"))
     centers = centers.where("members > 1").select("band", "value", F.col("c.key").alias("b"), F.col("c.n").alias("bn"), "members")
-    met = materialize(cells.join(centers, ["band", "value"]), "buckets")
+    # Every class meets the center of its bucket; a bucket with many classes is no hot key of that join.
+    bucket = ["band", "value"]
+    found = lookup(cells, materialize(centers, "centers"), bucket, dict.fromkeys(("b", "bn", "members")), weight="members", row_id="key")
+    met = materialize(found.where("members IS NOT NULL"), "buckets")
     close = (F.col("n") * 100 >= F.col("bn") * percent) & (F.col("bn") * 100 >= F.col("n") * percent)
     pairs = materialize(met.where((F.col("key") != F.col("b")) & close).select(F.col("key").alias("a"), "b").distinct(), "candidates")
 
@@ -203,9 +206,10 @@ def groups(
     placed = met.where("members > 2").join(roots.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("root", F.coalesce("root", "key"))
     sizes = placed.groupBy("band", "value", "root").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("band", "value").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"))
-    largest = largest.where("roots > 1").select("band", "value", F.col("m.root").alias("main"), F.col("m.c").alias("c"))
-    split = placed.join(largest, ["band", "value"]).withColumn("minor", F.col("root") != F.col("main"))
+    largest = sizes.groupBy("band", "value").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"), F.sum("c").alias("weight"))
+    largest = largest.where("roots > 1").select("band", "value", F.col("m.root").alias("main"), F.col("m.c").alias("c"), "weight")
+    split = lookup(placed, materialize(largest, "split-buckets"), bucket, dict.fromkeys(("main", "c")), weight="weight", row_id="key")
+    split = split.where("main IS NOT NULL").withColumn("minor", F.col("root") != F.col("main"))
     # A grid: minor members by rows of cells, all members by columns.
     wide = F.ceil(F.col("members") / BLOCK).cast("int")
     high = F.ceil((F.col("members") - F.col("c")) / BLOCK).cast("int")
