@@ -75,6 +75,35 @@ def autoencoder_scores(spark, sf):
     return train(rows, "autoencoder").score(rows)
 
 
+@query(
+    """WITH n AS (SELECT count(*) AS n FROM embeddings)
+    SELECT m AS model_name, n AS n_rows, CAST(CASE WHEN m = 'autoencoder' THEN n - 1 - floor(0.95 * (n - 1)) ELSE ceil(0.05 * (n - 1)) END AS BIGINT)
+      AS n_flagged, 0.0::DOUBLE AS lowest, 1.0::DOUBLE AS highest, TRUE AS kept_scores
+    FROM n, (VALUES ('isolation_forest'), ('one_class_svm'), ('autoencoder')) t(m)"""
+)
+def detector_shares(spark, sf):
+    """Short trainings of all detectors: the share they flag, the range of the 0..1 score, and the scores kept from calibration."""
+    rows = src.vectors(spark, sf)
+    short = {"isolation_forest": {"n_estimators": 50}, "one_class_svm": {"iterations": 5}, "autoencoder": {"epochs": 2}}
+    parts = []
+    for name, settings in short.items():
+        detector = train(rows, name, **settings)
+        kept = detector.training_scores().select("row_id", F.col("score").alias("kept"))
+        parts.append(
+            detector.score(rows)
+            .join(kept, "row_id")
+            .agg(
+                F.count("*").alias("n_rows"),
+                F.count_if("is_anomaly_detected").alias("n_flagged"),
+                F.round(F.min("anomaly_score"), 6).alias("lowest"),
+                F.round(F.max("anomaly_score"), 6).alias("highest"),
+                F.every(F.abs(F.col("score") - F.col("kept")) < 1e-9).alias("kept_scores"),
+            )
+            .select(F.lit(name).alias("model_name"), "*")
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query()
 def score_batch(spark, sf):
     """Train on the first half of the time range, score the second half as new rows."""

@@ -10,7 +10,7 @@ from logloom.operators.assemble import FeatureModel
 from logloom.operators.evaluate import ScoreReference
 from logloom.plans import inputs as src
 from logloom.plans.catalog import query
-from logloom.plans.queries_ingest import parsed_sql
+from logloom.plans.queries_ingest import CLEAN_SQL, HAS_IP, LEVEL_CODE, imputed_sql, parsed_sql
 from logloom.session import materialize, scratch_dir
 from logloom.streaming import model_stream as ms
 from logloom.streaming import streams as st
@@ -49,11 +49,27 @@ def stream_parse(spark, sf):
     return drain(kept, "stream-parse")
 
 
-@query()
+_CLEANED = f"""SELECT row_id, t, level, {imputed_sql('service', 'unknown')}, {imputed_sql('source_ip', '0.0.0.0')},
+    {CLEAN_SQL.replace('text', 'message')} AS message FROM (SELECT *, CASE parse_method
+      WHEN 'app_log' THEN strptime("timestamp", '%Y-%m-%d %H:%M:%S')
+      WHEN 'syslog' THEN strptime('2024 ' || "timestamp", '%Y %b %d %H:%M:%S')
+      ELSE strptime(substring("timestamp", 1, 20), '%d/%b/%Y:%H:%M:%S') END AS t FROM p WHERE parse_method <> 'fallback')"""
+
+
+@query(
+    f"""WITH {src.RAW_LINES}, p AS ({parsed_sql('raw_lines', 'row_id')}), c AS ({_CLEANED})
+    SELECT row_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS "timestamp", level, service, source_ip, message,
+      CAST(length(message) AS INTEGER) AS message_length, {LEVEL_CODE} AS level_numeric, CAST(hour(t) AS INTEGER) AS hour_of_day,
+      {HAS_IP} FROM c"""
+)
 def stream_clean(spark, sf):
+    """Lines parsed, checked, repaired and cleaned on a stream; lines without a time are set aside."""
     lines = src.raw_lines_of(log_stream(spark, sf)).withColumnRenamed("line", "value")
     good, _ = st.clean_stream(st.parse_stream(st.lines_of(lines)), default_year=2024)
-    return drain(good, "stream-clean")
+    kept = good.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).select(
+        "row_id", "timestamp", "level", "service", "source_ip", "message", "message_length", "level_numeric", "hour_of_day", "has_ip"
+    )
+    return drain(kept, "stream-clean")
 
 
 WINDOWED = """
