@@ -1,6 +1,10 @@
 """The corpus pipeline: documents in, token ids out.
 
 Each stage takes what the stage before kept, as a table read back from Parquet.
+
+Defined results: a document without text fails the quality rules; repeated rows of one document are
+judged alike and stay together; a row without a key is no near-duplicate of anything; columns beyond those
+the stages read are carried along; empty tables give an empty table.
 """
 
 from __future__ import annotations

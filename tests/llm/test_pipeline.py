@@ -7,7 +7,7 @@ import tiktoken
 from test_decontaminate import plain as plain_hits
 from test_linededup import plain as plain_lines
 from test_neardup import plain as plain_groups
-from test_quality import plain as plain_quality
+from test_quality_rules import plain as plain_quality
 
 import corpus_pipeline
 from logloom.llm import bytebpe
@@ -39,3 +39,9 @@ def test_stages_keep_the_columns(odd, spark, sf):
         assert docs.columns == odd.columns, name
     last = corpus_pipeline.STAGES[-1][1](spark, odd, sf).collect()
     assert Counter(r.round_trip for r in last) == {True: odd.count()}
+
+
+def test_empty_tables(spark, sf, tmp_path):
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").where("false").write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

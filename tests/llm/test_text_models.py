@@ -122,3 +122,11 @@ def test_long_words_are_cut_between_characters():
     assert b"".join(pieces) == word and all(0 < len(p) <= langid.MOST and p.decode() for p in pieces)
     junk = b"\x80" * 100
     assert b"".join(langid.words_of(junk)) == junk
+
+
+def test_block_wins_a_tie(spark):
+    """Two rules of the same length and place: block decides, whichever comes first."""
+    pages = spark.createDataFrame([(1, "http://a.org/x/1"), (2, "http://a.org/y/1")], "page_id bigint, url string")
+    rules = [("allow", ("a.org", "/x/")), ("block", ("a.org", "/x/")), ("block", ("a.org", "/y/")), ("allow", ("a.org", "/y/"))]
+    assert {r.verdict for r in urls.judge(pages, rules).collect()} == {"block"}
+    assert {r.verdict for r in urls.judge(pages, rules[::-1]).collect()} == {"block"}
