@@ -48,6 +48,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 _LOCAL: dict[str, str] = {}
+# Scratch folders and tables that this process made, by application.
+_MADE: dict[str, list[tuple[str, str]]] = {}
 
 
 def _local_scratch(spark: SparkSession) -> str:
@@ -67,7 +69,30 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     Only when it is unset (tests on one machine) a temporary folder is made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch(spark)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    note_scratch(spark, "folder", path)
+    return path
+
+
+def note_scratch(spark: SparkSession, kind: str, name: str) -> None:
+    """Remember a scratch ``folder`` or ``table`` for ``clear_scratch``."""
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append((kind, name))
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders and tables this process made in this application, once their results are written.
+
+    DataFrames that read them can't be used afterwards.  Returns how many were removed.
+    """
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for kind, name in reversed(made):
+        if kind == "table":
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        else:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+    return len(made)
 
 
 def materialize(df, purpose: str = "table"):

@@ -85,3 +85,19 @@ def test_arrays_count_as_bytes(spark):
     maps = rows.select(F.create_map(F.lit("k"), "words").alias("m"))
     assert not fits_broadcast(maps, max_bytes=500_000)
     assert fits_broadcast(rows.where("false"), max_bytes=0)
+
+
+def test_scratch_is_removed_on_request(tmp_path):
+    """Only what the process made goes; a session of its own, as other tests still read theirs."""
+    code = (
+        "import sys, os; sys.path.insert(0, sys.argv[1])\n"
+        "from logloom.session import clear_scratch, get_session, materialize\n"
+        "spark = get_session('t', 'local[2]', spark__ui__enabled='false', spark__checkpoint__dir=sys.argv[2])\n"
+        "os.makedirs(sys.argv[2] + '/other')\n"
+        "n = [materialize(spark.range(5)).count() for _ in range(3)]\n"
+        "held = lambda: sorted(x.split('-')[0] for x in os.listdir(sys.argv[2]) if x[:5] in ('other', 'table'))\n"
+        "print('left', n, held(), clear_scratch(spark), held(), clear_scratch(spark))\n"
+    )
+    root = str(Path(__file__).resolve().parents[1])
+    out = subprocess.run([sys.executable, "-c", code, root, str(tmp_path / "s")], capture_output=True, text=True, timeout=200)
+    assert "left [5, 5, 5] ['other', 'table', 'table', 'table'] 3 ['other'] 0" in out.stdout, out.stderr[-2000:]
