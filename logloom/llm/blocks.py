@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.llm.common import prepare, scratch_dir
+from logloom.session import note_scratch
 
 BLOCK_BYTES, RUN_DOCS = 16 * 1024 * 1024, 256
 
@@ -152,6 +153,7 @@ def block_table(
     name = f"llm_blocks_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_dir(spark, "blocks")
+    note_scratch(spark, "table", name)
     made.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
     return spark.table(name)
 
