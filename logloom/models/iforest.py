@@ -141,19 +141,21 @@ def _grow_forest(df: DataFrame, n_rows: int, size: int, trees: int, psi: int, se
 
 
 def _candidates(pid: int, trees: int, psi: int, limit: int, seed: int):
-    """The trees a row may belong to, with its draw for each of them."""
+    """The trees a row may belong to, with its draw for each of them.
+
+    Draws are compared before anything is built: of many trees a row belongs to few.
+    """
+
+    def draw(t):
+        return F.pmod(F.xxhash64(F.lit(seed), F.lit(psi), t, F.col(ROW_ID)), F.lit(_MODULUS))
 
     def entry(t):
-        draw = F.pmod(F.xxhash64(F.lit(seed), F.lit(psi), t, F.col(ROW_ID)), F.lit(_MODULUS))
         return F.struct(
-            F.lit(pid).alias("param_id"),
-            t.alias("tree"),
-            F.lit(psi).alias("psi"),
-            draw.alias("draw"),
+            F.lit(pid).alias("param_id"), t.alias("tree"), F.lit(psi).alias("psi"), draw(t).alias("draw")
         )
 
-    all_trees = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), entry)
-    return F.filter(all_trees, lambda c: c["draw"] < limit)
+    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < limit)
+    return F.transform(mine, entry)
 
 
 class PackedForest:
