@@ -91,9 +91,8 @@ def read_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     if fits_broadcast(odd):
         known = lines.join(F.broadcast(odd), ["file", "start"])
     else:
-        inner = Window.partitionBy("file", "start").orderBy("_at")
-        known = lines.withColumn("_at", F.monotonically_increasing_id()).join(odd, ["file", "start"])
-        known = known.withColumn("_n", F.row_number().over(inner))
+        placed = lines.withColumn("_at", F.monotonically_increasing_id()).join(odd, ["file", "start"])
+        known = placed.repartition("file", "start").sortWithinPartitions("file", "start", "_at")
     pieces = materialize(known.select("file", "start", "odd", "line").mapInPandas(_pieces, _PIECES), "csv-pieces")
 
     whole = pieces.where("kind = 'record'").select("file", "start", "no", "text")

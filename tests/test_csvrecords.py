@@ -43,8 +43,10 @@ def got(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_files(spark, small_splits, tmp_path, seed):
+@pytest.mark.parametrize("seed, few_splits", [(1, True), (2, True), (3, False)])
+def test_random_files(spark, small_splits, tmp_path, monkeypatch, seed, few_splits):
+    """``few_splits``: their parities are broadcast; else lines are brought to them and ordered again."""
+    monkeypatch.setattr(csvrecords, "fits_broadcast", lambda table: few_splits)
     rng = random.Random(seed)
     rows = [["time", "level", "text"]] + [[str(i), cell(rng), cell(rng)] for i in range(120)]
     rows[10:10] = [["short", "row"], ["one", "too", "many", "cells"]]
