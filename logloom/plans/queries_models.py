@@ -148,7 +148,7 @@ def health_by_model(spark, sf):
     )
     detector = train(rows, "isolation_forest")
     flagged = logs.drop("score", "is_anomaly").join(
-        detector.score(rows).select(
+        detector.training_scores().select(
             "row_id", F.col("is_anomaly_detected").cast("int").alias("is_anomaly")
         ),
         "row_id",
