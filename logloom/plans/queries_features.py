@@ -147,7 +147,7 @@ def window_counts(spark, sf):
     FROM logs"""
 )
 def inter_arrival(spark, sf):
-    rows = ordered.previous_time_gap(src.logs(spark, sf))
+    rows = ordered.time_gaps(src.logs(spark, sf))
     return rows.withColumn("inter_arrival_seconds", F.round("inter_arrival_seconds", 6))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logloom.operators import evaluate as ev
 from logloom.operators import monitor as mo
 from logloom.operators.lookup import fits_broadcast, lookup
-from logloom.operators.ordered import exact_percentiles, prefix_sums, previous_time_gap
+from logloom.operators.ordered import exact_percentiles, prefix_sums, previous_time_gap, time_gaps
 
 
 def values(n, seed, hot=0.4):
@@ -52,6 +52,13 @@ def test_previous_time(spark):
     assert {r.row_id: r.inter_arrival_seconds for r in got} == pytest.approx(want)
 
 
+def test_time_gaps_of_equal_times(spark):
+    """Rows that share a time, or have none, are returned too."""
+    df = spark.createDataFrame([(3, 10), (1, 10), (2, 14), (4, 14), (5, None)], "row_id bigint, t bigint")
+    got = time_gaps(df.select("row_id", F.timestamp_seconds("t").alias("timestamp"))).collect()
+    assert sorted(map(tuple, got)) == [(1, 0.0), (2, 4.0), (3, 0.0), (4, 0.0), (5, 0.0)]
+
+
 @pytest.mark.parametrize("small", [True, False, None])
 def test_lookup(spark, small):
     """A hot key, rare keys, an unknown key and NULL keys, by every join."""
