@@ -41,7 +41,7 @@ AUTO_OFFSET = -0.5
 # The pool trees are sampled from holds this many times the rows that all trees draw, if there are so many.
 POOL_FACTOR = 4
 # Nodes that are collected and broadcast; more stay in a table.
-MAX_NODES = 4_000_000
+MAX_NODES = 400_000
 _MODULUS = 1 << 30
 
 NODES = T.StructType(

@@ -1,5 +1,7 @@
 """Trees over fractions of a table: grown near the root by reports, below in tasks, scored from tables."""
 
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -110,3 +112,23 @@ def test_drawn_features_cover_all():
     for size in (3, 16, 17, 100, 1000):
         parts = [levels.drawn_features(1, 2, 3, size, k) for k in range(6)]
         assert sorted(np.concatenate(parts)) == list(range(size))
+
+
+def test_memory_of_the_largest_collected_forest():
+    """The driver turns ``MAX_NODES`` nodes into the table and the arrays it broadcasts within 400 MB."""
+    trees = 100
+    k = np.arange(iforest.MAX_NODES // trees, dtype=np.int32)
+    inner = 2 * k + 2 < len(k)
+    one = {
+        "root": 1, "node": k, "feature": np.where(inner, k % 8, -1), "threshold": 0.5, "left": np.where(inner, 2 * k + 1, -1),
+        "right": np.where(inner, 2 * k + 2, -1), "size": 1, "depth": np.floor(np.log2(k + 1)).astype(np.int32),
+    }
+    branches = pd.concat([pd.DataFrame(one).assign(tree=t) for t in range(trees)], ignore_index=True)
+    none = levels._frame([])
+    tracemalloc.start()
+    try:
+        iforest.PackedForest(levels.whole_nodes(levels.TopLevels(none, none, none), branches), 8, 256)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 400 * 2**20
