@@ -7,7 +7,7 @@ whole multiples of a power of two and added up as integers, so the order of addi
 the number of partitions and the size of Arrow batches don't matter either.
 
 A task adds up its blocks and sends one packed vector; vectors are added as a tree, so
-the driver receives a few of them however many tasks there are.
+the driver receives at most ``LAST_VECTORS`` of them however many tasks there are.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from logloom.models.matrix import chunks, feature_block, is_sparse
 from logloom.schema import ROW_ID
 from logloom.session import scratch_dir, ship_package
 
-BLOCK_ROWS, FAN_IN, LAST_VECTORS = 512, 32, 8
+BLOCK_ROWS, FAN_IN, LAST_VECTORS = 512, 32, 4
 # Contributions to a mean are kept to 2^-44.
 FRACTION_BITS = 44
 
@@ -122,7 +122,7 @@ def vector_sum(vectors: DataFrame, parts: int, width: int) -> np.ndarray:
                 total += np.frombuffer(v, np.int64)
         yield pd.DataFrame({"v": [total.tobytes()]})
 
-    while parts > max(LAST_VECTORS, FAN_IN // 2):
+    while parts > LAST_VECTORS:
         parts = math.ceil(parts / FAN_IN)
         vectors = vectors.repartition(parts).mapInPandas(add, "v binary")
     total = np.zeros(width, np.int64)

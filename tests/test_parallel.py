@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_models import matrix
@@ -126,3 +127,20 @@ def test_twelve_settings(spark):
     assert (model.params["kernel"], model.params["nu"], model.params["gamma"]) == best
     alone = OneClassSVM.fit(df, iterations=6, n_features=64, kernel=best[0], nu=best[1], gamma=best[2])
     assert alone.w == pytest.approx(model.w) and alone.rho == pytest.approx(model.rho)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 5, 12, 16, 40])
+def test_few_vectors_reach_the_driver(spark, monkeypatch, parts):
+    vectors = spark.range(0, 40, 1, parts).select(F.col("id")).mapInPandas(
+        lambda pdfs: (pd.DataFrame({"v": [np.array([p["id"].sum()], np.int64).tobytes()]}) for p in pdfs), "v binary"
+    )
+    collect, sent = type(vectors).collect, []
+
+    def counted(df):
+        rows = collect(df)
+        sent.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(vectors), "collect", counted)
+    assert vector_sum(vectors, parts, 1).tolist() == [sum(range(40))]
+    assert len(sent) == 1 and sent[0] <= 4
