@@ -3,6 +3,9 @@
 For every key the state holds the earliest row seen.  When the watermark has passed that row's time no
 earlier row can come any more, and a timer releases it.  What arrives for the key afterwards is a repeat.
 
+Keys share ``BUCKETS`` groups by a hash, so a micro-batch calls Python once per bucket, not once per key; the
+state of a bucket names its keys, and its timer is that of the key that is due first.
+
 Before the shuffle every Arrow batch keeps its earliest row per key, so a key with most rows
 sends one row per batch, not one per repeat.
 
@@ -13,6 +16,7 @@ may repeat a released key and are then dropped, and count as new keys otherwise.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,7 +30,9 @@ from logloom.session import ship_package
 
 # Later than any time.
 _NO_TIME = 4 * 10**18
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+# Groups that the keys are dealt to.
+BUCKETS = 4096
 
 
 def keep_first_stream(
@@ -43,60 +49,67 @@ def keep_first_stream(
     repeat after that is a first row again, and the state stays bounded.
     """
     ship_package(df.sparkSession)
-    names = [f"_k{i}" for i in range(len(keys))]
-    key_types = [df.schema[k].dataType.simpleString() for k in keys]
+    keyed = [_key_value(df, k).alias(f"k{i}") for i, k in enumerate(keys)]
     micros = F.coalesce(F.unix_micros(ts), F.lit(_NO_TIME)).alias("_us")
     rows = df.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)],
+        F.to_json(F.struct(*keyed), _JSON).alias("_key"),
         F.col(ts).alias("_ts"),
         micros,
         F.col(row_id).cast("bigint").alias("_id"),
         F.to_json(F.struct(*[F.col(c) for c in df.columns]), _JSON).alias("_row"),
     )
-    kinds = ", ".join(f"{n} {t}" for n, t in zip(names, key_types))
-    combined = rows.mapInPandas(_earliest(names), f"{kinds}, _ts timestamp, _us bigint, _id bigint, _row string")
+    combined = rows.mapInPandas(_earliest(["_key"]), "_key string, _ts timestamp, _us bigint, _id bigint, _row string")
     forget = None if forget_minutes is None else forget_minutes * 60_000
 
     def held(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            us, at, row, released = state.get
-            if released or forget == 0:
-                state.remove()
-            else:
-                state.update((us, at, None, True))
-                if forget is not None:
-                    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + forget)
-            if not released:
-                yield pd.DataFrame({"_row": [row]})
-            return
-        best = None
-        if state.exists:
-            us, at, row, released = state.get
-            if released:
-                if forget is not None:
-                    # A timer has to be set anew whenever a key is visited.
-                    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + forget)
-                return
-            best = (us, at, row)
-        for pdf in batches:
-            for found in zip(pdf["_us"].tolist(), pdf["_id"].tolist(), pdf["_row"]):
-                if best is None or found[:2] < best[:2]:
-                    best = found
-        state.update((*best, False))
         now = state.getCurrentWatermarkMs()
-        due = now if best[0] == _NO_TIME else -(-best[0] // 1000)
-        state.setTimeoutTimestamp(max(due, now) + 1)
+        # Waiting keys have (time, row key, row, when it is due), released ones when they are forgotten.
+        waiting, released = (json.loads(text) for text in state.get) if state.exists else ({}, {})
+        visited = set()
+        for pdf in () if state.hasTimedOut else batches:
+            for name, *found in zip(pdf["_key"], pdf["_us"].tolist(), pdf["_id"].tolist(), pdf["_row"]):
+                visited.add(name)
+                if name not in released and (name not in waiting or found[:2] < waiting[name][:2]):
+                    waiting[name] = found
+        for name in visited:
+            if name in released:
+                # A timer is set anew whenever a key is visited.
+                released[name] = None if forget is None else now + forget
+            else:
+                us = waiting[name][0]
+                due = now if us == _NO_TIME else -(-us // 1000)
+                waiting[name] = [*waiting[name][:3], max(due, now) + 1]
+        for name in [n for n, at in released.items() if n not in visited and at is not None and at < now]:
+            del released[name]
+        ready = [n for n, row in waiting.items() if n not in visited and row[3] < now]
+        out = [waiting.pop(n)[2] for n in ready]
+        if forget != 0:
+            released.update(dict.fromkeys(ready, None if forget is None else now + forget))
+        if waiting or released:
+            state.update((json.dumps(waiting), json.dumps(released)))
+            timers = [row[3] for row in waiting.values()] + [at for at in released.values() if at is not None]
+            if timers:
+                state.setTimeoutTimestamp(min(timers))
+        else:
+            state.remove()
+        if out:
+            yield pd.DataFrame({"_row": out})
 
     out = (
         combined.withWatermark("_ts", delay)
-        .groupBy(*names)
-        .applyInPandasWithState(
-            held, "_row string", "us bigint, id bigint, line string, released boolean", "append", GroupStateTimeout.EventTimeTimeout
-        )
+        .withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(BUCKETS)))
+        .groupBy("_bucket")
+        .applyInPandasWithState(held, "_row string", "waiting string, released string", "append", GroupStateTimeout.EventTimeTimeout)
     )
     return out.select(F.from_json("_row", df.schema, _JSON).alias("r")).select("r.*")
 
 
+def _key_value(df: DataFrame, name: str):
+    """A key as grouping sees it: 0.0 and -0.0 are one."""
+    floating = df.schema[name].dataType.simpleString() in ("float", "double")
+    return F.col(name) + F.lit(0.0) if floating else F.col(name)
+
+
 def _earliest(names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom.operators import dedup
+from logloom.streaming import keep_first as kf
 from logloom.streaming import streams as st
 from logloom.streaming.keep_first import keep_first_stream
 
@@ -59,3 +60,21 @@ def test_forgotten_keys_count_again(spark, tmp_path):
     for minutes, again in ((60, True), (None, False)):
         got = {r.row_id for r in run(spark, tmp_path / str(minutes), deliveries, delay="1 minute", forget_minutes=minutes).collect()}
         assert (6 in got) == again and {1, 2, 4} <= got and not got & {3, 5}
+
+
+def test_keys_share_groups(spark, tmp_path, monkeypatch):
+    """Python is called for a bucket of keys: the state has a row per bucket, not one per key."""
+    monkeypatch.setattr(kf, "BUCKETS", 8, raising=False)
+    rows = [(i, i % 40, f"k{i % 200}", 0, f"t{i}") for i in range(300)]
+    source = tmp_path / "in"
+    for part in (rows[150:], rows[:150], *END):
+        frame(spark, part).coalesce(1).write.mode("append").parquet(str(source))
+    stream = st.read_stream(spark, str(source), "parquet", frame(spark, rows).schema, 1)
+    kept = keep_first_stream(stream, ["key"], "2 hours")
+    query = st.write_stream(kept, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True)
+    query.awaitTermination()
+    groups = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert 0 < max(groups) <= 8
+    got = spark.read.schema(kept.schema).parquet(str(tmp_path / "out")).where("row_id >= 0")
+    want = dedup.keep_first(frame(spark, rows), ["key"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
