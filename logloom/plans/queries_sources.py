@@ -17,6 +17,8 @@ from logloom.sources import readers, store
 
 COLUMNS = ["timestamp", "level", "service", "source_ip", "message", "parse_method"]
 SHOWN = '"timestamp", level, service, source_ip, message, parse_method'
+# Rows of a written CSV file, about.
+CSV_FILE_ROWS = 500_000
 TEXT_TIME = """strftime("timestamp", '%Y-%m-%d %H:%M:%S')"""
 
 
@@ -54,7 +56,7 @@ def read_json_file(spark, sf):
 
 
 def _csv_file(spark, sf):
-    """Two files with different headers, line breaks and quotes inside cells, short and long records."""
+    """Files with two different headers, line breaks and quotes inside cells, short and long records."""
     logs = _timed(src.logs(spark, sf))
     message = F.when(F.col("row_id") % 3 == 0, F.concat(F.lit('say "hi",\n'), "message", F.lit("\n\nend"))).otherwise(F.col("message"))
 
@@ -63,6 +65,7 @@ def _csv_file(spark, sf):
 
     cells = {"timestamp": F.col("timestamp"), "level": F.col("level"), "service": F.col("service"), "message": quoted(message)}
     base = scratch_dir(spark, "csv-logs")
+    files = -(-logs.count() // (2 * CSV_FILE_ROWS)) or 1
     for part, names, header in (
         (0, ["timestamp", "level", "service", "message"], "Timestamp,Level,Service,Message"),
         (1, ["message", "service", "timestamp", "level"], "message, service ,timestamp,level"),
@@ -72,10 +75,12 @@ def _csv_file(spark, sf):
         odd = F.when(F.col("row_id") % 50 == 48, F.concat(line, F.lit(",one too many"))).when(
             F.col("row_id") % 50 == 46, F.concat_ws(",", *[cells[n] for n in names[:3]])
         )
-        body = rows.coalesce(1).sortWithinPartitions("row_id").select(F.coalesce(odd, line).alias("line"))
-        first = spark.createDataFrame([(header,)], "line string")
-        first.unionByName(body).coalesce(1).write.text(f"{base}/{part}")
-    return [f"{base}/0", f"{base}/1"]
+        body = rows.select(F.pmod(F.xxhash64("row_id"), F.lit(files)).alias("file"), "row_id", F.coalesce(odd, line).alias("line"))
+        first = spark.range(files).select(F.col("id").alias("file"), F.lit(None).cast("bigint").alias("row_id"), F.lit(header).alias("line"))
+        # The header has no row key, so it sorts first in each file.
+        whole = first.unionByName(body).repartition(files, "file").sortWithinPartitions("file", "row_id")
+        whole.select("file", "line").write.partitionBy("file").text(f"{base}/{part}")
+    return [f"{base}/{part}/file={i}" for part in (0, 1) for i in range(files)]
 
 
 @query(

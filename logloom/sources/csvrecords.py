@@ -4,7 +4,8 @@ A line break belongs to a record or ends one, depending on how many quotes stand
 in the file.  Whether that number is even at the start of a split is the parity of the quotes of all
 splits before it, one number per split.  Each split then cuts its own lines into records; what is
 left open at its ends (at most one piece at either end) is put together across splits afterwards.
-So a file of any size is read by as many tasks as it has splits.
+So a file of any size is read by all of its splits; a task takes splits of up to ``TASK_BYTES`` one after the other,
+so that small splits don't cost a task each.
 
 Defined results: quotes are doubled inside quoted cells; a blank line outside quotes is no
 record; a carriage return before a line break that ends a record is no part of it; the first record of a
@@ -25,6 +26,7 @@ from logloom.operators.lookup import fits_broadcast
 from logloom.session import materialize, ship_package
 
 MAX_HEADERS = 1000
+TASK_BYTES = 32 * 1024 * 1024
 _CORRUPT = "_corrupt_record"
 
 _PIECES = "file string, start bigint, no bigint, kind string, text string"
@@ -77,12 +79,22 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["file", "start", "no", "kind", "text"])
 
 
+def _few_tasks(lines: DataFrame) -> DataFrame:
+    """The same splits, several in a task where they are small."""
+    spark = lines.sparkSession
+    split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    splits = lines.rdd.getNumPartitions()
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-splits * split_bytes // TASK_BYTES))
+    return lines.coalesce(tasks) if tasks < splits else lines
+
+
 def read_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``(file, start, no, text)``: one row per record; (start, no) orders the records of a file."""
     ship_package(spark)
     lines = spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line")
     )
+    lines = _few_tasks(lines)
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
     splits = lines.groupBy("file", "start").agg(F.sum(quotes).alias("q"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -93,7 +105,7 @@ def read_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     else:
         placed = lines.withColumn("_at", F.monotonically_increasing_id()).join(odd, ["file", "start"])
         known = placed.repartition("file", "start").sortWithinPartitions("file", "start", "_at")
-    pieces = materialize(known.select("file", "start", "odd", "line").mapInPandas(_pieces, _PIECES), "csv-pieces")
+    pieces = _few_tasks(materialize(known.select("file", "start", "odd", "line").mapInPandas(_pieces, _PIECES), "csv-pieces"))
 
     whole = pieces.where("kind = 'record'").select("file", "start", "no", "text")
     in_file = Window.partitionBy("file").orderBy("start", "no")
@@ -123,8 +135,11 @@ def read_csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     """All records under the names of their file's header; a column that a file lacks is NULL."""
     from logloom.sources.readers import normalize_header
 
-    records = materialize(read_records(spark, paths), "csv-records")
-    first = records.groupBy("file").agg(F.min_by("text", F.struct("start", "no")).alias("header"), F.min(F.struct("start", "no")).alias("at"))
+    records = _few_tasks(materialize(read_records(spark, paths), "csv-records"))
+    # A row per split first: numbers are hashed, where texts and structs would be sorted.
+    starts = records.groupBy("file", "start").agg(F.min("no").alias("no"))
+    at = starts.groupBy("file").agg(F.min(F.struct("start", "no")).alias("at")).select("file", "at.start", "at.no")
+    first = records.join(at, ["file", "start", "no"]).select("file", F.col("text").alias("header"), F.struct("start", "no").alias("at"))
     first = materialize(first, "csv-headers")
     headers = [r["header"] for r in first.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
     if len(headers) > MAX_HEADERS:

@@ -83,3 +83,17 @@ def test_blank_lines_open_quote_and_empty_files(spark, tmp_path):
     assert readers.read_csv_table(spark, files[2], multi_line=True).count() == 0
     logs = readers.read_csv_logs(spark, files[0], multi_line=True)
     assert logs.count() == 2
+
+
+def test_small_splits_share_tasks(spark, small_splits, tmp_path, monkeypatch):
+    rows = [["a", "b"]] + [[str(i), "x\ny " * (i % 7) + "w"] for i in range(600)]
+    text = write(tmp_path / "a.csv", rows)
+    tasks, written = {}, csvrecords.materialize
+
+    def noted(df, purpose):
+        tasks[purpose] = df.rdd.getNumPartitions()
+        return written(df, purpose)
+
+    monkeypatch.setattr(csvrecords, "materialize", noted)
+    assert got(readers.read_csv_table(spark, str(tmp_path / "a.csv"), multi_line=True)) == plain(text)
+    assert len(text) // 200 > 30 and tasks["csv-pieces"] <= 2 * spark.sparkContext.defaultParallelism
