@@ -9,6 +9,7 @@ from logloom.functions import text as tx
 from logloom.functions import timestamps as tm
 from logloom.operators.dedup import deduplicate
 from logloom.schema import IMPUTE_DEFAULTS
+from logloom.session import materialize
 
 
 def normalize_timestamps(
@@ -67,9 +68,12 @@ def preprocess(
     fill_timestamp: Column | None = None,
     **message_options,
 ) -> DataFrame:
-    """Times, text, de-duplication, imputation, derived columns."""
+    """Times, text, de-duplication, imputation, derived columns.
+
+    De-duplication reads its rows twice, for their keys and for themselves: they are written once before it.
+    """
     df = normalize_timestamps(df, default_year, fill_timestamp)
     df = clean_messages(df, **message_options)
     if dedup:
-        df = deduplicate(df, window_minutes=window_minutes)
+        df = deduplicate(materialize(df, "normalized"), window_minutes=window_minutes)
     return derive(impute(df))

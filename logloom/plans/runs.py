@@ -12,6 +12,7 @@ from logloom.models.registry import Detector, batch_summary, train
 from logloom.operators.assemble import FeatureModel
 from logloom.operators.clean import preprocess
 from logloom.operators.evaluate import binary_label, evaluate_labeled, evaluate_unlabeled
+from logloom.operators.features import with_template
 from logloom.operators.report import service_health
 from logloom.operators.validate import validate
 from logloom.schema import ROW_ID
@@ -50,15 +51,17 @@ def train_run(
 ) -> TrainingRun:
     """Validate, clean, build features, fit and score.
 
-    Parsed rows, cleaned rows and features are written once each: every later step reads
-    those tables instead of parsing the lines again.
+    Parsed rows, cleaned rows with their templates and features are written once each: every later
+    step reads those tables instead of parsing the lines again.
     """
     clean, checked = clean_logs(materialize(parsed, "parsed"), dedup, **(clean_options or {}))
-    clean = materialize(clean, "clean")
-    features = FeatureModel.fit(clean, max_features=max_features)
+    names = clean.columns
+    templated = materialize(with_template(clean), "clean")
+    clean = templated.select(*names)
+    features = FeatureModel.fit(templated, max_features=max_features)
     # The counts of this very table were just fitted: taking them from the saved
     # tables gives the batch-relative figures without counting again.
-    rows = materialize(features.transform(clean, stats="training"), "feature-rows")
+    rows = materialize(features.transform(templated, stats="training"), "feature-rows")
     detector = train(rows, model, tune=tune, size=len(features.names), **params)
     scored = clean.join(detector.training_scores(), ROW_ID)
     return TrainingRun(clean, checked.quarantined, checked.report, features, detector, scored, clean_options or {})

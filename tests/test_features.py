@@ -139,3 +139,16 @@ def test_weights_of_more_rows_take_more_tasks(spark, monkeypatch):
     spread = tfidf.weight_rows(rows, vocabulary)
     assert spread.rdd.getNumPartitions() == 20
     assert sorted(tuple(r) for r in spread.collect()) == plain
+
+
+def test_weights_are_found_without_a_row_per_term(spark):
+    rows = spark.createDataFrame([(1, "disk disk failure"), (2, "disk failure"), (3, "other words"), (4, None)], "row_id bigint, message string")
+    vocabulary = spark.createDataFrame([("disk", 0, 1.5), ("disk failure", 1, 2.0), ("failure", 2, 1.25)], "term string, term_index int, idf double")
+    weights = tfidf.weight_rows(rows, vocabulary)
+    plan = weights._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
+    got = {r.row_id: (r.indices, r.values) for r in weights.collect()}
+    assert sorted(got) == [1, 2] and got[1][0] == got[2][0] == [0, 1, 2]
+    for row, raw in ((1, [1.5 * (1 + math.log(2)), 2.0, 1.25]), (2, [1.5, 2.0, 1.25])):
+        norm = math.sqrt(sum(w * w for w in raw))
+        assert got[row][1] == pytest.approx([w / norm for w in raw], abs=1e-15)

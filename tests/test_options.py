@@ -77,6 +77,16 @@ def test_score_batch_trains_on_syslog_lines(spark, sf, monkeypatch):
     assert [r.y for r in years] == [2024]
 
 
+def test_score_batch_parses_each_line_once(spark, sf, monkeypatch):
+    lines, real = [], queries_models.parse_lines
+    monkeypatch.setattr(queries_models, "parse_lines", lambda df: lines.append(df) or real(df))
+    queries_models.score_batch(spark, sf)
+    parsed = sorted(r.row_id for df in lines for r in df.select("row_id").collect())
+    old = src.logs(spark, sf).where("timestamp < '2024-01-16'")
+    assert len(lines) == 2 and lines[0].count() == old.count()
+    assert parsed == sorted(r.row_id for r in src.logs(spark, sf).select("row_id").collect())
+
+
 def test_arrays_count_as_bytes(spark):
     """A few rows with long arrays are too large to broadcast, however short the table is."""
     rows = spark.range(10).select("id", F.array_repeat(F.lit("x" * 100), 1000).alias("words"), F.struct(F.lit("y" * 50).alias("s")).alias("st"))
