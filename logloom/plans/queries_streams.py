@@ -244,7 +244,7 @@ def stream_model_scores(spark, sf):
     halfway = F.lit(HALFWAY).cast("timestamp")
     old, new = logs.where(F.col("timestamp") < halfway), logs.where(F.col("timestamp") >= halfway)
     features = FeatureModel.fit(old)
-    detector = train(features.transform(old, stats="training"), size=len(features.names))
+    detector = train(materialize(features.transform(old, stats="training"), "feature-rows"), size=len(features.names))
 
     day = F.datediff("timestamp", halfway)
     part = F.least(F.floor(day / 4) + F.when(F.col("row_id") % 7 == 0, 1).otherwise(0), F.lit(4))
