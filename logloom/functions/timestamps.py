@@ -20,6 +20,11 @@ _SYSLOG = r"^[A-Za-z]{3} \d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 _US = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
+def _whole(shape: str) -> str:
+    """The shape without a line end behind it, which ``$`` lets pass."""
+    return shape.removesuffix("$") + r"\z"
+
+
 def parse_timestamp(
     c: Column | str,
     formats: Sequence[str] | None = None,
@@ -33,25 +38,32 @@ def parse_timestamp(
     ``month/day/year``.  ``formats`` replaces them by Spark datetime patterns,
     tried in order.
 
-    Text that needs no trimming takes one pattern test and one cast; only the
-    rest is squeezed and matched again.
+    Text that needs no trimming is parsed as it is, after a pattern test for each
+    of the common shapes; only the rest is squeezed and matched again.
     """
     raw = col(c)
     if formats is not None:
         return F.coalesce(*[F.try_to_timestamp(strip(raw), F.lit(f)) for f in formats])
+
+    def syslog(text: Column) -> Column:
+        return F.try_to_timestamp(F.concat(F.lit(f"{default_year:04d} "), text), F.lit("yyyy MMM d H:m:s"))
+
+    def access(text: Column) -> Column:
+        return F.try_to_timestamp(text, F.lit("d/MMM/yyyy:H:m:s xx"))
+
     text = collapse_space(raw)
     other = (
         F.when(text.rlike(_PLAIN), text.try_cast("timestamp"))
-        .when(
-            text.rlike(_SYSLOG),
-            F.try_to_timestamp(
-                F.concat(F.lit(f"{default_year:04d} "), text), F.lit("yyyy MMM d H:m:s")
-            ),
-        )
-        .when(text.rlike(_ACCESS), F.try_to_timestamp(text, F.lit("d/MMM/yyyy:H:m:s xx")))
+        .when(text.rlike(_SYSLOG), syslog(text))
+        .when(text.rlike(_ACCESS), access(text))
         .when(text.rlike(_US), F.try_to_timestamp(text, F.lit("M/d/yyyy H:m:s")))
     )
-    return F.when(raw.rlike(_PLAIN), raw.try_cast("timestamp")).otherwise(other)
+    return (
+        F.when(raw.rlike(_PLAIN), raw.try_cast("timestamp"))
+        .when(raw.rlike(_whole(_SYSLOG)), syslog(raw))
+        .when(raw.rlike(_whole(_ACCESS)), access(raw))
+        .otherwise(other)
+    )
 
 
 def to_timestamp_any(c: Column | str, dtype: str, **kwargs) -> Column:

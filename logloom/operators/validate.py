@@ -45,7 +45,9 @@ def _flags(df: DataFrame, max_length: int, min_year: int, default_year: int, max
         flags["log_level"] = F.coalesce(F.upper("level").isin(VALID_LEVELS), F.lit(False))
     if "timestamp" in have:
         ts = to_timestamp_any("timestamp", have["timestamp"], default_year=default_year)
-        flags["timestamp"] = F.coalesce(F.year(ts).between(min_year, max_year), F.lit(False))
+        # As an element the year is found once, not for either bound.
+        in_range = F.exists(F.array(F.year(ts)), lambda year: year.between(min_year, max_year))
+        flags["timestamp"] = F.coalesce(in_range, F.lit(False))
     if "message" in have:
         flags["message_length"] = F.coalesce(F.length("message") <= max_length, F.lit(True))
     return flags

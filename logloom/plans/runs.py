@@ -14,6 +14,7 @@ from logloom.operators.clean import preprocess
 from logloom.operators.evaluate import binary_label, evaluate_labeled, evaluate_unlabeled
 from logloom.operators.features import with_template
 from logloom.operators.report import service_health
+from logloom.operators.tfidf import with_words
 from logloom.operators.validate import validate
 from logloom.schema import ROW_ID
 from logloom.session import materialize
@@ -51,12 +52,12 @@ def train_run(
 ) -> TrainingRun:
     """Validate, clean, build features, fit and score.
 
-    Parsed rows, cleaned rows with their templates and features are written once each: every later
+    Parsed rows, cleaned rows with their templates and words, and features are written once each: every later
     step reads those tables instead of parsing the lines again.
     """
     clean, checked = clean_logs(materialize(parsed, "parsed"), dedup, **(clean_options or {}))
     names = clean.columns
-    templated = materialize(with_template(clean), "clean")
+    templated = materialize(with_words(with_template(clean)), "clean")
     clean = templated.select(*names)
     features = FeatureModel.fit(templated, max_features=max_features)
     # The counts of this very table were just fitted: taking them from the saved
