@@ -110,7 +110,10 @@ def special_char_ratio(c: Column | str) -> Column:
 
 
 def uppercase_ratio(c: Column | str) -> Column:
-    return F.regexp_count(col(c), F.lit(f"[{UPPER}]")) / F.greatest(F.length(col(c)), F.lit(1))
+    c = col(c)
+    # Text of as many bytes as characters has no capitals but A to Z.
+    plain = F.when(F.octet_length(c) == F.length(c), F.regexp_count(c, F.lit("[A-Z]")))
+    return plain.otherwise(F.regexp_count(c, F.lit(f"[{UPPER}]"))) / F.greatest(F.length(c), F.lit(1))
 
 
 def level_numeric(c: Column | str) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.models import levels
-from logloom.models.matrix import chunks, feature_block
+from logloom.models.matrix import chunks, feature_block, sparse_blocks, struct_frame
 from logloom.operators.ordered import exact_percentiles
 from logloom.schema import ROW_ID
 from logloom.session import materialize, ship_package
@@ -205,6 +205,11 @@ class PackedForest:
         return self.path.take(node)
 
     def blocks(self, col):
+        if not isinstance(col, pd.DataFrame) and len(col) and isinstance(col.iloc[0], dict):
+            col = struct_frame(col)
+        if isinstance(col, pd.DataFrame):
+            yield from sparse_blocks(col, self.width, self.positions, DESCENT_ROWS)
+            return
         for c in chunks(col, DESCENT_ROWS):
             yield feature_block(c, self.size, positions=self.positions, width=self.width)
 

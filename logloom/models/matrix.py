@@ -62,6 +62,24 @@ def feature_block(series, size: int, **kw) -> np.ndarray:
     return block(series, size, **kw)
 
 
+def sparse_blocks(col: pd.DataFrame, width: int, positions: np.ndarray, rows: int):
+    """``block`` of every ``rows`` rows of a frame with ``indices`` and ``values``; the lists are joined once for all."""
+    lengths = np.fromiter(map(len, col["indices"]), dtype=np.int64, count=len(col))
+    if lengths.sum() == 0:
+        yield from (np.zeros((len(c), width)) for c in chunks(col, rows))
+        return
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.repeat(np.arange(len(col)), lengths)
+    cols = positions[np.concatenate(col["indices"].to_list()).astype(np.int64)]
+    vals = np.concatenate(col["values"].to_list()).astype(float)
+    for start in range(0, len(col), rows):
+        n = min(rows, len(col) - start)
+        part = slice(ends[start], ends[start + n])
+        keep = cols[part] >= 0
+        cells = (at[part][keep] - start) * width + cols[part][keep]
+        yield np.bincount(cells, weights=vals[part][keep], minlength=n * width).reshape(n, width)
+
+
 def chunks(col, rows: int = BLOCK_ROWS):
     for start in range(0, len(col), rows):
         yield col.iloc[start : start + rows]

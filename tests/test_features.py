@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,32 @@ def test_weights_are_found_without_a_row_per_term(spark):
     for row, raw in ((1, [1.5 * (1 + math.log(2)), 2.0, 1.25]), (2, [1.5, 2.0, 1.25])):
         norm = math.sqrt(sum(w * w for w in raw))
         assert got[row][1] == pytest.approx([w / norm for w in raw], abs=1e-15)
+
+
+@pytest.mark.parametrize("piece", [1, 30, 1 << 20])
+def test_terms_are_counted_in_pieces(monkeypatch, piece):
+    """Each term once a piece, whatever is cut; a bucket is the same in any piece."""
+    monkeypatch.setattr(tfidf, "PIECE_BYTES", piece)
+    texts = ["disk full disk full disk", "", None, "full disk", "node disk full disk", "node"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    want = [Counter(" ".join(w[i : i + n]) for n in (2, 3) for i in range(len(w) - n + 1)) for w in ((t or "").split() for t in texts)]
+    seen, corpus = Counter(), Counter()
+    for part in tfidf._count_terms(2, 3, 16, None)([batch]):
+        for r in part.to_pylist():
+            seen[r["term"]] += r["df"]
+            corpus[r["term"]] += r["corpus_count"]
+    assert corpus == sum(want, Counter()) and seen == Counter(t for c in want for t in c)
+    buckets = [r for part in tfidf._count_buckets(2, 3, 16)([batch]) for r in part.to_pylist()]
+    monkeypatch.setattr(tfidf, "PIECE_BYTES", 1 << 30)
+    assert buckets == [r for part in tfidf._count_buckets(2, 3, 16)([batch]) for r in part.to_pylist()]
+    assert sum(r["n"] for r in buckets) == sum(corpus.values())
+
+
+def test_kept_words_are_not_found_again(spark):
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "row_id bigint, message string")
+    kept = materialize(tfidf.with_words(rows))
+    vocabulary = materialize(tfidf.fit_vocabulary(kept))
+    assert sorted(vocabulary.collect()) == sorted(tfidf.fit_vocabulary(rows).collect())
+    weights = tfidf.weight_rows(kept, vocabulary)
+    assert "regexp" not in weights._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r) for r in weights.collect()) == sorted(tuple(r) for r in tfidf.weight_rows(rows, vocabulary).collect())

@@ -1,8 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from logloom.models import iforest, ocsvm
+from logloom.models.matrix import block, sparse_blocks
 from logloom.models.registry import Detector, batch_summary, model_versions, train
 from logloom.models.scaling import VectorScaler, minmax_probability
 from logloom.operators.tfidf import sparse_rows
@@ -186,3 +188,14 @@ def test_workers_get_the_package(tmp_path):
         [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120
     )
     assert "rows 50" in out.stdout, out.stderr[-2000:]
+
+
+@pytest.mark.parametrize("rows", [1, 3, 7, 100])
+def test_sparse_blocks_are_blocks_of_slices(rows):
+    """Also where rows hold nothing, or nothing that the forest looks at."""
+    cells = [([0, 2], [1.0, 2.0]), ([], []), ([1], [5.0]), ([2, 2], [1.0, 4.0]), ([3], [-0.5]), ([0, 1, 2, 3], [1.0] * 4), ([], [])]
+    col = pd.DataFrame({"indices": [np.array(i, dtype=int) for i, _ in cells], "values": [np.array(v) for _, v in cells]})
+    positions = np.array([1, -1, 0, 2])
+    got = list(sparse_blocks(col, 3, positions, rows))
+    want = [block(col.iloc[i : i + rows], 4, positions, 3) for i in range(0, len(col), rows)]
+    assert len(got) == len(want) and all((g == w).all() and g.shape == w.shape for g, w in zip(got, want))

@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from logloom.functions import text as tx
+from logloom.functions.timestamps import parse_timestamp
 from logloom.operators import clean, dedup, validate
 
 SCHEMA = "row_id bigint, timestamp string, level string, service string, message string"
@@ -150,3 +152,27 @@ def test_requests(spark):
     df = frame(spark, rows).withColumn("source_ip", F.lit(None).cast("string"))
     got = validate.accept_requests(df, now=F.lit(T)).collect()
     assert [(r.row_id, r.timestamp, r.level, r.service, r.source_ip) for r in got] == [(0, T, "INFO", "unknown", "")]
+
+
+def test_time_is_parsed_once_for_both_years(spark):
+    rows = frame(spark, [(1, "Jan 15 00:00:01", "INFO", "a", "x"), (2, "1/Jan/2019:00:00:01 +0000", "INFO", "a", "x")])
+    good = validate.valid_rows(rows, default_year=2024)
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("year(") == 1
+    assert [r.row_id for r in good.collect()] == [1]
+
+
+@pytest.mark.parametrize("end", ["", "\n", " ", "\r\n"])
+def test_times_with_and_without_ends(spark, end):
+    texts = ["2024-01-02 03:04:05", "Jan 2 03:04:05", "2/Jan/2024:03:04:05 +0000", "1/2/2024 3:04:05"]
+    rows = spark.createDataFrame([(t + end,) for t in texts], "t string")
+    got = rows.select(parse_timestamp("t", default_year=2024).cast("string").alias("v")).collect()
+    assert {r.v for r in got} == {"2024-01-02 03:04:05"}
+
+
+def test_capitals_of_plain_and_other_text(spark):
+    texts = [chr(i) * 2 for i in range(128)] + ["Ärger IM Haus", "ΑΒγ", "Ⅷ", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plan = rows.select(tx.uppercase_ratio("t").alias("v"))
+    want = F.regexp_count("t", F.lit(f"[{tx.UPPER}]")) / F.greatest(F.length("t"), F.lit(1))
+    assert [r.v for r in plan.collect()] == [r.v for r in rows.select(want.alias("v")).collect()]
+    assert "[A-Z]" in plan._jdf.queryExecution().optimizedPlan().toString()
