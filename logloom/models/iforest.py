@@ -7,7 +7,8 @@ the nodes, which can be collected and broadcast.  Scoring is one pass over the r
 
 Samples that are a fraction of the table are grown level by level (levels.py).  Their nodes
 follow the table: up to ``MAX_NODES`` they are collected as above, beyond they stay a table, and
-scoring brings rows and branches together by (tree, branch).
+scoring brings rows and branches together by (tree, branch).  Tuning scores the rows it grows from, so
+where a task can hold the table, every task grows and scores a share of the trees.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ POOL_FACTOR = 4
 DESCENT_ROWS = 128
 # Nodes that are collected and broadcast; more stay in a table.
 MAX_NODES = 400_000
+# Rows of a node that are looked at before all of them are.
+SHOWING_ROWS = 8
 _MODULUS = 1 << 30
 
 NODES = T.StructType(
@@ -77,10 +80,15 @@ def path_norm(psi: int) -> float:
     return float(average_path(np.array([psi]))[0]) or 1.0
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes ``(node, feature, threshold, left, right, size, depth)`` of one tree."""
+def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int, rows: np.ndarray | None = None) -> list[tuple]:
+    """Nodes ``(node, feature, threshold, left, right, size, depth)`` of one tree over ``rows`` of a block, or all.
+
+    A node draws among the features that vary in it.  Where a few of its rows show that all do, only the drawn
+    one is read.
+    """
     nodes: list[list] = []
-    stack = [(np.arange(len(x)), 0, None, None)]
+    stack = [(np.arange(len(x)) if rows is None else rows, 0, None, None)]
+    ordered = not np.isnan(x).any()
     while stack:
         rows, depth, parent, side = stack.pop()
         me = len(nodes)
@@ -89,16 +97,22 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[t
             nodes[parent][side] = me
         if depth >= max_depth or len(rows) <= 1:
             continue
-        part = x[rows]
-        low, high = part.min(axis=0), part.max(axis=0)
-        varying = np.flatnonzero(high > low)
-        if len(varying) == 0:
-            continue
-        f = int(varying[rng.integers(len(varying))])
-        cut = float(rng.uniform(low[f], high[f]))
-        if cut >= high[f]:
-            cut = float(low[f])
-        left = part[:, f] <= cut
+        if ordered and (x[rows[1:SHOWING_ROWS]] != x[rows[0]]).any(axis=0).all():
+            f = int(rng.integers(x.shape[1]))
+            values = x[rows, f]
+            low, high = values.min(), values.max()
+        else:
+            part = x[rows]
+            lows, highs = part.min(axis=0), part.max(axis=0)
+            varying = np.flatnonzero(highs > lows)
+            if len(varying) == 0:
+                continue
+            f = int(varying[rng.integers(len(varying))])
+            low, high, values = lows[f], highs[f], part[:, f]
+        cut = float(rng.uniform(low, high))
+        if cut >= high:
+            cut = float(low)
+        left = values <= cut
         nodes[me][1], nodes[me][2] = f, cut
         stack.append((rows[~left], depth + 1, me, 4))
         stack.append((rows[left], depth + 1, me, 3))
@@ -284,6 +298,11 @@ class IsolationForest:
         top, branches = levels.grow_forest(
             df, size, trees, samples, n_rows, seed, settings.get("task_rows", levels.TASK_ROWS)
         )
+        return cls._of_levels(top, branches, size, psi, settings, n_rows)
+
+    @classmethod
+    def _of_levels(cls, top, branches: DataFrame, size: int, psi: int, settings: dict, n_rows: int) -> "IsolationForest":
+        """A forest out of both parts, collected if it has few nodes."""
         model = cls(None, size, psi, settings, n_rows=n_rows, top=top, branches=branches)
         if branches.count() + len(top.cuts) + len(top.leaves) <= settings.get("max_nodes", MAX_NODES):
             model.nodes, model.top, model.branches = levels.whole_nodes(top, branches.toPandas()), None, None
@@ -378,7 +397,7 @@ def tune(
 
     Trees depend on the seed and the sample, not on how many there are, so one forest is grown for each
     sample size, and the settings with fewer trees are the first trees of it.  One pass scores
-    all settings of a sample size.  The best setting is kept as it is, nothing is fitted again;
+    all settings of a sample size, or of all sample sizes where a task can hold the table.  The best setting is kept as it is, nothing is fitted again;
     ``tuning`` has the figures of every setting.
     """
     n_rows = df.count()
@@ -386,11 +405,17 @@ def tune(
         raise ValueError("cannot tune a forest on an empty table")
     size = size or feature_size(df)
     counts = sorted(set(n_estimators))
+    settings = {**DEFAULTS, **params, "n_estimators": counts[-1], "random_state": random_state}
+    together = _grow_together(df, n_rows, size, counts, max_samples, settings)
     best, results = None, []
     for samples in max_samples:
-        settings = {**DEFAULTS, **params, "n_estimators": counts[-1], "max_samples": samples, "random_state": random_state}
-        forest = IsolationForest._grow(df, n_rows, size, settings)
-        scored = materialize(_prefix_scores(df, forest, counts), "iforest-tuning")
+        mine = {**settings, "max_samples": samples}
+        if samples in together:
+            top, branches, sums = together[samples]
+            forest = IsolationForest._of_levels(top, branches, size, sample_size(samples, n_rows), mine, n_rows)
+        else:
+            forest, sums = IsolationForest._grow(df, n_rows, size, mine), None
+        scored = materialize(_prefix_scores(df, forest, counts, sums), "iforest-tuning")
         for i, trees in enumerate(counts):
             figures = _separation(scored, f"s{i}", percentile)
             results.append({"n_estimators": trees, "max_samples": samples, **figures})
@@ -411,11 +436,23 @@ def tuning_table(spark: SparkSession, model) -> DataFrame:
     return spark.createDataFrame(rows, TUNING)
 
 
-def _prefix_scores(df: DataFrame, forest: IsolationForest, counts: list[int]) -> DataFrame:
-    """``row_id`` and the raw score by the first ``counts[i]`` trees as ``s<i>``."""
+def _grow_together(df: DataFrame, n_rows: int, size: int, counts: list[int], max_samples: tuple, settings: dict) -> dict:
+    """(top, branches, summed path lengths) of each fraction, where nodes may be too many to collect and a task can hold the table."""
+    trees, most = counts[-1], settings.get("max_nodes", MAX_NODES)
+    fractions = [s for s in dict.fromkeys(max_samples) if isinstance(s, float)]
+    psi = max([sample_size(s, n_rows) for s in fractions], default=0)
+    if 2 * psi * trees <= most or not levels.task_holds(n_rows, size):
+        return {}
+    task_rows = settings.get("task_rows", levels.TASK_ROWS)
+    return levels.grow_together(df, size, counts, fractions, n_rows, settings["random_state"], task_rows)
+
+
+def _prefix_scores(df: DataFrame, forest: IsolationForest, counts: list[int], sums: DataFrame | None = None) -> DataFrame:
+    """``row_id`` and the raw score by the first ``counts[i]`` trees as ``s<i>``; ``sums``: its path lengths, if known."""
     norm = path_norm(forest.psi)
     if forest.nodes is None:
-        sums = levels.table_lengths(df, forest.top, forest.branches, forest.size, counts, forest.n_rows)
+        if sums is None:
+            sums = levels.table_lengths(df, forest.top, forest.branches, forest.size, counts, forest.n_rows)
         raw = [(-F.pow(F.lit(2.0), -F.col(f"s{i}") / n / F.lit(norm))).alias(f"s{i}") for i, n in enumerate(counts)]
         return sums.select(ROW_ID, *raw)
     ship_package(df.sparkSession)

@@ -28,6 +28,8 @@ from logloom.session import materialize, ship_package
 
 # Rows of a node that one task may hold, and features that a node draws at its first try.
 TASK_ROWS, DRAWN = 100_000, 16
+# Bytes of all rows, as a dense block, that one task may hold; parts that trees are dealt to then.
+HELD_BYTES, SHARES = 128 * 1024 * 1024, 24
 
 BRANCHES = (
     "tree int, root bigint, node int, feature int, threshold double, left int, right int, size int, depth int"
@@ -278,16 +280,125 @@ def _packed(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row])[[c.split()[0] for c in PACKED.split(", ")]]
 
 
-def _descend(branch: dict, x: np.ndarray) -> np.ndarray:
+def _descend(branch: dict, x: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+    """Path lengths of ``rows`` of a block, or all."""
     feature, cut, left, right, path = (np.asarray(branch[c]) for c in ("feature", "threshold", "left", "right", "path"))
-    at, moving = np.zeros(len(x), np.int64), np.arange(len(x))
+    rows = np.arange(len(x)) if rows is None else rows
+    at, moving = np.zeros(len(rows), np.int64), np.arange(len(rows))
     while len(moving):
         moving = moving[feature[at[moving]] >= 0]
         here = at[moving]
-        at[moving] = np.where(x[moving, feature[here]] > cut[here], right[here], left[here])
+        at[moving] = np.where(x[rows[moving], feature[here]] > cut[here], right[here], left[here])
     return path[at]
 
 
+def task_holds(n_rows: int, size: int) -> bool:
+    return n_rows * size * 8 <= HELD_BYTES
+
+
+def _labels(spark, n: int) -> list[int]:
+    """A number for each of ``n`` partitions that it is hashed to."""
+    at = spark.range(64 * n).select(F.col("id").cast("int").alias("share"))
+    at = at.groupBy(F.pmod(F.hash("share"), F.lit(n))).agg(F.min("share").alias("share"))
+    return sorted(r["share"] for r in at.collect())
+
+
+def _known(top: TopLevels) -> dict[tuple[int, int], float]:
+    """Path lengths of the leaves near the roots."""
+    from logloom.models.iforest import average_path
+
+    return {
+        (int(t), int(n)): (int(n).bit_length() - 1) + float(average_path(np.array([s]))[0])
+        for t, n, s in zip(top.leaves["tree"], top.leaves["node"], top.leaves["size"])
+    }
+
+
+def grow_together(
+    df: DataFrame, size: int, counts: list[int], fractions: list[float], n_rows: int, seed: int, task_rows: int = TASK_ROWS
+) -> dict[float, tuple[TopLevels, DataFrame, DataFrame]]:
+    """For each fraction the cuts near the roots, all branches, and (row_id, s0, s1, ...) as ``table_lengths`` has it for these rows.
+
+    For tables that a task can hold: all rows go to ``SHARES`` tasks, not once per tree, and each grows its trees of
+    all fractions and sends the rows down them.  Path lengths are added up in the order of the shares.
+    """
+    from logloom.models.iforest import average_path, grow_tree
+
+    spark = df.sparkSession
+    ship_package(spark)
+    trees = counts[-1]
+    rows = materialize(df.select(F.monotonically_increasing_id().alias("_n"), ROW_ID, "features").repartition(SHARES), "iforest-rows")
+    tops = [grow_top(rows.select(ROW_ID, "features"), size, trees, f, n_rows, seed, task_rows) for f in fractions]
+    labels = _labels(spark, min(trees, SHARES))
+    plans = []
+    for f, top in zip(fractions, tops):
+        closed = {int(t): part["node"].tolist() for t, part in top.closed.groupby("tree")}
+        plans.append((f, max_depth(n_rows, f), Cuts(top.cuts), closed, _known(top)))
+    shared = spark.sparkContext.broadcast((labels, plans))
+    names = [c.split()[0] for c in BRANCHES.split(", ")]
+    sums = [f"s{p}_{i}" for p in range(len(fractions)) for i in range(len(counts))]
+
+    def grow(share: int, x: np.ndarray, ids: np.ndarray, numbers: np.ndarray):
+        labels_, plans_ = shared.value
+        total = np.zeros((len(fractions), len(counts), len(x)))
+        for p, (fraction, depth, cuts, closed, leaves) in enumerate(plans_):
+            for tree in range(labels_.index(share), trees, len(labels_)):
+                at, mine = cuts.route(tree, x), in_sample(ids, tree, fraction, seed)
+                length = np.zeros(len(x))
+                for root in closed.get(tree, []):
+                    here = np.flatnonzero(at == root)
+                    sample = here[mine[here]]
+                    if len(sample) == 0:
+                        continue
+                    level = root.bit_length() - 1
+                    nodes = grow_tree(x, np.random.default_rng([seed, tree, root, 2]), max(0, depth - level), sample)
+                    out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "size", "depth"])
+                    out["depth"] += level
+                    branch = out.to_dict("series") | {"path": out["depth"].to_numpy() + average_path(out["size"].to_numpy())}
+                    length[here] = _descend(branch, x, here)
+                    yield out.assign(tree=tree, root=root, param=p)[["param", *names]]
+                for (t, node), path in leaves.items():
+                    if t == tree:
+                        length[at == node] = path
+                for i, n in enumerate(counts):
+                    if tree < n:
+                        total[p, i] += length
+        flat = total.reshape(-1, len(x))
+        for i in range(0, len(x), 10_000):
+            some = slice(i, i + 10_000)
+            yield pd.DataFrame({"_n": numbers[some], "share": share} | dict(zip(sums, flat[:, some])))
+
+    def run(batches):
+        held: dict[int, list] = {}
+        for pdf in batches:
+            for share, part in pdf.groupby("share"):
+                for some in chunks(part):
+                    held.setdefault(int(share), []).append(
+                        (feature_block(some["features"], size), some[ROW_ID].to_numpy().astype(np.int64), some["_n"].to_numpy())
+                    )
+        for share in sorted(held):
+            x, ids, numbers = zip(*held.pop(share))
+            block = np.empty((sum(map(len, x)), x[0].shape[1]), order="F")
+            np.concatenate(x, out=block)
+            del x
+            for out in grow(share, block, np.concatenate(ids), np.concatenate(numbers)):
+                yield out.reindex(columns=kept)
+
+    dealt = rows.withColumn("share", F.explode(F.array(*map(F.lit, labels)))).repartition(len(labels), "share")
+    kind = f"param int, {BRANCHES}, _n bigint, share int, " + ", ".join(f"{c} double" for c in sums)
+    kept = [c.split()[0] for c in kind.split(", ")]
+    made = materialize(dealt.mapInPandas(run, kind), "forests")
+    each = F.array_sort(F.collect_list(F.struct("share", F.array(*sums).alias("s"))))
+    total = made.where("_n IS NOT NULL").groupBy("_n").agg(each.alias("e"))
+    start = F.array_repeat(F.lit(0.0), len(sums))
+    total = total.select("_n", F.aggregate("e", start, lambda a, e: F.zip_with(a, e["s"], lambda u, v: u + v)).alias("s"))
+    total = materialize(rows.select("_n", ROW_ID).join(total, "_n"), "lengths")
+    out = {}
+    for p, (f, top) in enumerate(zip(fractions, tops)):
+        lengths = [F.col("s")[p * len(counts) + i].alias(f"s{i}") for i in range(len(counts))]
+        out[f] = (top, made.where(F.col("param") == p).select(*names), total.select(ROW_ID, *lengths))
+    return out
+
+
 def table_lengths(df: DataFrame, top: TopLevels, branches: DataFrame, size: int, counts: list[int], n_rows: int) -> DataFrame:
     """(row_id, s0, s1, ...): summed path lengths of the first ``counts[i]`` trees, branches left in their table.
 
@@ -300,10 +411,7 @@ def table_lengths(df: DataFrame, top: TopLevels, branches: DataFrame, size: int,
     spark = df.sparkSession
     ship_package(spark)
     trees = max(counts)
-    known = {
-        (int(t), int(n)): (int(n).bit_length() - 1) + float(average_path(np.array([s]))[0])
-        for t, n, s in zip(top.leaves["tree"], top.leaves["node"], top.leaves["size"])
-    }
+    known = _known(top)
     shared = spark.sparkContext.broadcast((Cuts(top.cuts), known))
     kind = df.schema["features"].dataType.simpleString()
     rows = df.select(ROW_ID, "features")

@@ -132,3 +132,74 @@ def test_memory_of_the_largest_collected_forest():
     finally:
         tracemalloc.stop()
     assert peak < 400 * 2**20
+
+
+def test_tuning_moves_no_row_once_per_tree(spark, monkeypatch):
+    """Where a task can hold the table, forests that stay in tables are grown and scored in shares of trees."""
+    df, _ = matrix(spark, n=200, hot=30)
+    kw = {"n_estimators": (5, 30), "max_samples": (0.5, 1.0), "task_rows": 40}
+    want = iforest.tune(df, **kw, max_nodes=10**6)
+    single = {r.row_id: r.raw for r in want.training_raw.collect()}
+
+    def moved(*a, **k):
+        raise AssertionError("a row for every tree")
+
+    monkeypatch.setattr(levels, "grow_branches", moved)
+    monkeypatch.setattr(levels, "table_lengths", moved)
+    got = iforest.tune(df, **kw, max_nodes=0)
+    assert got.nodes is None and want.nodes is not None
+    for a, b in zip(want.tuning, got.tuning, strict=True):
+        assert (a["n_estimators"], a["max_samples"]) == (b["n_estimators"], b["max_samples"])
+        for c in ("separation_score", "score_std", "anomaly_ratio"):
+            assert b[c] == pytest.approx(a[c])
+    assert {r.row_id: r.raw for r in got.training_raw.collect()} == pytest.approx(single)
+    nodes = levels.whole_nodes(got.top, got.branches.toPandas())
+    nodes = nodes[nodes["tree"] < got.params["n_estimators"]]
+    columns = ["tree", "node", "feature", "threshold", "left", "right", "size", "depth"]
+    a, b = (x.sort_values(["tree", "node"], ignore_index=True)[columns] for x in (want.nodes, nodes))
+    pd.testing.assert_frame_equal(a, b, check_dtype=False)
+
+
+def test_lengths_of_rows_that_repeat_or_have_no_key(spark):
+    df, x = matrix(spark, n=120)
+    rows = df.select(F.when(F.col("row_id") < 100, F.floor(F.col("row_id") / 2)).alias("row_id"), "features")
+    top, branches, sums = levels.grow_together(rows, 4, [3, 8], [0.5, 1.0], 120, 42, 30)[1.0]
+    got = sums.collect()
+    assert len(got) == 120 and sum(r.row_id is None for r in got) == 20
+    want = {r.row_id: (r.s0, r.s1) for r in levels.grow_together(df, 4, [3, 8], [0.5, 1.0], 120, 42, 30)[1.0][2].collect()}
+    np.testing.assert_allclose(sorted((r.s0, r.s1) for r in got), sorted(want.values()))
+
+
+def test_one_feature_is_read_where_all_vary():
+    """The trees are those of reading every feature of every node."""
+
+    def plain(x, rng, max_depth):
+        nodes, stack = [], [(np.arange(len(x)), 0, None, None)]
+        while stack:
+            rows, depth, parent, side = stack.pop()
+            me = len(nodes)
+            nodes.append([me, -1, 0.0, -1, -1, len(rows), depth])
+            if parent is not None:
+                nodes[parent][side] = me
+            if depth >= max_depth or len(rows) <= 1:
+                continue
+            low, high = x[rows].min(axis=0), x[rows].max(axis=0)
+            varying = np.flatnonzero(high > low)
+            if len(varying) == 0:
+                continue
+            f = int(varying[rng.integers(len(varying))])
+            cut = float(rng.uniform(low[f], high[f]))
+            cut = float(low[f]) if cut >= high[f] else cut
+            left = x[rows, f] <= cut
+            nodes[me][1], nodes[me][2] = f, cut
+            stack += [(rows[~left], depth + 1, me, 4), (rows[left], depth + 1, me, 3)]
+        return [tuple(n) for n in nodes]
+
+    rng = np.random.default_rng(1)
+    smooth = rng.normal(size=(300, 5))
+    for x in (smooth, np.round(smooth, 1), np.repeat(smooth[:40], 5, axis=0), np.zeros((9, 3)), np.where(smooth > 1.5, np.nan, smooth)):
+        want = plain(x, np.random.default_rng(3), 9)
+        for block in (x, np.asfortranarray(x)):
+            assert str(iforest.grow_tree(block, np.random.default_rng(3), 9)) == str(want)
+        some = np.arange(0, len(x), 2)
+        assert str(iforest.grow_tree(x, np.random.default_rng(3), 9, some)) == str(plain(x[some], np.random.default_rng(3), 9))
